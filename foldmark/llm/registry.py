@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from foldmark.llm.html import op1_html_text
 from foldmark.llm.pii import op10_pii
+from foldmark.llm.quality import op3_quality
 from foldmark.llm.token_files import op6_token_files
+from foldmark.llm.toxicity import op8_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
+    "op3_quality": op3_quality,
     "op6_token_files": op6_token_files,
+    "op8_toxicity": op8_toxicity,
     "op10_pii": op10_pii,
 }
 
