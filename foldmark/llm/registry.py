@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from foldmark.llm.fingerprints import op9_fingerprints
 from foldmark.llm.html import op1_html_text
 from foldmark.llm.pii import op10_pii
 from foldmark.llm.quality import op3_quality
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op6_token_files": op6_token_files,
     "op8_toxicity": op8_toxicity,
+    "op9_fingerprints": op9_fingerprints,
     "op10_pii": op10_pii,
 }
 
