@@ -61,6 +61,8 @@ SHY = frozenset(
 )
 HEADERS = frozenset("header topbar topnav site-header page-header".split())
 
+_NEVER = INLINE | RAW | {"#root", "html", "body", "head", "li"}
+
 
 class Node:
     __slots__ = ("tag", "parent", "attrs", "parts", "hash", "has_text", "article")
@@ -160,8 +162,14 @@ def mark(nodes: list[Node]) -> None:
 
 
 def counted(nodes: list[Node]) -> set[int]:
-    """Hashes of the subtrees that may belong to a template."""
-    return {n.hash for n in nodes[1:] if n.has_text and not n.article and n.tag not in INLINE and n.tag not in RAW and n.tag not in ("html", "body", "head", "article", "main", "li")}
+    """Hashes of the subtrees that may belong to a template; of those inside an article the ones that are not its flow of text."""
+    inside: list[bool] = []
+    out = set()
+    for node in nodes:
+        inside.append(node.parent >= 0 and inside[node.parent] or node.tag in ("article", "main"))
+        if node.has_text and not node.article and node.tag not in _NEVER and not (inside[-1] and (node.tag in FLOW or node.tag in ("article", "main"))):
+            out.add(node.hash)
+    return out
 
 
 def _shy(node: Node) -> bool:
