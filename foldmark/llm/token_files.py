@@ -17,6 +17,7 @@ files; a text is tokenized whole; strings of special tokens in a text are ordina
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 
 from foldmark.llm.common import column_or_null, map_arrow, new_path, written
 
-LENGTH, SEQUENCES, END_ID, CACHE = 1024, 64, 0, 400_000
+LENGTH, SEQUENCES, END_ID, CACHE = 1024, 64, 0, 900_000
 
 _DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 _MANIFEST = "part int, file string, n_docs long, n_ids long, n_sequences long"
@@ -44,35 +45,69 @@ def default_vocabulary() -> str:
 
 
 class Encoder:
-    """Exact ids of whole texts. A byte-level BPE never merges across its pre-tokens, so the ids of a
-    text are those of its pre-tokens in turn; the pre-tokens seen lately keep theirs."""
+    """Exact ids of whole texts.
 
-    def __init__(self, path: str):
-        import public_tokenizers
-        import regex
+    The pre-tokenizer of a byte-level BPE cuts before every single space and around every single line
+    break, and no merge crosses a cut. So where a text has no longer runs of white space, its ids are
+    those of its words in turn, each with the space before it; words seen lately keep theirs. Other
+    texts go through the tokenizer as they are.
+    """
 
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.split = regex.compile(public_tokenizers.PATTERN).findall
-        self.known: dict[str, bytes] = {}
+        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})  # words at a line's start, behind a space
+        self.line_break = self.encode(["\n"])[0]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: set[str], spaced: int) -> None:
+        known, lead = self.known[spaced], " " * spaced
+        whole, cut = [], []
+        for w in words:
+            # a word of letters and one mark is two pre-tokens
+            (cut if w[-1:] in (",", ".") and w[:-1].isalpha() else whole).append(w)
+        whole += list({w[:-1] for w in cut if w[:-1] not in known and w[:-1] not in words})
+        known.update(zip(whole, self.encode([lead + w for w in whole]), strict=True))
+        marks = dict(zip((",", "."), self.encode([",", "."]), strict=True))
+        for w in cut:
+            known[w] = known[w[:-1]] + marks[w[-1]]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        out, known = [], self.known
-        for text in texts:
-            parts = self.split(text)
-            new = list({p for p in parts if p not in known})
-            if new:
-                if len(known) > CACHE:
-                    known.clear()
-                    new = list(set(parts))
-                for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                    known[p] = array(self.code, e.ids).tobytes()
-            out.append(b"".join(map(known.__getitem__, parts)))
-        return out
+        if sum(map(len, self.known)) > CACHE:
+            for known in self.known:
+                known.clear()
+        cut = [[line.split(" ") for line in t.split("\n")] if _plain(t) else None for t in texts]
+        first, spaced = self.known
+        self._learn({w[0] for lines in cut if lines for w in lines if w[0] not in first}, 0)
+        self._learn({x for lines in cut if lines for w in lines for x in w[1:] if x not in spaced}, 1)
+        get, other = spaced.__getitem__, iter(self.encode([t for t, c in zip(texts, cut, strict=True) if c is None]))
+        return [
+            next(other) if lines is None else self.line_break.join(first[w[0]] + b"".join(map(get, w[1:])) for w in lines) for lines in cut
+        ]
+
+
+_OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
+
+
+def _plain(t: str) -> bool:
+    """Whether the white space of ``t`` is one space or line break each time, between other characters."""
+    return not (not t or t[0] in " \n" or t[-1] in " \n" or "  " in t or "\n\n" in t or " \n" in t or "\n " in t or _OTHER_SPACE(t))
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this Python worker; workers are used again, and so are the words they know."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def _sink(folder: str) -> tuple[fs.FileSystem, str]:
@@ -129,7 +164,7 @@ def write_token_files(docs: DataFrame, folder: str | None = None, vocabulary: Ca
             if not batch.num_rows:
                 continue
             if writer is None:
-                encode = Encoder(vocabulary())
+                encode = encoder(vocabulary())
                 system, path = _sink(folder)
                 name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}"
                 kind = np.dtype("uint16" if encode.code == "H" else "uint32")
