@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from foldmark.llm.decontamination import op5_decontamination
 from foldmark.llm.fingerprints import op9_fingerprints
 from foldmark.llm.html import op1_html_text
+from foldmark.llm.mixing import OP4_SQL, op4_mixing
 from foldmark.llm.pii import op10_pii
 from foldmark.llm.quality import op3_quality
 from foldmark.llm.token_files import op6_token_files
@@ -16,10 +18,12 @@ from foldmark.llm.toxicity import op8_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
     "op3_quality": op3_quality,
+    "op4_mixing": op4_mixing,
+    "op5_decontamination": op5_decontamination,
     "op6_token_files": op6_token_files,
     "op8_toxicity": op8_toxicity,
     "op9_fingerprints": op9_fingerprints,
     "op10_pii": op10_pii,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_mixing": OP4_SQL}

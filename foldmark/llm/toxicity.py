@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from foldmark.llm.common import map_arrow, pieces
 from foldmark.llm.labelled import Adam, Blocks, remainder, sample, sigmoid
 from foldmark.llm.quality import with_text
-from foldmark.llm.words import Words, words_of
+from foldmark.llm.words import words_of
 
 MOST, SLOTS, DIM, FILTERS, WIDTHS = 4000, 1 << 16, 12, 12, (1, 2, 3)
 THRESHOLD = 0.5
@@ -44,17 +44,6 @@ FUNCTION_WORDS = {
 LANGUAGES = ("other", *FUNCTION_WORDS)
 
 
-def _trimmed(words: Words) -> Words:
-    """Words without the marks at their ends; one of marks only stays."""
-    mark = np.zeros(256, bool)
-    mark[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
-    starts, ends = words.starts.copy(), words.ends.copy()
-    for _ in range(4):
-        ends -= (ends - starts > 1) & mark[words.data[np.maximum(ends - 1, 0)]]
-        starts += (ends - starts > 1) & mark[words.data[np.minimum(starts, max(0, len(words.data) - 1))]]
-    return Words(words.data, starts, ends, words.first)
-
-
 def _language_table() -> tuple[np.ndarray, np.ndarray]:
     keys, votes = [], []
     for k, line in enumerate(FUNCTION_WORDS.values(), 1):
@@ -72,7 +61,7 @@ _HASHES, _VOTES = _language_table()
 
 def slots(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows of the embedding table for each word, each text's first word, each text's language."""
-    words = _trimmed(words_of(texts))
+    words = words_of(texts).trimmed()
     whole = words.hashes(lower=True)
     places = [whole % SLOTS]
     for k, size in enumerate(_PREFIXES, 1):

@@ -15,6 +15,8 @@ from foldmark.llm.common import offsets_of
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 _BYTE = (np.random.default_rng(20_240_607).integers(0, 2**63, 256, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _WINDOW = np.uint64(0xD6E8FEB86659FD93)
@@ -35,7 +37,6 @@ class Words:
     starts: np.ndarray  # first byte of each word
     ends: np.ndarray  # one past its last byte
     first: np.ndarray  # for each text the number of its first word; one more entry at the end
-    pos: np.ndarray | None = None
 
     @property
     def n(self) -> np.ndarray:
@@ -67,6 +68,15 @@ class Words:
             out[inside] += _BYTE[folded[at[inside]]] * power[k]
         return mix(out)
 
+    def trimmed(self) -> Words:
+        """The words without the ASCII marks at their ends, four on either side at most; one of marks only keeps its last."""
+        starts, ends = self.starts.copy(), self.ends.copy()
+        last = max(0, len(self.data) - 1)
+        for _ in range(4):
+            ends -= (ends - starts > 1) & _MARK[self.data[np.maximum(ends - 1, 0)]]
+            starts += (ends - starts > 1) & _MARK[self.data[np.minimum(starts, last)]]
+        return Words(self.data, starts, ends, self.first)
+
 
 def _fold(data: np.ndarray) -> np.ndarray:
     upper = (data >= 65) & (data <= 90)
