@@ -51,7 +51,8 @@ def _lane_sums(hashes: str) -> str:
 def vectors(texts: DataFrame, text: str, keys: list[str]) -> DataFrame:
     """``keys``, ``strong`` and ``lanes`` of each row; ``keys`` tell the rows apart."""
     rows = texts.select(*keys, F.expr(_strong(text)).alias("digests"), F.expr(_units(text)).alias("units"))
-    rows = rows.select(*keys, F.expr(_lane_sums("digests")).alias("strong"), F.posexplode_outer("units").alias("at", "h0"))
+    rows = rows.select(*keys, F.expr(_lane_sums("digests")).alias("strong"), "units")
+    rows = rows.select(*keys, "strong", F.posexplode_outer("units").alias("at", "h0"))
     rows = rows.withColumn("chunk", F.expr(f"coalesce(at, 0) div {_CHUNK}")).withColumn("h1", F.expr("if(h0 IS NULL, NULL, xxhash64(h0, 1L))"))
     sums = [F.expr(f"coalesce(sum(shiftrightunsigned(h{k}, {s}) & {_PACKED}L), 0L)").alias(f"s{k}_{s}") for k in range(_WORDS) for s in range(20)]
     packed = rows.groupBy(*keys, "strong", "chunk").agg(F.count("h0").alias("n"), *sums)
