@@ -10,6 +10,7 @@ from foldmark.llm.decontamination import op5_decontamination
 from foldmark.llm.fingerprints import op9_fingerprints
 from foldmark.llm.html import op1_html_text
 from foldmark.llm.mixing import OP4_SQL, op4_mixing
+from foldmark.llm.near_duplicates import op2_near_duplicates
 from foldmark.llm.pii import op10_pii
 from foldmark.llm.quality import op3_quality
 from foldmark.llm.token_files import op6_token_files
@@ -17,6 +18,7 @@ from foldmark.llm.toxicity import op8_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": op1_html_text,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_quality": op3_quality,
     "op4_mixing": op4_mixing,
     "op5_decontamination": op5_decontamination,
