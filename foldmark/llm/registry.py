@@ -13,6 +13,7 @@ from foldmark.llm.mixing import OP4_SQL, op4_mixing
 from foldmark.llm.near_duplicates import op2_near_duplicates
 from foldmark.llm.pii import op10_pii
 from foldmark.llm.quality import op3_quality
+from foldmark.llm.repeats import op7_repeats
 from foldmark.llm.token_files import op6_token_files
 from foldmark.llm.toxicity import op8_toxicity
 
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_decontamination": op5_decontamination,
     "op6_token_files": op6_token_files,
+    "op7_repeats": op7_repeats,
     "op8_toxicity": op8_toxicity,
     "op9_fingerprints": op9_fingerprints,
     "op10_pii": op10_pii,
