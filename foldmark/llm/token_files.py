@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from foldmark.llm.common import column_or_null, map_arrow, new_path, written
 
-LENGTH, SEQUENCES, END_ID, CACHE = 1024, 64, 0, 900_000
+LENGTH, SEQUENCES, END_ID, CACHE = 1024, 64, 0, 1_800_000
 
 _DOCS = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 _MANIFEST = "part int, file string, n_docs long, n_ids long, n_sequences long"
@@ -60,44 +60,58 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})  # words at a line's start, behind a space
         self.line_break = self.encode(["\n"])[0]
+        self.marks = dict(zip(",.", self.encode([",", "."]), strict=True))
+        self.known: dict[str, bytes] = {"\n": self.line_break}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: set[str], spaced: int) -> None:
-        known, lead = self.known[spaced], " " * spaced
-        whole, cut = [], []
+    def _words(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of each word, many words a call: a line break is one id that no word holds."""
+        size, stop = len(self.line_break), np.frombuffer(self.line_break, self.code)[0]
+        for at in range(0, len(words), 2000):
+            flat = self.encode(["\n".join(words[at : at + 2000])])[0]
+            ends = (np.flatnonzero(np.frombuffer(flat, self.code) == stop) * size).tolist()
+            for b, e in zip([0, *(e + size for e in ends)], [*ends, len(flat)], strict=True):
+                yield flat[b:e]
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self.known) > CACHE:
+            self.known = {"\n": self.line_break}
+        known, whole, cut = self.known, [], []
         for w in words:
             # a word of letters and one mark is two pre-tokens
-            (cut if w[-1:] in (",", ".") and w[:-1].isalpha() else whole).append(w)
+            (cut if w[-1] in ",." and w[:-1].lstrip(" ").isalpha() else whole).append(w)
         whole += list({w[:-1] for w in cut if w[:-1] not in known and w[:-1] not in words})
-        known.update(zip(whole, self.encode([lead + w for w in whole]), strict=True))
-        marks = dict(zip((",", "."), self.encode([",", "."]), strict=True))
+        known.update(zip(whole, self._words(whole), strict=True))
         for w in cut:
-            known[w] = known[w[:-1]] + marks[w[-1]]
+            if w[:-1] not in known:
+                known[w[:-1]] = next(self._words([w[:-1]]))
+            known[w] = known[w[:-1]] + self.marks[w[-1]]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if sum(map(len, self.known)) > CACHE:
-            for known in self.known:
-                known.clear()
-        cut = [[line.split(" ") for line in t.split("\n")] if _plain(t) else None for t in texts]
-        first, spaced = self.known
-        self._learn({w[0] for lines in cut if lines for w in lines if w[0] not in first}, 0)
-        self._learn({x for lines in cut if lines for w in lines for x in w[1:] if x not in spaced}, 1)
-        get, other = spaced.__getitem__, iter(self.encode([t for t, c in zip(texts, cut, strict=True) if c is None]))
-        return [
-            next(other) if lines is None else self.line_break.join(first[w[0]] + b"".join(map(get, w[1:])) for w in lines) for lines in cut
-        ]
-
-
+        # every word with the space before it, and line breaks
+        words = [t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if _plain(t) else None for t in texts]
+        get = self.known.get
+        ids = [w and list(map(get, w)) for w in words]
+        new = {w for ws, gs in zip(words, ids, strict=True) if gs and None in gs for w, g in zip(ws, gs, strict=True) if g is None}
+        if new:
+            self._learn(new)
+            for ws, gs in zip(words, ids, strict=True):
+                if gs and None in gs:
+                    gs[:] = [self.known[w] if g is None else g for w, g in zip(ws, gs, strict=True)]
+        other = iter(self.encode([t for t, w in zip(texts, words, strict=True) if w is None]))
+        return [next(other) if gs is None else b"".join(gs) for gs in ids]
+
+
+#: White space that is not one space or line break between other characters.
 _OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
 
 
 def _plain(t: str) -> bool:
-    """Whether the white space of ``t`` is one space or line break each time, between other characters."""
-    return not (not t or t[0] in " \n" or t[-1] in " \n" or "  " in t or "\n\n" in t or " \n" in t or "\n " in t or _OTHER_SPACE(t))
+    """Whether the white space of ``t`` is one space or line break each time, between other characters, and it has no zeros."""
+    return not (not t or t[0] in " \n" or t[-1] in " \n" or "  " in t or "\n\n" in t or " \n" in t or "\n " in t or "\0" in t or _OTHER_SPACE(t))
 
 
 _ENCODERS: dict[str, Encoder] = {}
