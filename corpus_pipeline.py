@@ -36,7 +36,7 @@ def _small(df: DataFrame) -> DataFrame:
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     net = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score_quality(docs, net, tuple(docs.columns)).where(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
+    return quality.score_quality(docs, net, tuple(docs.columns), "__quality").where(F.col("__quality") >= quality.THRESHOLD).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

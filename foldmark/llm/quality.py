@@ -156,17 +156,16 @@ def fit_quality(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Net:
     return fit(sample(docs, labels, "quality", remainder(4) != 2, {0: most, 1: most}, _encode))
 
 
-def score_quality(docs: DataFrame, net: Net, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, score`` and the columns ``keep`` of each document."""
+def score_quality(docs: DataFrame, net: Net, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
+    """The columns ``keep`` of each document and its score as ``name``."""
     sent = docs.sparkSession.sparkContext.broadcast(net)
-    rows = docs.select("text", "doc_id", *keep)
-    schema = T.StructType([f for f in rows.schema if f.name != "text" or "text" in keep] + [T.StructField("score", T.DoubleType())])
-    names = [f.name for f in schema][:-1]
+    rows = docs.select(*dict.fromkeys((*keep, "text")))
+    schema = T.StructType([rows.schema[c] for c in keep] + [T.StructField(name, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            score = sent.value.score(*passages(batch.column(0)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in names), pa.array(score, pa.float64())], [*names, "score"])
+            score = sent.value.score(*passages(batch.column("text")))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(score, pa.float64())], [*keep, name])
 
     return map_arrow(rows, run, schema)
 
