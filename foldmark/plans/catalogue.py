@@ -1,10 +1,8 @@
-"""Queries by name."""
+"""All queries of the engine by name."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from foldmark.plans import gates, joining, series, texts  # noqa: F401  they name their queries
+from foldmark.plans.registry import ORACLE_SQL, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
