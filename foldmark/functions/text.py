@@ -40,4 +40,6 @@ def transcript(role: str, text: str, turn: str) -> Column:
 def word_windows(text: Column, n: int) -> Column:
     """Distinct windows of ``n`` words of letters, in lower case."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
-    return F.when(F.size(words) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(words) - n + 1), lambda i: F.array_join(F.slice(words, i, n), " ")))).otherwise(F.array().cast("array<string>"))
+    # the words are bound to a name, or each window would split the text again
+    windows = F.transform(F.array(words), lambda w: F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>")))
+    return F.array_distinct(F.flatten(windows))
