@@ -95,12 +95,13 @@ class Encoder:
         words = [t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if _plain(t) else None for t in texts]
         get = self.known.get
         ids = [w and list(map(get, w)) for w in words]
-        new = {w for ws, gs in zip(words, ids, strict=True) if gs and None in gs for w, g in zip(ws, gs, strict=True) if g is None}
+        gaps = [[k for k, g in enumerate(gs) if g is None] if gs and None in gs else () for gs in ids]
+        new = {ws[k] for ws, own in zip(words, gaps, strict=True) for k in own}
         if new:
             self._learn(new)
-            for ws, gs in zip(words, ids, strict=True):
-                if gs and None in gs:
-                    gs[:] = [self.known[w] if g is None else g for w, g in zip(ws, gs, strict=True)]
+            for ws, gs, own in zip(words, ids, gaps, strict=True):
+                for k in own:
+                    gs[k] = self.known[ws[k]]
         other = iter(self.encode([t for t, w in zip(texts, words, strict=True) if w is None]))
         return [next(other) if gs is None else b"".join(gs) for gs in ids]
 
@@ -184,13 +185,11 @@ def write_token_files(docs: DataFrame, folder: str | None = None, vocabulary: Ca
                 kind = np.dtype("uint16" if encode.code == "H" else "uint32")
                 sinks = [system.open_output_stream(f"{path}/{name}.{x}arrow") for x in ("", "docs.")]
                 writer, places = _Writer(sinks[0], kind, length), pa.ipc.new_file(sinks[1], _DOCS)
-                end = np.array([end_id], kind)
-            starts, counts = [], []
-            for ids in encode(["" if t is None else t for t in batch.column(1).to_pylist()]):
-                starts.append(writer.n_ids)
-                writer.add(np.frombuffer(ids, kind))
-                writer.add(end)
-                counts.append(writer.n_ids - starts[-1])
+                end = np.array([end_id], kind).tobytes()
+            found = encode(["" if t is None else t for t in batch.column(1).to_pylist()])
+            counts = np.array([len(ids) // kind.itemsize + 1 for ids in found], np.int64)
+            starts = writer.n_ids + np.cumsum(counts) - counts
+            writer.add(np.frombuffer(end.join(found) + end, kind))
             places.write_batch(pa.RecordBatch.from_arrays([batch.column(0), pa.array(starts, pa.int64()), pa.array(counts, pa.int64())], schema=_DOCS))
             n_docs += batch.num_rows
         if writer is not None:
