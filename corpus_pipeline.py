@@ -57,9 +57,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    bad = decontamination.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = written(bad.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("__bad")).distinct(), "contaminated")
-    return docs.join(_small(bad), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")) == F.col("__bad"), "left_anti").select(*docs.columns)
+    # by id and text: ids may be null or repeat, and a clean document must not go for its namesake
+    who = F.xxhash64(F.col("doc_id"), F.col("text"))
+    bad = decontamination.contaminated(docs.select(who.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    bad = written(bad.select(F.col("doc_id").alias("__bad")).distinct(), "contaminated")
+    return docs.withColumn("__who", who).join(_small(bad), F.col("__who") == F.col("__bad"), "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
