@@ -159,7 +159,7 @@ def kappa(spark: SparkSession, d: str) -> DataFrame:
 @query("""
 WITH x AS (SELECT d.lang, d.source, l.quality = 1 AS correct, l.toxic = 1 AS present, d.n_chars FROM labels l JOIN documents d USING (doc_id)),
 s AS (SELECT 'lang' AS dimension, lang AS slice, correct, present FROM x UNION ALL SELECT 'source', source, correct, present FROM x UNION ALL SELECT 'size', CASE WHEN n_chars < 1000 THEN 'short' ELSE 'long' END, correct, present FROM x UNION ALL SELECT 'all', 'all', correct, present FROM x)
-SELECT dimension, slice, count(*) AS n, round(avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END), 6) AS accuracy, 0.5 AS chance,
+SELECT dimension, slice, count(*) AS n, round(avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END), 6) AS accuracy, 0.5::DOUBLE AS chance,
   round((count(CASE WHEN correct AND present THEN 1 END) / nullif(count(CASE WHEN present THEN 1 END), 0) + count(CASE WHEN correct AND NOT present THEN 1 END) / nullif(count(CASE WHEN NOT present THEN 1 END), 0)) / 2, 6) AS balanced FROM s GROUP BY 1, 2""")
 def score_summary(spark: SparkSession, d: str) -> DataFrame:
     """Accuracy, chance and balanced accuracy over several dimensions of slices at once."""

@@ -157,7 +157,7 @@ def evidence_type(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT user_id, CAST(sum(json_extract_string(props, '$.k')::INTEGER) AS BIGINT) AS tokens, count(*) AS calls, round(sum(json_extract_string(props, '$.k')::INTEGER * CASE event_type WHEN 'click' THEN 0.002 WHEN 'view' THEN 0.001 END), 6) AS cost, string_agg(DISTINCT CASE WHEN event_type NOT IN ('click', 'view') THEN event_type END, ';' ORDER BY CASE WHEN event_type NOT IN ('click', 'view') THEN event_type END) AS unpriced FROM events GROUP BY 1""")
+SELECT user_id, CAST(sum(json_extract_string(props, '$.k')::INTEGER) AS BIGINT) AS tokens, count(*) AS calls, round(sum(json_extract_string(props, '$.k')::INTEGER * CASE event_type WHEN 'click' THEN 0.002::DOUBLE WHEN 'view' THEN 0.001::DOUBLE END), 6) AS cost, string_agg(DISTINCT CASE WHEN event_type NOT IN ('click', 'view') THEN event_type END, ';' ORDER BY CASE WHEN event_type NOT IN ('click', 'view') THEN event_type END) AS unpriced FROM events GROUP BY 1""")
 def usage_totals(spark: SparkSession, d: str) -> DataFrame:
     """Calls, tokens and cost; models without a price are listed."""
     k, price = F.expr("cast(get_json_object(props, '$.k') AS int)"), F.expr("CASE event_type WHEN 'click' THEN 0.002D WHEN 'view' THEN 0.001D END")
