@@ -17,28 +17,49 @@ trained net, so there is no ``ORACLE_SQL``; the stages are tested against brute
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldmark.llm import decontamination, mixing, near_duplicates, quality, token_files
-from foldmark.llm.common import new_path, written
+from foldmark.llm.common import dropped, new_path, recorded, written
 
 #: Share of all tokens that the mixture may hold, and how often a document may be drawn.
 MIXTURE_SHARE, MIXTURE_EPOCHS = 1.0, 2
 BROADCAST_ROWS = 500_000
 
 
+_left: list[str] = []  # tables of the last stage; its result was written before the next one is called
+
+
+def _stage(fn: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """Drop what the stage before needed and keep track of this one's tables."""
+
+    @wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        dropped(spark, _left)
+        _left.clear()
+        with recorded() as made:
+            out = fn(spark, docs, sf_dir)
+        _left.extend(made)
+        return out
+
+    return run_stage
+
+
 def _small(df: DataFrame) -> DataFrame:
     """``df`` (written, ids only) as a broadcast side if it has few rows, else as it is."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+@_stage
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     net = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score_quality(docs, net, tuple(docs.columns), "__quality").where(F.col("__quality") >= quality.THRESHOLD).select(*docs.columns)
 
 
+@_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     classes = written(near_duplicates.near_duplicates(docs), "classes")
     # rows equal in id and text are one document, too
@@ -56,6 +77,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return left.select(*docs.columns)
 
 
+@_stage
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # by id and text: ids may be null or repeat, and a clean document must not go for its namesake
     who = F.xxhash64(F.col("doc_id"), F.col("text"))
@@ -64,6 +86,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.withColumn("__who", who).join(_small(bad), F.col("__who") == F.col("__bad"), "left_anti").select(*docs.columns)
 
 
+@_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = written(mixing.keyed(docs), "keyed")
     plan = mixing.plan(rows, share=MIXTURE_SHARE, max_epochs=MIXTURE_EPOCHS)
@@ -75,6 +98,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(leaves, plan).select("row.*")
 
 
+@_stage
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(token_files.write_token_files(docs))
 

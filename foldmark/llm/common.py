@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,28 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/foldmark/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_recording: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The paths of the tables that :func:`written` makes inside, for :func:`dropped`."""
+    made: list[str] = []
+    _recording.append(made)
+    try:
+        yield made
+    finally:
+        _recording.remove(made)
+
+
+def dropped(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that nothing reads any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet in the shared folder and read it again.
 
@@ -38,6 +61,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
+    for made in _recording:
+        made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
