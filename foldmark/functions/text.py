@@ -43,3 +43,23 @@ def word_windows(text: Column, n: int) -> Column:
     # the words are bound to a name, or each window would split the text again
     windows = F.transform(F.array(words), lambda w: F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))).otherwise(F.array().cast("array<string>")))
     return F.array_distinct(F.flatten(windows))
+
+
+def routine_answer(text: Column) -> Column:
+    """``format: a=b; c=d; intrusion: none`` as a map of names to values; null for another form."""
+    body = F.regexp_extract(text, r"^\s*format:\s*((?:[^=;]+=[^=;]+;?\s*)*)intrusion:\s*\S.*$", 1)
+    pairs = F.filter(F.transform(F.split(body, ";"), lambda x: F.trim(x)), lambda x: x != "")
+    entries = F.map_from_entries(F.transform(pairs, lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)), F.trim(F.substring_index(x, "=", -1)))))
+    return F.when(text.rlike(r"^\s*format:\s*(?:[^=;]+=[^=;]+;?\s*)*intrusion:\s*\S"), entries)
+
+
+def numbers_in(json: Column) -> Column:
+    """Every number of a JSON text that is a value, in order; those in strings and words do not count."""
+    bare = F.regexp_replace(json, r'"(?:[^"\\]|\\.)*"', '""')
+    return F.transform(F.regexp_extract_all(bare, F.lit(r"(?<![\w.])(-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)(?![\w.])"), F.lit(1)), lambda x: x.cast("double"))
+
+
+def last_json(text: Column, schema: str) -> Column:
+    """The last block in braces of a reply, read with ``schema``; null where there is none that fits."""
+    block = F.regexp_extract(text, r"(?s)(\{[^{}]*(?:\{[^{}]*\}[^{}]*)*\})(?!.*\})", 1)
+    return F.when(block != "", F.from_json(block, schema))

@@ -134,3 +134,16 @@ def population_grid(spark: SparkSession, d: str) -> DataFrame:
     g = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).withColumn("replicate", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
     w = Window.orderBy("replicate", "r_regionkey", "n_nationkey")  # 75 rows: nations are a fixed dimension
     return g.select("n_nationkey", "r_regionkey", "replicate", (F.row_number().over(w) - 1).cast("long").alias("idx"))
+
+
+@query("""
+WITH t AS (SELECT conv_id, turn, role, last_value(CASE WHEN role = 'user' THEN coalesce(text, '') END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn, CASE WHEN role = 'user' THEN 0 ELSE 1 END ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS heard FROM conversations WHERE role IN ('user', 'assistant'))
+SELECT conv_id, turn, md5(coalesce(heard, '')) AS response_md5 FROM t WHERE role = 'assistant'""")
+def replay_answers(spark: SparkSession, d: str) -> DataFrame:
+    """A baseline system that repeats what it heard last, replayed over every conversation."""
+    from foldmark.streaming.replay import LastHeard, replay
+
+    c = table(spark, d, "conversations").withColumnsRenamed({"conv_id": "subject", "turn": "at"})
+    probes = c.where("role = 'assistant'").select("subject", "at", F.col("at").cast("string").alias("probe_id"), F.lit("?").alias("question"))
+    out = replay(c.where("role = 'user'").select("subject", "at", "text"), probes, LastHeard)
+    return out.select(F.col("subject").alias("conv_id"), F.col("probe_id").cast("long").alias("turn"), F.md5(F.col("response").cast("binary")).alias("response_md5"))

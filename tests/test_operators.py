@@ -128,3 +128,32 @@ def test_tables_check_keys_and_invariants(spark, tmp_path):
 def test_hidden_columns_stay_behind(spark):
     c = spark.createDataFrame([(1, "n", 2, 3.0, "s")], tables.TABLES["customer"].schema)
     assert tables.public("customer", c).columns == ["c_custkey", "c_nationkey", "c_mktsegment"]
+
+
+def test_replay_sees_nothing_late(spark):
+    from foldmark.streaming.replay import LastHeard, Silent, replay
+
+    s = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("b", 1, None)], "subject string, at int, text string")
+    p = spark.createDataFrame([("a", 0, "p0", "?"), ("a", 1, "p1", "?"), ("a", 2, "p2", "?"), ("a", 3, "p3", "?"), ("b", 5, "p4", "?"), ("c", 5, "p5", "?")], "subject string, at int, probe_id string, question string")
+    assert rows(replay(s, p, LastHeard), "probe_id", "response") == [("p0", ""), ("p1", "x"), ("p2", "x"), ("p3", "y"), ("p4", ""), ("p5", "")]
+    assert {r.response for r in replay(s, p, Silent).collect()} == {""}
+
+
+def test_reply_parsers(spark):
+    x = spark.createDataFrame([('format: a=b; c=d; intrusion: none',), ('so {"k": 1} and {"k": 2, "s": "9 {x"}',), ("no",)], "t string")
+    got = x.select(text.routine_answer(F.col("t")), text.numbers_in(F.lit('{"a": [1, -2.5e1, "7"], "b3": true}')), text.last_json(F.col("t"), "k int")).collect()
+    assert got[0][0] == {"a": "b", "c": "d"} and got[2][0] is None
+    assert got[0][1] == [1.0, -25.0]
+    assert got[2][2] is None
+
+
+def test_normal_quantile_and_scalar_rules(spark):
+    from statistics import NormalDist
+
+    from foldmark.functions import numbers
+
+    ps = [1e-9, 0.001, 0.02, 0.3, 0.5, 0.77, 0.999]
+    got = [r[0] for r in spark.createDataFrame([(p,) for p in ps], "p double").select(numbers.normal_quantile(F.col("p"))).collect()]
+    assert got == pytest.approx([NormalDist().inv_cdf(p) for p in ps], abs=1e-6)
+    one = spark.range(1).select(numbers.half_up(F.lit(2.5)), numbers.bucket(F.lit(5.0), [1, 5]), numbers.regime_multiplier(F.lit(0.5), F.lit(1.0)), *numbers.blend(F.lit(1.0), F.lit(3.0), F.lit(0.5)))
+    assert list(one.first()) == pytest.approx([3, 3, 0.5, 2.0, 2.0 * 2**0.5])
