@@ -92,8 +92,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     low, high, n = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
     low, high = low or 0, high or 0
     ranges = max(1, n // ROWS)
-    width = max(1, -(-(high - low + 1) // ranges))
-    rows = rows.withColumn("bucket", F.expr(f"coalesce((doc_id - {low}L) div {width}L, -1L)"))
+    width = min(max(1, -(-(high - low + 1) // ranges)), 2**63 - 1)
+    rows = rows.withColumn("bucket", F.expr(f"coalesce(doc_id div {width}L, bigint('{-(2**63)}'))"))
     firsts = rows.groupBy("bucket").agg(F.min(F.struct("doc_id", "tie")).alias("f"))
     by_range = Window.orderBy("bucket")  # a row a range, not a row a document
     everywhere = by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -388,7 +388,7 @@ def test_fingerprints_add_up(spark):
 
 def test_neighbours_of_odd_ids(spark, tmp_path):
     rng = random.Random(1)
-    ids = [None, 7, 7, -100, 10**15, 5, 6] + [rng.randrange(10**6) for _ in range(1500)]
+    ids = [None, 7, 7, -(2**63), 2**63 - 1, -100, 10**15, 5, 6] + [rng.randrange(10**6) for _ in range(1500)]
     rows = [(i, noise(rng, rng.randint(0, 5))) for i in ids] + [(3, None)]
     docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
     got = fingerprints.op9_fingerprints(spark, str(tmp_path)).collect()
