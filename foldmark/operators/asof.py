@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def asof_backward(left: DataFrame, right: DataFrame, by: str, on: str, value: str, out: str, width: str = "1 DAY", tie: str | None = None) -> DataFrame:
-    """``left`` with ``out``: ``value`` of the last row of ``right`` with equal ``by`` on or before ``on``.
+def asof_backward(left: DataFrame, right: DataFrame, by: str, on: str, value: str, out: str, unit: str = "DAY", tie: str | None = None) -> DataFrame:
+    """``left`` with ``out``: ``value`` of the last row of ``right`` with equal ``by`` on or before ``on``, in slices of a ``unit`` of time.
 
     Of right rows at one time the one with the greatest ``tie`` (else ``value``) counts; null keys match nothing.
     """
@@ -22,12 +22,12 @@ def asof_backward(left: DataFrame, right: DataFrame, by: str, on: str, value: st
     rows = left.select(*names, F.lit(None).cast(said.schema["__said"].dataType).alias("__said"), F.lit(1).alias("__side")).unionByName(
         said.select(by, on, "__said", F.lit(0).alias("__side")), allowMissingColumns=True
     )
-    rows = rows.withColumn("__slice", F.date_trunc(width.split()[1], F.col(on)))
+    rows = rows.withColumn("__slice", F.date_trunc(unit, F.col(on)))
     within = Window.partitionBy(by, "__slice").orderBy(on, "__side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("__seen", F.last("__said", ignorenulls=True).over(within)).where("__side = 1")
-    last = said.groupBy(by, F.date_trunc(width.split()[1], F.col(on)).alias("__slice")).agg(F.max_by("__said", on).alias("__last"))
+    last = said.groupBy(by, F.date_trunc(unit, F.col(on)).alias("__slice")).agg(F.max_by("__said", on).alias("__last"))
     # slices that only the left side has are asked for, too
-    slices = last.unionByName(left.select(by, F.date_trunc(width.split()[1], F.col(on)).alias("__slice")).distinct(), allowMissingColumns=True).groupBy(by, "__slice").agg(F.first("__last", ignorenulls=True).alias("__last"))
+    slices = last.unionByName(left.select(by, F.date_trunc(unit, F.col(on)).alias("__slice")).distinct(), allowMissingColumns=True).groupBy(by, "__slice").agg(F.first("__last", ignorenulls=True).alias("__last"))
     carry = Window.partitionBy(by).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     before = slices.withColumn("__carry", F.last("__last", ignorenulls=True).over(carry)).select(by, "__slice", "__carry")
     return rows.join(before, [by, "__slice"], "left").select(*names, F.coalesce("__seen", "__carry")["v"].alias(out))
@@ -51,11 +51,10 @@ def tolerance_anti(left: DataFrame, right: DataFrame, by: list[str], value: str,
     return left.join(other, same, "left_anti")
 
 
-def first_match(left: DataFrame, right: DataFrame, on: Column, keys: list[str], prefer: list[Column]) -> DataFrame:
-    """For each ``keys`` the row of the join that comes first in the order ``prefer``."""
-    joined = left.join(right, on)
-    best = F.min_by(F.struct("*"), F.struct(*prefer))
-    return joined.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(best.alias("b")).select("b.*")
+def first_match(left: DataFrame, right: DataFrame, on: Column, keys: list[str], prefer: list[Column], take: list[str]) -> DataFrame:
+    """``keys`` and the columns ``take`` of the row of the join that comes first in the order ``prefer``; an aggregate, no sort."""
+    best = F.min_by(F.struct(*take), F.struct(*prefer))
+    return left.join(right, on).groupBy(*keys).agg(best.alias("b")).select(*keys, "b.*")
 
 
 def paired_with_next(rows: DataFrame, by: str, on: str, closes: Column, out: str) -> DataFrame:

@@ -22,13 +22,10 @@ def spearman(rows: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     return ranked.groupBy(*keys).agg(F.count("*").alias("n"), F.when(F.count("*") >= 3, correlation("rx", "ry")).alias("rho"))
 
 
-def log_factorial(n: str) -> str:
-    return f"aggregate(sequence(1L, greatest(1L, {n})), 0D, (a, i) -> a + ln(cast(i AS double)))"
-
-
 def fisher_upper(hits: str, active: str, inactive: str, present: str) -> Column:
     """P(at least ``hits`` of ``present`` drawn are active) under random draws; names of long columns."""
-    choose = lambda n, k: f"(aggregate(sequence(1L, greatest(1L, {n})), 0D, (a, i) -> a + ln(cast(i AS double))) - aggregate(sequence(1L, greatest(1L, {k})), 0D, (a, i) -> a + ln(cast(i AS double))) - aggregate(sequence(1L, greatest(1L, {n} - {k})), 0D, (a, i) -> a + ln(cast(i AS double))))"
+    log_factorial = lambda n: f"aggregate(sequence(1L, greatest(1L, {n})), 0D, (a, i) -> a + ln(cast(i AS double)))"
+    choose = lambda n, k: f"({log_factorial(n)} - {log_factorial(k)} - {log_factorial(f'{n} - {k}')})"
     low, high = f"greatest({hits}, {present} - {inactive}, 0L)", f"least({active}, {present})"
     term = f"exp({choose(active, 'k')} + {choose(inactive, f'({present} - k)')} - {choose(f'({active} + {inactive})', present)})"
     return F.expr(f"if({low} > {high}, 0D, least(1D, aggregate(transform(sequence({low}, {high}), k -> {term}), 0D, (a, x) -> a + x)))")

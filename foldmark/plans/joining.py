@@ -76,8 +76,8 @@ def first_match_join(spark: SparkSession, d: str) -> DataFrame:
     """One line for each order: one not returned where there is one, else the first."""
     o, x = table(spark, d, "orders").select("o_orderkey"), table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice", "l_partkey")
     prefer = [F.expr("if(l_returnflag = 'N', 0, 1)"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_extendedprice")]
-    best = o.join(x, F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_orderkey").agg(F.min_by(F.struct("l_linenumber", "l_extendedprice"), F.struct(*prefer)).alias("b"))
-    return rounded(best.select("o_orderkey", "b.l_linenumber", F.col("b.l_extendedprice").alias("risk")), "risk", places=4)
+    best = asof.first_match(o, x, F.col("o_orderkey") == F.col("l_orderkey"), ["o_orderkey"], prefer, ["l_linenumber", "l_extendedprice"])
+    return rounded(best.withColumnRenamed("l_extendedprice", "risk"), "risk", places=4)
 
 
 @query("""
