@@ -23,11 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldmark.llm import decontamination, mixing, near_duplicates, quality, token_files
-from foldmark.llm.common import dropped, new_path, recorded, written
+from foldmark.llm.common import counted, dropped, new_path, recorded, written
 
 #: Share of all tokens that the mixture may hold, and how often a document may be drawn.
 MIXTURE_SHARE, MIXTURE_EPOCHS = 1.0, 2
-BROADCAST_ROWS = 500_000
 
 
 _left: list[str] = []  # tables of the last stage; its result was written before the next one is called
@@ -48,11 +47,6 @@ def _stage(fn: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[
     return run_stage
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """``df`` (written, ids only) as a broadcast side if it has few rows, else as it is."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 @_stage
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     net = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -68,9 +62,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     key = F.coalesce(F.md5(F.col("text").cast("binary")), F.concat(F.lit("null "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     left = docs.withColumn("__key", key)
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("key").alias("__gone"))
-    left = left.join(_small(gone), (F.col("__key") == F.col("__gone")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    left = left.join(counted(gone), (F.col("__key") == F.col("__gone")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
     if not twice.isEmpty():
-        again = _small(twice.select(F.col("class_id").alias("__id")))
+        again = counted(twice.select(F.col("class_id").alias("__id")))
         same = F.col("doc_id").eqNullSafe(F.col("__id"))
         first = left.join(again, same, "left_semi").withColumn("__who", F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).dropDuplicates(["__who"]).drop("__who")
         left = left.join(again, same, "left_anti").unionByName(first)
@@ -83,7 +77,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     who = F.xxhash64(F.col("doc_id"), F.col("text"))
     bad = decontamination.contaminated(docs.select(who.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     bad = written(bad.select(F.col("doc_id").alias("__bad")).distinct(), "contaminated")
-    return docs.withColumn("__who", who).join(_small(bad), F.col("__who") == F.col("__bad"), "left_anti").select(*docs.columns)
+    return docs.withColumn("__who", who).join(counted(bad), F.col("__who") == F.col("__bad"), "left_anti").select(*docs.columns)
 
 
 @_stage

@@ -67,6 +67,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of ids or labels that may be broadcast; tables are counted before, and joined by shuffle beyond.
+BROADCAST_ROWS = 500_000
+
+
+def counted(df: DataFrame) -> DataFrame:
+    """``df`` (written, a few numbers a row) as a broadcast side if it has few rows, else as it is."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Bound the Arrow batches that Python workers receive; long texts make 10,000 rows too many."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
