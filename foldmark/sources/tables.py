@@ -104,8 +104,7 @@ def read(spark: SparkSession, table: Table, path: str, kind: str = "parquet") ->
 
 def split_mixed(df: DataFrame, column: str) -> DataFrame:
     """A text column of numbers or words as ``<column>_num`` and ``<column>_text``, one of them filled."""
-    number = F.try_cast(F.col(column), "double") if hasattr(F, "try_cast") else F.expr(f"try_cast({column} AS double)")
-    return df.withColumn(f"{column}_num", number).withColumn(f"{column}_text", F.when(F.col(f"{column}_num").isNull(), F.col(column))).drop(column)
+    return df.withColumn(f"{column}_num", F.expr(f"try_cast({column} AS double)")).withColumn(f"{column}_text", F.when(F.col(f"{column}_num").isNull(), F.col(column))).drop(column)
 
 
 def join_mixed(df: DataFrame, column: str) -> DataFrame:
@@ -125,7 +124,7 @@ def pending(wanted: DataFrame, done: DataFrame, key: list[str]) -> DataFrame:
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     """Ratings from CSV: a blank rating is skipped, yes and no are told in any case, with or without a byte-order mark."""
     rows = spark.read.option("header", True).csv(path)
-    rows = rows.toDF(*(c.lstrip("﻿").strip() for c in rows.columns)).where("trim(coalesce(rating, '')) <> ''")
+    rows = rows.toDF(*(c.lstrip("\ufeff").strip() for c in rows.columns)).where("trim(coalesce(rating, '')) <> ''")
     return rows.withColumn("rating", F.when(F.lower(F.trim("rating")).isin("yes", "y", "1", "true"), True).when(F.lower(F.trim("rating")).isin("no", "n", "0", "false"), False))
 
 

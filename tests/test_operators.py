@@ -157,3 +157,29 @@ def test_normal_quantile_and_scalar_rules(spark):
     assert got == pytest.approx([NormalDist().inv_cdf(p) for p in ps], abs=1e-6)
     one = spark.range(1).select(numbers.half_up(F.lit(2.5)), numbers.bucket(F.lit(5.0), [1, 5]), numbers.regime_multiplier(F.lit(0.5), F.lit(1.0)), *numbers.blend(F.lit(1.0), F.lit(3.0), F.lit(0.5)))
     assert list(one.first()) == pytest.approx([3, 3, 0.5, 2.0, 2.0 * 2**0.5])
+
+
+def test_ratings_parts_and_metadata(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("﻿probe_id,rating\na,Yes\nb, no \nc,\nd,maybe\n", encoding="utf-8")
+    assert rows(tables.read_ratings(spark, f"file://{tmp_path}/r.csv"), "probe_id", "rating") == [("a", True), ("b", False), ("d", None)]
+    path = f"file://{tmp_path}/parts"
+    tables.append_parts(spark.createDataFrame([("p1", 1), ("p2", 2)], "pm_id string, v int"), "pm_id", path)
+    tables.append_parts(spark.createDataFrame([("p2", 3)], "pm_id string, v int"), "pm_id", path)
+    done = spark.read.parquet(path)
+    assert rows(done, "pm_id", "v") == [("p1", 1), ("p2", 3)]
+    wanted = spark.createDataFrame([("p1",), ("p3",)], "pm_id string")
+    assert rows(tables.pending(wanted, done, ["pm_id"]), "pm_id") == [("p3",)]
+    tables.metadata(spark, f"file://{tmp_path}/meta", {"rows": 3, "seed": "x"})
+    assert tables.metadata(spark, f"file://{tmp_path}/meta") == {"rows": 3, "seed": "x"}
+
+
+def test_precedence_samples_and_ids(spark):
+    x = spark.createDataFrame([("d", 1, "stop"), ("d", 2, "trim"), ("e", 3, "roll")], "k string, id int, action string")
+    ranked = rank.precedence(x, ["k"], [F.expr("array_position(array('stop', 'trim', 'roll'), action)"), F.col("id")])
+    assert rows(ranked, "id", "status") == [(1, "acted"), (2, "overridden"), (3, "acted")]
+    many = spark.range(200).withColumn("s", F.expr("id div 100"))
+    picked = rank.stratified_sample(many, "s", 5, "seed", "id")
+    assert {r[1] for r in picked.groupBy("s").count().collect()} == {5}
+    assert rows(picked, "id") == rows(rank.stratified_sample(many.repartition(7), "s", 5, "seed", "id"), "id")
+    u = [r[0] for r in many.select(rank.uniform("seed", "id")).collect()]
+    assert 0 <= min(u) and max(u) < 1 and 0.4 < sum(u) / len(u) < 0.6
