@@ -183,3 +183,38 @@ def test_precedence_samples_and_ids(spark):
     assert rows(picked, "id") == rows(rank.stratified_sample(many.repartition(7), "s", 5, "seed", "id"), "id")
     u = [r[0] for r in many.select(rank.uniform("seed", "id")).collect()]
     assert 0 <= min(u) and max(u) < 1 and 0.4 < sum(u) / len(u) < 0.6
+
+
+def test_asof_against_brute_force(spark):
+    import random
+    from datetime import timedelta
+
+    rng, start = random.Random(5), datetime(2024, 1, 1)
+    at = lambda: start + timedelta(hours=rng.randrange(24 * 12))
+    left = [(i, rng.choice("aab"), at()) for i in range(300)]
+    right = [(rng.choice("abc"), at(), float(v)) for v in range(80)]
+    want = []
+    for i, k, t in left:
+        seen = [(u, v) for key, u, v in right if key == k and u <= t]
+        want.append((i, max(seen)[1] if seen else None))
+    got = asof.asof_backward(spark.createDataFrame(left, "id int, k string, ts timestamp"), spark.createDataFrame(right, "k string, ts timestamp, v double"), "k", "ts", "v", "got")
+    assert rows(got, "id", "got") == sorted(want, key=repr)
+
+
+def test_paired_with_next_is_strictly_later(spark):
+    t = lambda h: datetime(2024, 1, 1, h)
+    x = spark.createDataFrame([("a", t(1), "open"), ("a", t(1), "close"), ("a", t(3), "close"), ("a", t(4), "open")], "k string, ts timestamp, what string")
+    got = asof.paired_with_next(x, "k", "ts", F.col("what") == "close", "until").where("what = 'open'")
+    assert rows(got, "ts", "until") == sorted([(t(1), t(3)), (t(4), None)], key=repr)
+
+
+def test_session_windows_of_a_stream(spark, tmp_path):
+    from foldmark.streaming import windows as stream
+
+    t = lambda d, h: datetime(2024, 1, d, h)
+    events = spark.createDataFrame([(1, t(1, 1), 7, "x", 1.0, None), (2, t(1, 1), 7, "x", 1.0, None), (3, t(1, 5), 7, "x", 1.0, None), (4, t(9, 1), 8, "x", 1.0, None)], stream.EVENTS)
+    events.write.parquet(f"{tmp_path}/in")
+    q = stream.sessions(stream.read_events(spark, f"{tmp_path}/in", 10)).writeStream.outputMode("append").format("memory").queryName("sessions").start()
+    q.processAllAvailable()
+    q.stop()
+    assert rows(spark.sql("SELECT user_id, n FROM sessions"), "user_id", "n") == [(7, 1), (7, 2)]
