@@ -65,12 +65,13 @@ _NEVER = INLINE | RAW | {"#root", "html", "body", "head", "li"}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "attrs", "parts", "hash", "has_text", "article")
+    __slots__ = ("tag", "parent", "attrs", "parts", "hash", "has_text", "article", "title")
 
     def __init__(self, tag: str, parent: int, attrs: str):
         self.tag, self.parent, self.attrs = tag, parent, attrs
         self.parts: list[str | int] = []  # texts and numbers of child elements, in order
-        self.hash, self.has_text, self.article = 0, False, False
+        self.hash, self.has_text = 0, False
+        self.article = self.title = False  # whether an article or main element, or an h1, lies within
 
 
 def parse(html: str) -> list[Node]:
@@ -155,6 +156,7 @@ def mark(nodes: list[Node]) -> None:
                 parts.append(str(child.hash))
                 node.has_text |= child.has_text
                 node.article |= child.article or child.tag in ("article", "main")
+                node.title |= child.title or child.tag == "h1"
             elif words := part.split():
                 node.has_text = True
                 parts.append(" ".join(words))
@@ -173,9 +175,11 @@ def counted(nodes: list[Node]) -> set[int]:
 
 
 def _shy(node: Node) -> bool:
+    if node.article or node.tag == "form" and node.title:
+        return False  # some sites put the whole page into a form
     if node.tag in NO_TEXT:
         return True
-    if not node.attrs or node.article:
+    if not node.attrs:
         return False
     a = attributes(node.attrs)
     if "hidden" in a or a.get("aria-hidden", "").lower() == "true" or a.get("role", "").lower() in ROLES:

@@ -70,6 +70,8 @@ def test_main_text():
     assert text("<main><p>a<p>b<aside>c</aside></main><p>d") == "a b"
     assert text("<p>x</p><!-- <p>no</p> --><form>f</form><p hidden>h</p><ul><li>1<li>2</ul>") == "x 1 2"
     assert text("<article>cut <p>off &am") == "cut off &am"
+    assert text("<form><nav>n</nav><article><p>a</article></form>") == "a" and text("<body><form><h1>t</h1><p>b</form><form>search</form>") == "t b"
+    assert text("<aside><article><p>teaser</article></aside><article><p>the long story</article>") == "the long story"
 
 
 def _marked(h):
