@@ -11,8 +11,12 @@
    before. One document of each bucket, its star, is compared with all others of other classes: never
    all pairs. The next turns take other stars for the buckets that still hold several classes: the
    member nearest to the bucket's consensus of samples where it has many (it finds the text that the others
-   were varied from) and the greatest elsewhere, then by hash. It ends with a turn from the ``TURNS``-th on that finds no link.
-4. A pair is a link if its exact weighted Jaccard similarity is ``SIMILARITY`` or more. Classes are the
+   were varied from) and the greatest elsewhere, then by hash. They end with a turn from the ``TURNS``-th on that finds no link.
+4. What is then left of the buckets that hold several classes is joined exactly, without all pairs: texts
+   whose similarity is ``SIMILARITY`` or more share a shingle among the rarest of either (prefix filter),
+   and the weight from that shingle on bounds what they can have in common. Pairs of different classes
+   that pass are compared, so no link between members of one bucket is lost.
+5. A pair is a link if its exact weighted Jaccard similarity is ``SIMILARITY`` or more. Classes are the
    connected components of the links; a class is named by its least doc_id.
 
 Buckets are only ever aggregated or joined by key, so one with a third of all rows is split by AQE. Ids
@@ -33,13 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldmark.llm.common import BROADCAST_ROWS, map_arrow, pieces, written
+from foldmark.llm.common import BROADCAST_ROWS, counted, map_arrow, pieces, written
 from foldmark.llm.components import components
 from foldmark.llm.quality import with_text
 from foldmark.llm.words import Words, mix, rolling, valid, words_of
 
 SHINGLE, SIMILARITY, RARE = 5, 0.8, 1e-3
 BANDS, ROWS, TURNS, MANY = 12, 4, 3, 8
+SLOTS = 1 << 16  # of the table that orders shingles by how many texts hold them; broadcast
 _FLUSH = 1 << 22
 
 _rng = np.random.default_rng(97)
@@ -222,6 +227,72 @@ def _opened(members: DataFrame, classes: DataFrame, texts: DataFrame, turn: int)
     return written(current.join(stars, "bucket"), "opened")
 
 
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return (mix(hashes) >> np.uint64(48)).astype(np.int64)
+
+
+def _often(texts: DataFrame, idf: Idf) -> np.ndarray:
+    """Texts that hold a shingle of each slot. Any order of shingles makes the prefix filter exact; rarest first makes it sharp."""
+    sent = texts.sparkSession.sparkContext.broadcast(idf)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(SLOTS, np.int64)
+        for batch in pieces(batches):
+            n += np.bincount(_slot(shingles(words_of(batch.column(0)), sent.value)[1]), minlength=SLOTS)
+        slots = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(n[slots])], ["slot", "n"])
+
+    counts = map_arrow(texts.select("text"), run, "slot int, n long").groupBy("slot").agg(F.least(F.sum("n"), F.lit(2**31 - 1)).cast("int").alias("n")).toPandas()
+    out = np.zeros(SLOTS, np.int32)
+    out[counts["slot"].to_numpy()] = counts["n"].to_numpy()
+    return out
+
+
+def _prefixes(texts: DataFrame, idf: Idf, least: float) -> DataFrame:
+    """``shingle, rep, label, total, rest``: the rarest shingles of each text, until the ``rest`` from one on is
+    less than ``least`` of its ``total`` weight; without those that no other text has."""
+    context = texts.sparkSession.sparkContext
+    sent, often = context.broadcast(idf), context.broadcast(_often(texts, idf))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, most_bytes=1 << 19):
+            doc, hashes, weight = shingles(words_of(batch.column(0)), sent.value)
+            n = often.value[_slot(hashes)]
+            order = np.lexsort((hashes, n, doc))
+            doc, hashes, weight, n = doc[order], hashes[order], weight[order], n[order]
+            total = np.bincount(doc, weight, batch.num_rows)
+            before = np.cumsum(weight) - weight
+            rest = total[doc] - (before - before[np.searchsorted(doc, doc)])
+            keep = np.flatnonzero((rest >= least * total[doc] * (1 - 1e-6)) & (n > 1))
+            at = pa.array(doc[keep])
+            columns = [pa.array(hashes[keep].view(np.int64)), batch.column(1).take(at), batch.column(2).take(at), pa.array(total[doc[keep]]), pa.array(rest[keep])]
+            yield pa.RecordBatch.from_arrays(columns, ["shingle", "rep", "label", "total", "rest"])
+
+    return map_arrow(texts.select("text", "rep", "label"), run, "shingle long, rep long, label long, total double, rest double")
+
+
+def _candidates(texts: DataFrame, idf: Idf, least: float) -> DataFrame:
+    """``a, b``: every pair of ``texts`` (rep, label, text) of different labels that can be similar by ``least``."""
+    rows = written(_prefixes(texts, idf, least), "prefixes")
+    # a shingle's largest class is joined with the others only, never with itself
+    tops = rows.groupBy("shingle", "label").agg(F.count("*").alias("n")).groupBy("shingle").agg(F.max_by("label", F.struct("n", "label")).alias("top"), F.count("*").alias("k")).where("k > 1").select("shingle", "top")
+    shared = written(rows.join(tops, "shingle").withColumn("top", F.expr("label = top")), "shared")
+    # of two texts the lighter one needs a shorter prefix: they have 2 * least / (1 + least) of it in common
+    light = shared.where(F.col("rest") >= F.col("total") * (2 * least / (1 + least) * (1 - 1e-6)))
+    x = light.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("rep", "label", "total", "rest", "top")))
+    y = shared.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("rep", "label", "total", "rest", "top")))
+    both = x.where("top_a").join(y.where("not top_b"), "shingle").unionByName(x.where("not top_a").join(y, "shingle"))
+    fits = F.least("rest_a", "rest_b") >= (F.col("total_a") + F.col("total_b")) * (least / (1 + least) * (1 - 1e-6))
+    return both.where(F.expr("label_a <> label_b and total_a <= total_b") & fits).select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
+
+
+def _linked(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """``classes`` after the links ``found``: links between documents are links between the classes that they are in by now."""
+    links = found.join(classes.select(F.col("rep").alias("a"), F.col("label").alias("x")), "a").join(classes.select(F.col("rep").alias("b"), F.col("label").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    named = components(links).select(F.col("v").alias("label"), F.col("label").alias("new"))
+    return written(classes.join(named, "label", "left").select("rep", F.coalesce("new", "label").alias("label")), "classes")
+
+
 def near_duplicates(docs: DataFrame, similarity_at_least: float = SIMILARITY) -> DataFrame:
     """``doc_id, key, class_id`` of each row of ``docs`` (doc_id, text); ``key`` tells texts apart."""
     docs = with_text(docs).withColumn("key", F.coalesce(F.md5(F.col("text").cast("binary")), F.concat(F.lit("null "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
@@ -252,14 +323,17 @@ def near_duplicates(docs: DataFrame, similarity_at_least: float = SIMILARITY) ->
         found = written(_verified(pairs, held, idf).where(F.col("similarity") >= similarity_at_least).select("a", "b"), "found")
         compared = pairs if compared is None else compared.unionByName(pairs)
         if not found.isEmpty():
-            # links between documents are links between the classes that they are in by now
-            links = found
-            if turn > 1:
-                links = found.join(classes.select(F.col("rep").alias("a"), F.col("label").alias("x")), "a").join(classes.select(F.col("rep").alias("b"), F.col("label").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-            named = components(links).select(F.col("v").alias("label"), F.col("label").alias("new"))
-            classes = written(classes.join(named, "label", "left").select("rep", F.coalesce("new", "label").alias("label")), "classes")
+            classes = _linked(classes, found)
         elif turn >= TURNS:
             break
+    # the last turn changed no class: its members are those of the buckets that still hold several
+    if not members.isEmpty():
+        still = written(members.select("rep", "label").distinct(), "still")
+        still = written(held.join(counted(still), "rep").select("rep", "label", "text"), "open")
+        pairs = written(_candidates(still, idf, similarity_at_least).join(compared, ["a", "b"], "left_anti"), "pairs")
+        found = written(_verified(pairs, held, idf).where(F.col("similarity") >= similarity_at_least).select("a", "b"), "found")
+        if not found.isEmpty():
+            classes = _linked(classes, found)
     labelled = written(texts.join(classes, "rep", "left").select("key", "doc_id", F.coalesce("label", "rep").alias("label")), "labelled")
     least = labelled.groupBy("label").agg(F.min("doc_id").alias("class_id"))
     return signed.select("doc_id", "key").join(labelled.select("key", "label"), "key").join(least, "label").select("doc_id", "key", "class_id")

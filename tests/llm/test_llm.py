@@ -174,6 +174,22 @@ def test_near_duplicates_of_a_star(spark):
     assert sum(got[i] != want[i] for i in want) <= 2
 
 
+def test_near_duplicates_in_a_hot_bucket(spark):
+    """Hundreds of texts that share a passage, too little to be near; pairs among them barely are."""
+    rng = random.Random(21)
+    passage = noise(rng, 260)
+    rows = [(k, f"{passage} {noise(rng, 22)}") for k in range(600)]
+    rows += [(1000 + k, " ".join(rows[k][1].split()[:267] + noise(rng, 15).split())) for k in range(60)]
+    want = {i: i % 1000 for i, _ in rows}
+    frame = docs(spark, rows + [(5000 + k, noise(rng, 5)) for k in range(20_000)])  # the passage is rare in the corpus
+    idf = near_duplicates.word_frequencies(frame)
+    near = near_duplicates.similarity(pa.array([rows[k][1] for k in range(60)]), pa.array([t for _, t in rows[600:]]), idf)
+    far = near_duplicates.similarity(pa.array([rows[0][1]] * 599), pa.array([t for _, t in rows[1:600]]), idf)
+    assert near.min() >= near_duplicates.SIMILARITY and 0.7 < far.min() and far.max() < near_duplicates.SIMILARITY
+    got = {r.doc_id: r.class_id for r in near_duplicates.near_duplicates(frame).where("doc_id < 5000").collect()}
+    assert got == want
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (3, 4), (4, 5), (9, 8), (8, 7), (20, 20)] + [(k, k + 1) for k in range(100, 140)]
     got = {r.v: r.label for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
