@@ -6,7 +6,8 @@
    subtree on ``MIN_PAGES`` or more such pages of its host belongs to the template.
 3. Each page is cut down to its article: subtrees of the template go, then those whose tag, role or
    class says that they are navigation, notices, adverts, forms, comments and the like. What is left
-   inside ``article`` (else ``main``, else the body) is the text. Paragraph-like elements inside an
+   inside ``article`` (else ``main``, else the body) is the text; several articles are joined in page
+   order, and a ``main`` with text beside its articles is read whole. Paragraph-like elements inside an
    article stay even if they recur, as sites do republish passages.
 
 Copies of a page count once (by the digest of their html), so a page that is posted many times keeps its text.
@@ -177,6 +178,10 @@ def counted(nodes: list[Node]) -> set[int]:
 def _shy(node: Node) -> bool:
     if node.article or node.tag == "form" and node.title:
         return False  # some sites put the whole page into a form
+    return _named_shy(node)
+
+
+def _named_shy(node: Node) -> bool:
     if node.tag in NO_TEXT:
         return True
     if not node.attrs:
@@ -193,7 +198,7 @@ def _shy(node: Node) -> bool:
 def main_text(nodes: list[Node], template: set[int]) -> str:
     """Text of the article of a marked page without the subtrees whose hash is in ``template``."""
 
-    def gather(top: int, article: bool) -> str:
+    def gather(top: int, article: bool, without: frozenset[int] = frozenset()) -> str:
         out: list[str] = []
         stack: list[str | int] = [top]
         while stack:
@@ -202,7 +207,7 @@ def main_text(nodes: list[Node], template: set[int]) -> str:
                 out.append(part)
                 continue
             node = nodes[part]
-            if part != top and (node.hash in template and node.tag not in INLINE and not (article and node.tag in FLOW) or _shy(node)):
+            if part != top and (part in without or node.hash in template and node.tag not in INLINE and not (article and node.tag in FLOW) or _shy(node)):
                 if node.tag not in INLINE:
                     out.append(" ")
                 continue
@@ -216,17 +221,24 @@ def main_text(nodes: list[Node], template: set[int]) -> str:
                 stack.extend(reversed(node.parts))
         return " ".join("".join(out).split())
 
-    for want in ("article", "main"):
-        tops, inside = [], set()
-        for k, node in enumerate(nodes):
-            if node.parent in inside or k and _shy(node) or node.tag == want and node.parent in inside:
-                inside.add(k)
-            elif node.tag == want or want == "main" and node.attrs and attributes(node.attrs).get("role") == "main":
-                tops.append(k)
-                inside.add(k)
-        texts = [t for k in tops if (t := gather(k, True))]
-        if texts:
-            return max(texts, key=len)
+    closed, main, depth = [False] * len(nodes), [-1] * len(nodes), [0] * len(nodes)
+    articles, mains = [], []
+    for k, node in enumerate(nodes):
+        if k:
+            closed[k], main[k], depth[k] = closed[node.parent], main[node.parent], depth[node.parent] + _named_shy(node)
+        if closed[k] or k and _shy(node):
+            closed[k] = True
+        elif node.tag == "article":
+            articles.append(k)
+            closed[k] = True
+        elif main[k] < 0 and (node.tag == "main" or node.attrs and attributes(node.attrs).get("role") == "main"):
+            mains.append(k)
+            main[k] = k
+    whole = {m for m in mains if gather(m, True, frozenset(articles))}
+    texts = [(depth[k], t) for k in sorted([*whole, *(k for k in articles if main[k] not in whole)]) if (t := gather(k, True))]
+    if texts:  # an article within an aside is a teaser if there are others outside of it
+        least = min(d for d, _ in texts)
+        return " ".join(t for d, t in texts if d == least)
     return gather(0, False)
 
 

@@ -74,6 +74,13 @@ def test_main_text():
     assert text("<aside><article><p>teaser</article></aside><article><p>the long story</article>") == "the long story"
 
 
+def test_all_articles_and_main_beside_them():
+    text = lambda h: html.main_text(_marked(h), set())
+    assert text("<article><p>part one is longer</article><p>x<article><p>part two</article>") == "part one is longer part two"
+    assert text("<main><h1>t</h1><p>long prose</p><article><p>teaser</article><p>end</main><article>after</article>") == "t long prose teaser end after"
+    assert text("<main><article>a</article><article class=comment>c</article><article>b</article></main>") == "a b"
+
+
 def _marked(h):
     nodes = html.parse(h)
     html.mark(nodes)
