@@ -56,18 +56,20 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 @_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     classes = written(near_duplicates.near_duplicates(docs), "classes")
-    # rows equal in id and text are one document, too
-    gone = written(classes.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id", "key").distinct(), "gone")
-    twice = written(classes.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.count("*").alias("n"), F.min("key").alias("key")).where("n > 1"), "twice")
+    # one text of each class stays, under its least id; ids may be null or repeat, so classes go by their label
+    leads = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    twice = written(leads.groupBy("label").agg(F.count("*").alias("n"), F.min("key").alias("first"), F.first("class_id").alias("class_id")).where("n > 1"), "twice")
+    others = leads.join(counted(twice.select("label", "first")), "label").where("key <> first")
+    gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id", "key").unionByName(others.select("doc_id", "key"))
+    gone = written(gone.distinct(), "gone")
     key = F.coalesce(F.md5(F.col("text").cast("binary")), F.concat(F.lit("null "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     left = docs.withColumn("__key", key)
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("key").alias("__gone"))
     left = left.join(counted(gone), (F.col("__key") == F.col("__gone")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
-    if not twice.isEmpty():
-        again = counted(twice.select(F.col("class_id").alias("__id")))
-        same = F.col("doc_id").eqNullSafe(F.col("__id"))
-        first = left.join(again, same, "left_semi").withColumn("__who", F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).dropDuplicates(["__who"]).drop("__who")
-        left = left.join(again, same, "left_anti").unionByName(first)
+    if not twice.isEmpty():  # rows equal in id and text are one document, too
+        again = counted(twice.select(F.col("class_id").alias("__id"), F.col("first").alias("__first")))
+        same = (F.col("__key") == F.col("__first")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+        left = left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates(["doc_id", "__key"]))
     return left.select(*docs.columns)
 
 

@@ -294,7 +294,8 @@ def _linked(classes: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, similarity_at_least: float = SIMILARITY) -> DataFrame:
-    """``doc_id, key, class_id`` of each row of ``docs`` (doc_id, text); ``key`` tells texts apart."""
+    """``doc_id, key, class_id, label`` of each row of ``docs`` (doc_id, text); ``key`` tells texts apart and
+    ``label`` classes: unrelated ones have one ``class_id`` where ids are null or repeat."""
     docs = with_text(docs).withColumn("key", F.coalesce(F.md5(F.col("text").cast("binary")), F.concat(F.lit("null "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     idf = word_frequencies(docs)
     signed = written(signatures(docs, idf), "signatures")
@@ -336,7 +337,7 @@ def near_duplicates(docs: DataFrame, similarity_at_least: float = SIMILARITY) ->
             classes = _linked(classes, found)
     labelled = written(texts.join(classes, "rep", "left").select("key", "doc_id", F.coalesce("label", "rep").alias("label")), "labelled")
     least = labelled.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    return signed.select("doc_id", "key").join(labelled.select("key", "label"), "key").join(least, "label").select("doc_id", "key", "class_id")
+    return signed.select("doc_id", "key").join(labelled.select("key", "label"), "key").join(least, "label").select("doc_id", "key", "class_id", "label")
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,6 +38,14 @@ def test_one_of_each_group_stays(spark):
     assert sorted(got, key=repr) == sorted([(3, a), (1, b), (7, None), (8, None), (4, "")], key=repr)
 
 
+def test_unrelated_texts_stay_under_null_and_repeated_ids(spark):
+    rng = random.Random(4)
+    a, b, c, d = (noise(rng, 100) for _ in range(4))
+    rows = [(None, a), (None, b), (None, b + " x"), (7, c), (7, d), (7, c), (None, None)]
+    got = [(r.doc_id, r.text) for r in pipeline.drop_near_duplicates(spark, docs(spark, rows), FOLDER).collect()]
+    assert len(got) == 5 and {(None, a), (7, c), (7, d), (None, None)} < set(got) and len({(None, b), (None, b + " x")} & set(got)) == 1
+
+
 def test_decontamination_stage(spark, tmp_path):
     rng = random.Random(3)
     item = noise(rng, 30)
