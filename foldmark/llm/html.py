@@ -3,12 +3,12 @@
 1. Each page is parsed into elements. Every block element with text gets a hash of its subtree (tags,
    classes, text).
 2. Spark counts, for each host and subtree hash, the pages of different content that hold it. A
-   subtree on ``MIN_PAGES`` or more such pages of its host belongs to the template.
+   subtree on ``MIN_PAGES`` or more such pages of its host and on ``SHARE`` or more of them belongs to the template.
 3. Each page is cut down to its article: subtrees of the template go, then those whose tag, role or
    class says that they are navigation, notices, adverts, forms, comments and the like. What is left
    inside ``article`` (else ``main``, else the body) is the text; several articles are joined in page
-   order, and a ``main`` with text beside its articles is read whole. Paragraph-like elements inside an
-   article stay even if they recur, as sites do republish passages.
+   order, and a ``main`` with text beside its articles is read whole. Paragraph-like elements
+   are never counted and stay even if they recur, as sites do republish passages.
 
 Copies of a page count once (by the digest of their html), so a page that is posted many times keeps its text.
 Only hashes are shuffled for the counts: a common subtree is first made distinct per page content
@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldmark.llm.common import column_or_null, map_arrow, written
+from foldmark.llm.common import counted as counted_rows
 
-MIN_PAGES = 5
+MIN_PAGES, SHARE = 5, 0.01
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -165,12 +166,12 @@ def mark(nodes: list[Node]) -> None:
 
 
 def counted(nodes: list[Node]) -> set[int]:
-    """Hashes of the subtrees that may belong to a template; of those inside an article the ones that are not its flow of text."""
+    """Hashes of the subtrees that may belong to a template; not those that are flow of text, nor articles in articles."""
     inside: list[bool] = []
     out = set()
     for node in nodes:
         inside.append(node.parent >= 0 and inside[node.parent] or node.tag in ("article", "main"))
-        if node.has_text and not node.article and node.tag not in _NEVER and not (inside[-1] and (node.tag in FLOW or node.tag in ("article", "main"))):
+        if node.has_text and not node.article and node.tag not in _NEVER and node.tag not in FLOW and not (inside[-1] and node.tag in ("article", "main")):
             out.add(node.hash)
     return out
 
@@ -245,7 +246,7 @@ def main_text(nodes: list[Node], template: set[int]) -> str:
 _KEY = "xxhash64(coalesce(html, ''), host)"
 
 
-def template_subtrees(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+def template_subtrees(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
     """``key`` of a page and the ``template`` hashes among its subtrees; pages without any are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,9 +259,11 @@ def template_subtrees(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(marks, pa.list_(pa.int64()))], ["key", "host", "subtrees"])
 
     found = written(map_arrow(pages.selectExpr("key", "html", "xxhash64(host) AS host"), run, "key long, host long, subtrees array<long>"), "subtrees")
-    each = found.select("key", F.explode("subtrees").alias("subtree"), "host").select("key", F.xxhash64("host", "subtree").alias("place"), "subtree")
-    template = each.select("place", "key").distinct().groupBy("place").count().where(F.col("count") >= min_pages).select("place")
-    return each.join(template, "place").groupBy("key").agg(F.collect_set("subtree").alias("template"))
+    each = found.select("key", F.explode("subtrees").alias("subtree"), "host").select("key", F.xxhash64("host", "subtree").alias("place"), "subtree", "host")
+    many = each.select("place", "host", "key").distinct().groupBy("place", "host").count().where(F.col("count") >= min_pages)
+    hosts = written(found.select("host", "key").distinct().groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages), "hosts")
+    template = many.join(counted_rows(hosts), "host").where(F.col("count") >= F.col("pages") * share).select("place")
+    return each.drop("host").join(template, "place").groupBy("key").agg(F.collect_set("subtree").alias("template"))
 
 
 def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:

@@ -98,6 +98,15 @@ def test_template_is_found_by_counting(spark):
     assert html.extract_text(pages.limit(0)).count() == 0
 
 
+def test_template_is_a_share_of_its_host(spark):
+    """What recurs on 6 of 900 pages is no template; paragraph-like elements never are."""
+    box = lambda k: "<div class=x3><p>Method of the survey</p></div>" if k < 6 else ""
+    body = lambda k: f"<div class=x1><p>Site slogan</p></div><h2>Introduction</h2>{box(k)}<div class=x2>story number {k}</div>"
+    pages = spark.createDataFrame([(k, f"http://h.example/{k}", body(k)) for k in range(900)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.extract_text(pages).collect()}
+    assert got[3] == "Introduction Method of the survey story number 3" and got[800] == "Introduction story number 800"
+
+
 def test_pages_give_their_article(spark):
     from html import unescape
 
