@@ -3,13 +3,13 @@
 1. Seeds: every window of ``MIN_MATCH`` words of the test items (folded, without the marks at their
    ends) is hashed by Karp-Rabin. Items are a stated query set: they are broadcast in blocks of at
    most ``BLOCK`` words, one scan of the documents each, and documents probe a block with every window.
+   An item of fewer words is one seed, all its words; it is contaminated by each document that has them in a row.
 2. Where seeds of an item that a document shares could cover enough of it, the pair is tiled: the longest
    match of unmarked words is marked in both again and again, until none of ``MIN_MATCH`` is left.
 3. A document is contaminated by an item of which the tiles cover ``COVERAGE`` or more. Tiles may lie
    anywhere, so a passage whose sentences were put in another order is caught as well.
 
-No row is shuffled. Defined results: null or empty texts match nothing; items of fewer than
-``MIN_MATCH`` words match nothing; repeated documents each give their rows, repeated items too; an empty
+No row is shuffled. Defined results: null or empty texts match nothing; repeated documents each give their rows, repeated items too; an empty
 table gives an empty result; other columns are ignored.
 """
 
@@ -42,6 +42,7 @@ class Seeds:
     hashes: np.ndarray
     places: np.ndarray
     filter: np.ndarray
+    short: list[tuple[int, np.ndarray, np.ndarray]]  # number of words, hashes of the items that have so many, their places
 
     @classmethod
     def of(cls, ids: list[int | None], texts: list[str | None]) -> Seeds:
@@ -52,7 +53,13 @@ class Seeds:
         order = np.argsort(hashes, kind="stable")
         low = np.zeros(1 << 22, bool)
         low[hashes & np.uint64((1 << 22) - 1)] = True
-        return cls(np.array([-1 if i is None else i for i in ids], np.int64), items.first, words, hashes[order], places[order], low)
+        short = []
+        for size in np.unique(items.n[(items.n > 0) & (items.n < MIN_MATCH)]).tolist():
+            own = np.flatnonzero(items.n == size)
+            whole = rolling(words, size)[items.first[own]]
+            by = np.argsort(whole, kind="stable")
+            short.append((size, whole[by], own[by]))
+        return cls(np.array([-1 if i is None else i for i in ids], np.int64), items.first, words, hashes[order], places[order], low, short)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Places in ``hashes`` of the block's seeds."""
@@ -101,6 +108,14 @@ def matches(seeds: Seeds, texts: pa.Array, coverage: float) -> Iterator[tuple[in
     """``(text, item, coverage, number of tiles)`` of the pairs that reach ``coverage``."""
     docs = words_of(texts).trimmed()
     words = docs.hashes(lower=True)
+    for size, whole, own in seeds.short:
+        windows = rolling(words, size)
+        at = np.flatnonzero(np.isin(windows, whole))
+        at = at[valid(docs.first, size)[at]]
+        doc = np.searchsorted(docs.first, at, "right") - 1
+        left, right = np.searchsorted(whole, windows[at], "left"), np.searchsorted(whole, windows[at], "right")
+        for k, i in sorted({(int(d), int(i)) for d, x, y in zip(doc, left, right, strict=True) for i in own[x:y]}):
+            yield k, i, 1.0, 1
     hashes = rolling(words, MIN_MATCH)
     found = seeds.find(hashes)
     if not len(found):

@@ -293,6 +293,13 @@ def test_tiles_catch_reordered_passages(spark):
     assert decontamination.contaminated(docs(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_short_items_match_whole(spark):
+    bench = spark.createDataFrame([(1, "Too short"), (2, "a b c d"), (3, "too short!"), (4, "東京都庁"), (5, ""), (6, None), (7, "b c d e f")], "item_id long, text string")
+    rows = [(1, "it is (too SHORT), too short"), (2, "too"), (3, "short"), (4, "x a b c d, e"), (5, "東京都庁"), (6, "a b c"), (7, None), (8, "b c d e f")]
+    got = sorted((r.doc_id, r.item_id, r.coverage, r.n_tiles) for r in decontamination.contaminated(docs(spark, rows), bench).collect())
+    assert got == [(1, 1, 1.0, 1), (1, 3, 1.0, 1), (4, 2, 1.0, 1), (5, 4, 1.0, 1), (8, 7, 1.0, 1)]
+
+
 def test_tiles_against_brute_force():
     rng = random.Random(6)
     for _ in range(60):
