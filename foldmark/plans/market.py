@@ -89,11 +89,11 @@ def interval_coverage(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def market_paths(spark: SparkSession, d: str) -> DataFrame:
-    """Log-price paths of parts over a year of weekdays: a shared factor and own noise from keyed normals,
+    """Log-price paths of parts over the 260 weekdays of 52 weeks: a shared factor and own noise from keyed normals,
     summed in a window per instrument; nothing depends on the order of rows or partitions."""
     from foldmark.functions.dates import weekdays
 
-    days = weekdays(spark, "2024-01-01", "2024-03-29").select(F.struct("t", "day").alias("x")).agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    days = weekdays(spark, "2024-01-01", "2024-12-27").select(F.struct("t", "day").alias("x")).agg(F.sort_array(F.collect_list("x")).alias("xs"))
     parts = table(spark, d, "part").select("p_partkey", "p_retailprice", F.lit(1).alias("one"))
     grid = parts.join(F.broadcast(days.withColumn("one", F.lit(1))), "one").select("p_partkey", "p_retailprice", F.explode("xs").alias("x")).select("p_partkey", "p_retailprice", "x.t", "x.day")
     z = lambda purpose, *on: numbers.normal_quantile(F.least(F.greatest(rank.uniform(purpose, *on), F.lit(1e-12)), F.lit(1 - 1e-12)))

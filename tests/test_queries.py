@@ -48,3 +48,10 @@ def catalogue_ts():
     from pyspark.sql import functions as F
 
     return F.col("ts").cast("timestamp")
+
+
+def test_market_paths_run_over_52_weeks(spark):
+    from pyspark.sql import functions as F
+
+    paths = catalogue.QUERIES["market_paths"](spark, "/root/testdata/sf0.001").groupBy("p_partkey").agg(F.count("*").alias("n"), F.min("day").alias("a"), F.max("day").alias("b"))
+    assert {(r.n, r.a, r.b) for r in paths.collect()} == {(260, "2024-01-01", "2024-12-27")}
