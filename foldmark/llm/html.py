@@ -2,20 +2,26 @@
 
 1. Each page is parsed into elements. Every block element with text gets a hash of its subtree (tags,
    classes, text).
-2. Spark counts, for each host and subtree hash, the pages of different content that hold it. A
-   subtree on ``MIN_PAGES`` or more such pages of its host and on ``SHARE`` or more of them belongs to the template.
-3. Each page is cut down to its article: subtrees of the template go, then those whose tag, role or
-   class says that they are navigation, notices, adverts, forms, comments and the like. What is left
-   inside ``article`` (else ``main``, else the body) is the text; several articles are joined in page
-   order, and a ``main`` with text beside its articles is read whole. Paragraph-like elements
-   are never counted and stay even if they recur, as sites do republish passages.
+2. Spark counts, for each host and subtree hash, the pages of different content that hold it. A subtree on
+   ``MIN_PAGES`` or more such pages of its host and on ``SHARE`` or more of them belongs to the template. One
+   that is flow of text (a paragraph, a heading, a list item) outside of articles must be on ``FLOW_SHARE`` of
+   them, as sites do republish passages; within an article flow is never counted.
+3. Template subtrees go first, whatever their names. What does not recur goes by what HTML says of it: tags
+   and roles that are no article (``nav``, ``footer``, ``aside``, ``form``, ...), hidden elements, and boxes whose
+   class or id is made up of words for adverts, notices or comments alone (``cookie-banner``, ``ad``,
+   ``comment-list``; not ``has-comments``). Names never touch flow of text, the page or an article.
+4. What is left inside ``article`` (else ``main``, else the body) is the text; several articles are joined in
+   page order, and a ``main`` with text beside its articles is read whole.
 
 Copies of a page count once (by the digest of their html), so a page that is posted many times keeps its text.
 Only hashes are shuffled for the counts: a common subtree is first made distinct per page content
-and counted with partial aggregates, so a host with a third of all pages is no hot key.
+and counted with partial aggregates, so a host with a third of all pages is no hot key. Template hashes are
+sent to the tasks that cut the pages where they are few (counted before); else they are joined to the pages
+by page content and a salt, so neither a menu nor a page that is posted a million times is one key.
 
 Defined results: null or empty html gives an empty text; a null url is a host of its own; repeated
-rows each give their row; other columns are ignored; pages without markup are one block.
+rows each give their row; other columns, whatever their names, are ignored; pages without markup are one
+block; a very long page is parsed whole, in linear time; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,14 +32,15 @@ from html import unescape
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foldmark.llm.common import column_or_null, map_arrow, written
+from foldmark.llm.common import BROADCAST_ROWS, column_or_null, map_arrow, written
 from foldmark.llm.common import counted as counted_rows
 
-MIN_PAGES, SHARE = 5, 0.01
+MIN_PAGES, SHARE, FLOW_SHARE = 5, 0.01, 0.5
+SALTS = 16
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -54,26 +61,31 @@ NO_TEXT = frozenset(
 )
 FLOW = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th tr figcaption caption".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar status note".split())
-# fixed values: words in a class or id that name what is not the article
+# fixed values: words of a class or id that name what is not the article, and words that only say where or what a box is
 SHY = frozenset(
-    """ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promoted promotion banner cookie cookies consent gdpr notice notices
-    notification alert popup popover modal overlay nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager sidebar sidebars aside footer foot masthead
-    comment comments commentlist respond replies reply discussion disqus share sharing social follow newsletter subscribe subscription signup login related recommended
-    recommendations widget widgets toolbar skip copyright legal disclaimer outbrain taboola""".split()
+    """ad ads adv advert adverts advertisement advertisements advertising adsbygoogle sponsor sponsored sponsors promo promos banner banners cookie cookies consent gdpr notice notices
+    notification notifications alert alerts popup popover modal overlay nav navbar navigation menu menus breadcrumb breadcrumbs pagination pager sidebar sidebars aside footer foot masthead
+    comment comments commentlist respond discussion disqus newsletter subscribe subscription signup login widget widgets toolbar topbar topnav outbrain taboola""".split()
 )
-HEADERS = frozenset("header topbar topnav site-header page-header".split())
+PLAIN = frozenset(
+    """area bar block bottom box column container content count entry form global group header holder icon inner inline item items left line link links list main message outer page panel
+    primary region right row secondary section sheet site skip slot small text thread title top unit view wrap wrapper wide""".split()
+)
+# fixed values: names that speak against a box only if its text is mostly links
+LINKED = frozenset("related recommended recommendations share sharing social follow tags more-posts read-more".split())
 
 _NEVER = INLINE | RAW | {"#root", "html", "body", "head", "li"}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "attrs", "parts", "hash", "has_text", "article", "title")
+    __slots__ = ("tag", "parent", "attrs", "parts", "hash", "has_text", "article", "title", "size", "linked")
 
     def __init__(self, tag: str, parent: int, attrs: str):
         self.tag, self.parent, self.attrs = tag, parent, attrs
         self.parts: list[str | int] = []  # texts and numbers of child elements, in order
         self.hash, self.has_text = 0, False
         self.article = self.title = False  # whether an article or main element, or an h1, lies within
+        self.size = self.linked = 0  # characters of text, and those within links
 
 
 def parse(html: str) -> list[Node]:
@@ -159,20 +171,23 @@ def mark(nodes: list[Node]) -> None:
                 node.has_text |= child.has_text
                 node.article |= child.article or child.tag in ("article", "main")
                 node.title |= child.title or child.tag == "h1"
+                node.size += child.size
+                node.linked += child.size if child.tag == "a" else child.linked
             elif words := part.split():
                 node.has_text = True
                 parts.append(" ".join(words))
+                node.size += len(parts[-1])
         node.hash = xxhash.xxh64_intdigest("\x00".join(parts)) - (1 << 63)
 
 
-def counted(nodes: list[Node]) -> set[int]:
-    """Hashes of the subtrees that may belong to a template; not those that are flow of text, nor articles in articles."""
+def counted(nodes: list[Node]) -> dict[int, bool]:
+    """Hashes of the subtrees that may belong to a template, and whether they are flow of text; no flow within articles, nor articles in articles."""
     inside: list[bool] = []
-    out = set()
+    out = {}
     for node in nodes:
         inside.append(node.parent >= 0 and inside[node.parent] or node.tag in ("article", "main"))
-        if node.has_text and not node.article and node.tag not in _NEVER and node.tag not in FLOW and not (inside[-1] and node.tag in ("article", "main")):
-            out.add(node.hash)
+        if node.has_text and not node.article and node.tag not in _NEVER and not (inside[-1] and (node.tag in FLOW or node.tag in ("article", "main"))):
+            out[node.hash] = node.tag in FLOW
     return out
 
 
@@ -182,6 +197,12 @@ def _shy(node: Node) -> bool:
     return _named_shy(node)
 
 
+def _says(name: str) -> bool:
+    """Whether a class or id is made up of words for what is no article, and words of layout."""
+    words = [w for w in re.split(r"[_-]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if w and not w.isdigit()]
+    return any(w in SHY for w in words) and all(w in SHY or w in PLAIN for w in words)
+
+
 def _named_shy(node: Node) -> bool:
     if node.tag in NO_TEXT:
         return True
@@ -192,12 +213,18 @@ def _named_shy(node: Node) -> bool:
         return True
     if "display:none" in a.get("style", "").replace(" ", "").lower():
         return True
-    names = f"{a.get('class', '')} {a.get('id', '')}".lower()
-    return any(w in SHY for w in re.split(r"[\s_-]+", names)) or any(w in HEADERS for w in names.split()) and node.tag != "article"
+    if node.tag in FLOW or node.tag in ("html", "body", "main"):
+        return False
+    names = f"{a.get('class', '')} {a.get('id', '')}".split()
+    if node.tag == "article":
+        return any(n.lower() in ("comment", "comment-body", "reply") for n in names)
+    return any(map(_says, names)) or 2 * node.linked > node.size and any(n.lower() in LINKED for n in names)
 
 
 def main_text(nodes: list[Node], template: set[int]) -> str:
-    """Text of the article of a marked page without the subtrees whose hash is in ``template``."""
+    """Text of the article of a marked page without the subtrees whose hash is in ``template``.
+
+    An empty ``template`` is what is left of the method without its counts."""
 
     def gather(top: int, article: bool, without: frozenset[int] = frozenset()) -> str:
         out: list[str] = []
@@ -212,7 +239,7 @@ def main_text(nodes: list[Node], template: set[int]) -> str:
                 if node.tag not in INLINE:
                     out.append(" ")
                 continue
-            if node.tag == "header" and part != top and not article and not node.article:
+            if node.tag == "header" and part != top and not article and not node.article and not node.title:
                 continue
             if node.tag in INLINE:
                 stack.extend(reversed(node.parts))
@@ -246,45 +273,67 @@ def main_text(nodes: list[Node], template: set[int]) -> str:
 _KEY = "xxhash64(coalesce(html, ''), host)"
 
 
-def template_subtrees(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
-    """``key`` of a page and the ``template`` hashes among its subtrees; pages without any are left out."""
+def template_places(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> tuple[DataFrame, DataFrame]:
+    """``place`` (host and subtree) of all templates, and ``key, place, subtree`` of the subtrees of each page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = []
+            marks, flow = [], []
             for html in batch.column(1).to_pylist():
                 nodes = parse(html or "")
                 mark(nodes)
-                marks.append(list(counted(nodes)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(marks, pa.list_(pa.int64()))], ["key", "host", "subtrees"])
-
-    found = written(map_arrow(pages.selectExpr("key", "html", "xxhash64(host) AS host"), run, "key long, host long, subtrees array<long>"), "subtrees")
-    each = found.select("key", F.explode("subtrees").alias("subtree"), "host").select("key", F.xxhash64("host", "subtree").alias("place"), "subtree", "host")
-    many = each.select("place", "host", "key").distinct().groupBy("place", "host").count().where(F.col("count") >= min_pages)
+                found = counted(nodes)
+                marks.append([h for h, f in found.items() if not f])
+                flow.append([h for h, f in found.items() if f])
+            kind = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(marks, kind), pa.array(flow, kind)], ["key", "host", "subtrees", "flow"])
+
+    found = written(map_arrow(pages.selectExpr("key", "html", "xxhash64(host) AS host"), run, "key long, host long, subtrees array<long>, flow array<long>"), "subtrees")
+    boxes, lines = (found.select("key", F.explode(c).alias("subtree"), "host", F.lit(c == "flow").alias("flow")) for c in ("subtrees", "flow"))
+    each = boxes.unionByName(lines).select("key", F.xxhash64("host", "subtree").alias("place"), "subtree", "host", "flow")
+    many = each.select("place", "host", "flow", "key").distinct().groupBy("place", "host", "flow").count().where(F.col("count") >= min_pages)
     hosts = written(found.select("host", "key").distinct().groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages), "hosts")
-    template = many.join(counted_rows(hosts), "host").where(F.col("count") >= F.col("pages") * share).select("place")
-    return each.drop("host").join(template, "place").groupBy("key").agg(F.collect_set("subtree").alias("template"))
+    wanted = F.col("pages") * F.when(F.col("flow"), FLOW_SHARE).otherwise(share)
+    places = written(many.join(counted_rows(hosts), "host").where(F.col("count") >= wanted).select("place").distinct(), "places")
+    return places, each.select("key", "place", "subtree")
 
 
-def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """``page_id, url, text, n_chars`` for each row of ``pages`` (page_id, url, html)."""
+def _cut(html: str | None, template: set[int]) -> tuple[str, int]:
+    """The text of a page, and how many of its subtrees the template took."""
+    nodes = parse(html or "")
+    mark(nodes)
+    return main_text(nodes, template), sum(h in template for h in counted(nodes)) if template else 0
+
+
+def _joined(rows: DataFrame, few: DataFrame, on: str, spread: Column, broadcast_rows: int, how: str = "inner") -> DataFrame:
+    """``rows`` with their row of ``few`` (written, unique in ``on``): broadcast if it is small, else by key and a salt from ``spread``."""
+    if few.count() <= broadcast_rows:
+        return rows.join(F.broadcast(few), on, how)
+    salted = few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(spread, F.lit(SALTS)).cast("int")).join(salted, [on, "salt"], how)
+
+
+def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``page_id, url, text, n_chars, n_template`` for each row of ``pages`` (page_id, url, html); ``n_template`` subtrees were its site's."""
     pages = pages.select(
         column_or_null(pages, "page_id", T.LongType()).alias("page_id"), column_or_null(pages, "url", T.StringType()).alias("url"), column_or_null(pages, "html", T.StringType()).alias("html")
     )
     hosted = pages.withColumn("host", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)))
     keyed = hosted.withColumn("key", F.expr(_KEY))
-    joined = keyed.drop("host").join(template_subtrees(keyed, min_pages), "key", "left").select("page_id", "url", "html", "template")
+    places, each = template_places(keyed, min_pages)
+    # the subtrees of each page content that are its site's: a list that the number of templates does not lengthen
+    found = _joined(each, places, "place", F.col("key"), broadcast_rows).groupBy("key").agg(F.collect_set("subtree").alias("template"))
+    lists = written(found, "templates")
+    joined = _joined(keyed, lists, "key", F.xxhash64("page_id", "url"), broadcast_rows // 10, "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for html, template in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                nodes = parse(html or "")
-                mark(nodes)
-                texts.append(main_text(nodes, set(template or ())))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+            cut = [_cut(h, set(t or ())) for h, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            texts = [t for t, _ in cut]
+            counts = [pa.array([len(t) for t in texts], pa.int64()), pa.array([n for _, n in cut], pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), *counts], ["page_id", "url", "text", "n_chars", "n_template"])
 
-    return map_arrow(joined, run, "page_id long, url string, text string, n_chars long")
+    return map_arrow(joined.select("page_id", "url", "html", "template"), run, "page_id long, url string, text string, n_chars long, n_template long")
 
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,12 +99,71 @@ def test_template_is_found_by_counting(spark):
 
 
 def test_template_is_a_share_of_its_host(spark):
-    """What recurs on 6 of 900 pages is no template; paragraph-like elements never are."""
+    """What recurs on 6 of 900 pages is no template; a paragraph must recur on half of them, a heading within an article never is one."""
     box = lambda k: "<div class=x3><p>Method of the survey</p></div>" if k < 6 else ""
-    body = lambda k: f"<div class=x1><p>Site slogan</p></div><h2>Introduction</h2>{box(k)}<div class=x2>story number {k}</div>"
-    pages = spark.createDataFrame([(k, f"http://h.example/{k}", body(k)) for k in range(900)], "page_id long, url string, html string")
-    got = {r.page_id: r.text for r in html.extract_text(pages).collect()}
-    assert got[3] == "Introduction Method of the survey story number 3" and got[800] == "Introduction story number 800"
+    some = lambda k: "<h2>Introduction</h2>" if k % 3 == 0 else ""
+    body = lambda k: f"<div class=x1><p>Site slogan</p></div>{some(k)}{box(k)}<p>Since 1901</p><div class=x2>story number {k}</div>"
+    rows = [(k, f"http://h.example/{k}", body(k)) for k in range(900)] + [(k, f"http://a.example/{k}", f"<article><h2>Introduction</h2><div>box</div><p>own {k}</article>") for k in range(900, 910)]
+    got = {r.page_id: r.text for r in html.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[3] == "Introduction Method of the survey story number 3" and got[800] == "story number 800" and got[904] == "Introduction own 904"
+
+
+def test_names_do_not_take_the_text():
+    text = lambda h: html.main_text(_marked(h), set())
+    assert text('<article class="post has-comments"><p>one real paragraph</article>') == "one real paragraph"
+    assert text('<body class="no-sidebar"><div>one real paragraph</div>') == "one real paragraph"
+    assert text('<div class="content follow-up"><p>one real paragraph</div>') == "one real paragraph"
+    assert text('<article><section id="legal"><p>one real paragraph</section></article>') == "one real paragraph"
+    assert text('<article><p class="related">one real paragraph</article>') == "one real paragraph"
+    for name in ("cookie-banner", "ad", "sidebar-left", "comment-list", "adBox", "site_footer", "newsletter-signup"):
+        assert text(f'<div><p>text</div><div class="{name}"><p>gone</div>') == "text"
+    assert text('<p>text<div class="related"><a href="/1">other story</a></div><div class="related">and prose stays</div>') == "text and prose stays"
+
+
+def _sites(rng):
+    """Pages without ``article`` or telling names: only recurrence tells the site from the text. With what must be left."""
+    rows, want = [], {}
+    opaque = lambda: "c" + "".join(rng.choice("bcdfgh") for _ in range(5))
+    for site in range(6):
+        menu = [f"<div class={opaque()}><span>{noise(rng, 3)}</span><div><ul><li>{noise(rng, 1)}<li>{noise(rng, 2)}</ul></div></div>" for _ in range(2)]
+        foot = [f"<section class={opaque()}><p>{noise(rng, 6)}</p></section>" for _ in range(3)]
+        for k in range(rng.randint(30, 60)):
+            paragraphs = [noise(rng, rng.randint(3, 20)) for _ in range(rng.randint(1, 4))]
+            if rng.random() < 0.2:
+                paragraphs.append("a passage that some pages share")
+            main = "".join(f"<p>{p}</p>" for p in paragraphs)
+            page = f"<body>{rng.choice(menu)}<div class=b><div>{main}</div></div>{rng.choice(foot)}</body>"
+            rows.append((len(rows), f"http://s{site}.example/{k}", page))
+            want[len(rows) - 1] = " ".join(paragraphs)
+    return rows, want
+
+
+@pytest.mark.parametrize("broadcast_rows", [html.BROADCAST_ROWS, 0])
+def test_templates_by_recurrence_alone(spark, broadcast_rows):
+    rows, want = _sites(random.Random(12))
+    rows += rows[:5] + [(900, "http://s0.example/new", "<body><div class=b><div><p>" + "long " * 60_000 + "</p></div></div>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = html.extract_text(pages.withColumn("text", F.lit("clash")).withColumn("salt", F.lit(1)).withColumn("place", F.lit(2)), broadcast_rows=broadcast_rows).collect()
+    assert len(got) == len(rows) and all(r.text == want.get(r.page_id, r.text) and r.n_chars == len(r.text) for r in got)
+    assert {r.page_id: r.n_template > 0 for r in got if r.page_id < 900} == dict.fromkeys(want, True)
+    # without the counts no page loses its site
+    assert not any(html.main_text(_marked(h), set()) == want.get(k) for k, _, h in rows)
+
+
+def test_templates_against_brute_counts(spark):
+    rows, _ = _sites(random.Random(13))
+    rows += [(k, "http://s1.example/copy", rows[20][2]) for k in range(500, 510)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    where, contents, tag = defaultdict(set), defaultdict(set), {}
+    for _, url, h in rows:
+        host = url.split("/")[2]
+        contents[host].add(h)
+        for subtree, flow in html.counted(_marked(h)).items():
+            where[host, subtree].add(h)
+            tag[subtree] = flow
+    template = {w for w, own in where.items() if len(own) >= html.MIN_PAGES and len(own) >= (html.FLOW_SHARE if tag[w[1]] else html.SHARE) * len(contents[w[0]])}
+    want = {k: html.main_text(_marked(h), {s for host, s in template if host == url.split("/")[2]}) for k, url, h in rows}
+    assert {r.page_id: r.text for r in html.extract_text(pages).collect()} == want and len(template) > 20
 
 
 def test_pages_give_their_article(spark):
