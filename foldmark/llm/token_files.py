@@ -11,7 +11,8 @@ at most an unnamed file behind. Files go through ``pyarrow.fs`` to the folder th
 
 Defined results: a null text is an empty one (only the end id); ids are in ascending ``doc_id``
 order, nulls first, equal ids by text; repeated rows are separate documents; an empty table gives no
-files; a text is tokenized whole; strings of special tokens in a text are ordinary text.
+files; a text is tokenized whole, however long; a special token's string in a text is that token, as the
+plain call of the tokenizer has it; columns beside ``doc_id`` and ``text``, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ class Encoder:
     The pre-tokenizer of a byte-level BPE cuts before every single space and around every single line
     break, and no merge crosses a cut. So where a text has no longer runs of white space, its ids are
     those of its words in turn, each with the space before it; words seen lately keep theirs. Other
-    texts go through the tokenizer as they are.
+    texts, and those that hold a special token's string, go through the tokenizer as they are.
     """
 
     def __init__(self, path: str):
@@ -58,7 +59,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special))).search if special else lambda t: None
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.line_break = self.encode(["\n"])[0]
         self.marks = dict(zip(",.", self.encode([",", "."]), strict=True))
@@ -92,7 +94,7 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         # every word with the space before it, and line breaks
-        words = [t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if _plain(t) else None for t in texts]
+        words = [t.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if _plain(t) and not self.special(t) else None for t in texts]
         get = self.known.get
         ids = [w and list(map(get, w)) for w in words]
         gaps = [[k for k, g in enumerate(gs) if g is None] if gs and None in gs else () for gs in ids]
