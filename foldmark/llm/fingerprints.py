@@ -3,19 +3,23 @@
 A text is the multiset of its lines that are not blank. Each is hashed to a wide vector of integers and
 a document's fingerprint is the sum of the vectors, modulo powers of two:
 
-* 4 lanes of 60 bits, cut from the line's SHA-256: they decide equality, in any order of lines;
-* ``LANES`` lanes of 16 bits: the line's word triples, each as a vector of -1 and +1 from its hash, so
-  that the cosine of two documents' lanes estimates that of their counts of triples (standard error
-  about 0.09).
+* ``WIDE`` lanes modulo 2**60, expanded from the line's SHA-256 by seeded hashes: with 64 lanes, 3,840 bits
+  of additive hash decide equality, in any order of lines;
+* ``LANES`` lanes modulo 2**32: the line's word triples, each as a vector of -1 and +1 from its hash, so
+  that the cosine of two documents' lanes, read as signed numbers, estimates that of their counts of triples
+  (standard error about 0.09).
 
-As both parts are sums, a line's vector can be added or taken away later: :func:`combine`.
+Both parts are in the fingerprint in full and :func:`likeness` reads nothing else. As both are sums, a line's
+vector can be added or taken away later: :func:`combine`.
 
-Order of documents: the ids are cut into ranges of about ``ROWS`` rows; a range is ordered by one task,
+Order of documents: the ids are cut at their quantiles, and between these evenly, into ranges of about ``ROWS``
+rows; an id with more rows than that, and null ids, are cut by a hash of the text. A range is ordered by one task,
 and borrows the first row of the next range. One shuffle moves the texts; all else stays in place.
 
 Defined results: a null text is an empty one; its fingerprint is all zeros, like to another empty one
 (1) and to nothing else (0); equal ids are ordered by a hash of the text, null ids come first; repeated
-rows are separate documents; a single document is its own next; an empty table gives an empty result.
+rows are separate documents; a single document is its own next; an empty table gives an empty result; a very
+long text is summed in chunks; columns beside ``doc_id`` and ``text``, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -25,8 +29,9 @@ from pyspark.sql import functions as F
 
 from foldmark.llm.quality import with_text
 
-LANES, ROWS = 120, 500
+WIDE, LANES, ROWS, QUANTILES = 64, 120, 500, 256
 BROADCAST_ROWS = 200_000
+_MASK = (1 << 60) - 1
 _WORDS = 2  # 64-bit hashes a triple is spread over; each gives 60 lanes in 20 packed sums of 3 counts
 _PACKED = (1 << 40) | (1 << 20) | 1
 _CHUNK = 1 << 19  # triples that a packed sum may count
@@ -43,9 +48,13 @@ def _strong(text: str) -> str:
     return f"transform(filter(split({text}, '\\n'), p -> trim(p) <> ''), p -> sha2(p, 256))"
 
 
-def _lane_sums(hashes: str) -> str:
-    lane = "(a, x) -> (a + cast(conv(substr(x, {at}, 15), 16, 10) AS bigint)) & 1152921504606846975"
-    return "array(" + ", ".join(f"aggregate({hashes}, 0L, {lane.format(at=1 + 15 * k)})" for k in range(4)) + ")"
+def _lane_sums(digests: str) -> str:
+    return f"aggregate({digests}, array_repeat(0L, {WIDE}), (a, d) -> transform(a, (v, k) -> (v + (xxhash64(k, d) & {_MASK}L)) & {_MASK}L))"
+
+
+def _signed(x: str) -> str:
+    """``x`` modulo 2**32, as a signed number."""
+    return f"((({x}) + 2147483648L) & 4294967295L) - 2147483648L"
 
 
 def vectors(texts: DataFrame, text: str, keys: list[str]) -> DataFrame:
@@ -61,12 +70,13 @@ def vectors(texts: DataFrame, text: str, keys: list[str]) -> DataFrame:
     lanes = f"transform(sequence(0, {LANES - 1}), j -> 2 * (shiftrightunsigned(packed[j div 3], 20 * (j % 3)) & 1048575L) - n)"
     unpacked = packed.select(*keys, "strong", "n", F.expr(f"array({columns})").alias("packed")).select(*keys, "strong", F.expr(lanes).alias("lanes"))
     summed = unpacked.groupBy(*keys, "strong").agg(F.collect_list("lanes").alias("parts"))
-    return summed.select(*keys, "strong", F.expr("aggregate(slice(parts, 2, size(parts)), parts[0], (a, x) -> zip_with(a, x, (p, q) -> p + q))").alias("lanes"))
+    total = "aggregate(slice(parts, 2, size(parts)), parts[0], (a, x) -> zip_with(a, x, (p, q) -> p + q))"
+    return summed.select(*keys, "strong", F.expr(f"transform({total}, x -> {_signed('x')})").alias("lanes"))
 
 
 def text_of(strong: str, lanes: str) -> Column:
     """The fingerprint as hexadecimal digits."""
-    return F.expr(f"concat(array_join(transform({strong}, x -> lpad(lower(hex(x)), 15, '0')), ''), array_join(transform({lanes}, x -> lpad(lower(hex(x & 65535L)), 4, '0')), ''))")
+    return F.expr(f"concat(array_join(transform({strong}, x -> lpad(lower(hex(x)), 15, '0')), ''), array_join(transform({lanes}, x -> lpad(lower(hex(x & 4294967295L)), 8, '0')), ''))")
 
 
 def likeness(a: str, b: str) -> Column:
@@ -80,7 +90,43 @@ def likeness(a: str, b: str) -> Column:
 def combine(a: str, b: str, sign: int = 1) -> tuple[Column, Column]:
     """``strong`` and ``lanes`` after the lines of ``b`` joined (1) or left (-1) those of ``a``."""
     op = "+" if sign > 0 else "-"
-    return F.expr(f"zip_with({a}.strong, {b}.strong, (p, q) -> (p {op} q) & 1152921504606846975)"), F.expr(f"zip_with({a}.lanes, {b}.lanes, (p, q) -> p {op} q)")
+    return F.expr(f"zip_with({a}.strong, {b}.strong, (p, q) -> (p {op} q) & {_MASK}L)"), F.expr(f"zip_with({a}.lanes, {b}.lanes, (p, q) -> {_signed(f'p {op} q')})")
+
+
+def _decided(column: str, bounds: list[int], leaves: list[str]) -> str:
+    """SQL for the leaf of the range that ``column`` lies in; ``bounds`` are the first values of all ranges but the first."""
+    if not bounds:
+        return leaves[0]
+    mid = len(bounds) // 2
+    low, high = _decided(column, bounds[:mid], leaves[: mid + 1]), _decided(column, bounds[mid + 1 :], leaves[mid + 1 :])
+    return f"if({column} < {_long(bounds[mid])}, {low}, {high})"
+
+
+def _long(x: int) -> str:
+    return f"{x}L" if x > -(2**63) else "(-9223372036854775807L - 1L)"
+
+
+def range_of(rows: DataFrame, per_range: int = ROWS) -> tuple[str, int]:
+    """SQL for the number of the range of a row (doc_id, tie), ascending in both, and how many ranges there may be."""
+    quantiles = rows.where("doc_id IS NOT NULL").agg(F.percentile_approx("doc_id", [k / QUANTILES for k in range(QUANTILES + 1)], 10_000)).first()[0] or []
+    often = {v for v, w in zip(quantiles, quantiles[1:], strict=False) if v == w}
+    bounds = sorted({*quantiles[1:], *(v + 1 for v in often if v < 2**63 - 1)})
+    part = f"if(doc_id IS NULL, -1, {_decided('doc_id', bounds, [str(k) for k in range(len(bounds) + 1)])})"
+    # at most two rows for each quantile
+    sizes = {r.part: r for r in rows.groupBy(F.expr(part).alias("part")).agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).collect()}
+    leaves, before = [], 0
+    for k in range(-1, len(bounds) + 1):
+        own = sizes.get(k)
+        many = max(1, own.n // per_range) if own else 1
+        if many == 1:
+            leaves.append(f"{before}L")
+        elif own.low == own.high:  # one id, or none
+            leaves.append(f"({before}L + ((shiftright(tie, 32) + 2147483648L) * {many}L) div 4294967296L)")
+        else:
+            width = float(own.high) - float(own.low) + 1
+            leaves.append(f"({before}L + least({many - 1}L, bigint(floor((double(doc_id) - {float(own.low)!r}D) / {width!r}D * {many}D))))")
+        before += many
+    return f"if(doc_id IS NULL, {leaves[0]}, {_decided('doc_id', bounds, leaves[1:])})", before
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -89,20 +135,18 @@ def with_next(docs: DataFrame) -> DataFrame:
     A borrowed row is the first of the following range; it is there to be somebody's next.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
-    low, high, n = rows.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    low, high = low or 0, high or 0
-    ranges = max(1, n // ROWS)
-    width = min(max(1, -(-(high - low + 1) // ranges)), 2**63 - 1)
-    rows = rows.withColumn("bucket", F.expr(f"coalesce(doc_id div {width}L, bigint('{-(2**63)}'))"))
+    bucket, ranges = range_of(rows)
+    rows = rows.withColumn("bucket", F.expr(bucket))
     firsts = rows.groupBy("bucket").agg(F.min(F.struct("doc_id", "tie")).alias("f"))
     by_range = Window.orderBy("bucket")  # a row a range, not a row a document
     everywhere = by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     borrow = firsts.select(
         F.coalesce(F.lag("bucket").over(by_range), F.last("bucket").over(everywhere)).alias("to"), F.col("f.doc_id").alias("b_id"), F.col("f.tie").alias("b_tie"), F.col("bucket").alias("b_bucket")
     )
-    if ranges + 1 <= BROADCAST_ROWS:  # known before: a row of 32 bytes for each range
+    if ranges <= BROADCAST_ROWS:  # known before: a row of 32 bytes for each range
         borrow = F.broadcast(borrow)
-    lent = rows.join(borrow, (rows.bucket == F.col("b_bucket")) & rows.doc_id.eqNullSafe(F.col("b_id")) & (rows.tie == F.col("b_tie"))).select("doc_id", "text", "tie", F.col("to").alias("bucket"), F.lit(True).alias("borrowed"))
+    lent = rows.join(borrow, (rows.bucket == F.col("b_bucket")) & rows.doc_id.eqNullSafe(F.col("b_id")) & (rows.tie == F.col("b_tie")))
+    lent = lent.select("doc_id", "text", "tie", F.col("to").alias("bucket"), F.lit(True).alias("borrowed"))
     order = Window.partitionBy("bucket").orderBy("borrowed", "doc_id", "tie")
     return (
         rows.select("doc_id", "text", "tie", "bucket", F.lit(False).alias("borrowed"))

@@ -385,7 +385,6 @@ def reference_ids(texts):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(token_files.default_vocabulary())
-    t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -393,13 +392,15 @@ def test_encoder_is_exact():
     rng = random.Random(8)
     bits = ["a", "B", " ", "  ", "\n", " \n", ".", "1", "'s", "é", "<|endoftext|>", "\t", ", ", "²", "\0", "the", "The,"]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(4000)]
+    texts += ["<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|>b c", "x <|endoftext|", "word " * 200_000 + "end"]
     got = [np.frombuffer(x, np.uint16).tolist() for x in token_files.encoder(token_files.default_vocabulary())(texts)]
-    assert got == reference_ids(texts)
+    assert got == reference_ids(texts) and got[-5] == [50256]
 
 
 def test_token_files_round_trip(spark):
     rows = [(3, "c and\nmore"), (1, None), (2, "word " * 3000), (None, "first"), (2, "again"), (3, "c and\nmore"), (-5, "")]
-    manifest = token_files.write_token_files(docs(spark, rows), length=16)
+    frame = docs(spark, rows).withColumn("start", F.lit("x")).withColumn("n_tokens", F.lit(1)).withColumn("ids_crc32", F.lit(2)).withColumn("part", F.lit(3))
+    manifest = token_files.write_token_files(frame, length=16)
     got = token_files.read_token_files(manifest).collect()
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
     start, want = 0, []
@@ -462,6 +463,51 @@ def test_repeats_of_documents(spark):
 # ---- 9 fingerprints
 
 
+def _xx(spark, *rows):
+    """xxhash64 of each row of values, as Spark defines it."""
+    kind = "k int, d string" if len(rows[0]) == 2 and isinstance(rows[0][0], int) else None
+    frame = spark.createDataFrame(rows, kind) if kind else spark.createDataFrame(rows)
+    return [r[0] for r in frame.select(F.xxhash64(*frame.columns)).collect()]
+
+
+def brute_fingerprint(spark, text):
+    lines = [p for p in text.split("\n") if p.strip(" ")]
+    wide, lanes = [0] * fingerprints.WIDE, [0] * fingerprints.LANES
+    asked = [(k, hashlib.sha256(p.encode()).hexdigest()) for p in lines for k in range(fingerprints.WIDE)]
+    for (k, _), h in zip(asked, _xx(spark, *asked) if asked else []):
+        wide[k] = (wide[k] + (h & (1 << 60) - 1)) % (1 << 60)
+    words = [p.split(" ") for p in lines]
+    units = [tuple(w[j : j + 3]) for w in words for j in range(len(w) - 2)]
+    hashes = (_xx(spark, *units) if units else []) + (_xx(spark, *[(" ".join(w),) for w in words if len(w) < 3]) if any(len(w) < 3 for w in words) else [])
+    if hashes:
+        frame = spark.createDataFrame([(h,) for h in hashes], "h long")
+        for h, h1 in ((r.h, r.h1) for r in frame.select("h", F.xxhash64("h", F.lit(1).cast("long")).alias("h1")).collect()):
+            for j in range(fingerprints.LANES):
+                word, place = (h, h1)[j // 60], j % 60
+                lanes[j] += 1 if word % (1 << 64) >> (place // 3 + 20 * (place % 3)) & 1 else -1
+    return "".join(f"{x:015x}" for x in wide) + "".join(f"{x % (1 << 32):08x}" for x in lanes)
+
+
+def brute_likeness(a, b):
+    if a == b:
+        return 1.0
+    cut = fingerprints.WIDE * 15
+    u, v = ([(int(f[k : k + 8], 16) + (1 << 31)) % (1 << 32) - (1 << 31) for k in range(cut, len(f), 8)] for f in (a, b))
+    norm = math.sqrt(sum(x * x for x in u)) * math.sqrt(sum(x * x for x in v))
+    return min(1.0, max(0.0, sum(x * y for x, y in zip(u, v, strict=True)) / norm)) if norm else 0.0
+
+
+def test_ranges_are_even_whatever_the_ids(spark):
+    rng = random.Random(4)
+    ids = [2**62, -(2**63), 2**63 - 1] + list(range(20_000)) + [10**12 + k for k in range(9000)] + [77] * 15_000 + [None] * 10_000
+    rng.shuffle(ids)
+    rows = spark.createDataFrame([(i, str(k)) for k, i in enumerate(ids)], "doc_id long, text string").withColumn("tie", F.xxhash64("text"))
+    bucket, ranges = fingerprints.range_of(rows, 100)
+    got = sorted(((r.doc_id is not None, r.doc_id or 0, r.tie, r.b) for r in rows.withColumn("b", F.expr(bucket)).collect()))
+    assert [g[3] for g in got] == sorted(g[3] for g in got) and got[-1][3] < ranges
+    assert max(Counter(g[3] for g in got).values()) < 1000
+
+
 def test_fingerprint_columns(spark):
     rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect())
     got = {r.doc_id: r for r in fingerprints.op9_fingerprints(spark, FOLDER).collect()}
@@ -476,6 +522,24 @@ def test_fingerprint_columns(spark):
         same[edited].add(r.edited_fingerprint)
     assert all(len(v) == 1 for v in same.values()) and len({next(iter(v)) for v in same.values()}) == len(same)
     assert np.mean([r.near_edited > r.near_next for r in got.values()]) > 0.95
+    # fingerprints and likeness anew, in plain Python, from the text alone
+    whole = lambda t: brute_fingerprint(spark, t)
+    for k in range(0, len(rows), 40):
+        i, text = rows[k]
+        nxt = rows[(k + 1) % len(rows)][1]
+        half = len(text) // 2
+        r, (own, edit, other) = got[i], (whole(t) for t in (text, text[: len(text) - half] + nxt[:half], nxt))
+        assert r.fingerprint == own and r.edited_fingerprint == edit
+        assert r.near_edited == pytest.approx(brute_likeness(own, edit)) and r.near_next == pytest.approx(brute_likeness(own, other))
+    # the likeness follows the share of common word triples
+    triples = lambda t: Counter(x for p in t.split("\n") if p.strip() for w in [p.split(" ")] for x in ([tuple(w[j : j + 3]) for j in range(len(w) - 2)] or [tuple(w)]))
+    dot = lambda a, b: sum(v * b[x] for x, v in a.items())
+    off = []
+    for k, (i, text) in enumerate(rows[:-1]):
+        a, b = triples(text), triples(text[: len(text) - len(text) // 2] + rows[k + 1][1][: len(text) // 2])
+        if a and b:
+            off.append(got[i].near_edited - dot(a, b) / math.sqrt(dot(a, a) * dot(b, b)))
+    assert np.sqrt(np.mean(np.square(off))) < 0.12 and abs(np.mean(off)) < 0.04
 
 
 def test_fingerprints_add_up(spark):
