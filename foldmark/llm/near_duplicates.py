@@ -2,20 +2,23 @@
 
 1. Document frequencies of all words are counted over all documents. A shingle is five words (all words
    where there are fewer); its weight is its count in the document times the mean idf of its words.
-   ``idf = ln(N / df)``, and every word in fewer than ``RARE`` of the documents counts as one in that many:
-   so only the commoner words need a table, and it holds at most (mean distinct words) / ``RARE`` entries
-   whatever the corpus - a proven bound, it is broadcast.
+   ``idf = ln(1 + N / max(df, RARE * N))``, the same rule at every size: a word in fewer than ``RARE`` of the
+   documents counts as one in that many. So only the commoner words need a table, and it holds at most (mean
+   distinct words) / ``RARE`` entries whatever the corpus - a proven bound, it is broadcast. (The idf of the
+   shingle itself would make what a large group of copies has in common light and their edits heavy: the
+   copies would no longer be near.)
 2. ICWS draws ``BANDS * ROWS`` samples per document; two documents agree in a sample with the
    probability of their weighted Jaccard similarity.
 3. Documents that agree in all rows of a band meet in a bucket. Copies of one text were made one row
    before. One document of each bucket, its star, is compared with all others of other classes: never
-   all pairs. The next turns take other stars for the buckets that still hold several classes: the
+   all pairs. A second turn takes another star for the buckets that still hold several classes: the
    member nearest to the bucket's consensus of samples where it has many (it finds the text that the others
-   were varied from) and the greatest elsewhere, then by hash. They end with a turn from the ``TURNS``-th on that finds no link.
-4. What is then left of the buckets that hold several classes is joined exactly, without all pairs: texts
+   were varied from) and the greatest elsewhere; more follow, by hash, while they pay.
+4. Whatever is then left of the buckets that hold several classes is joined exactly, without all pairs: texts
    whose similarity is ``SIMILARITY`` or more share a shingle among the rarest of either (prefix filter),
-   and the weight from that shingle on bounds what they can have in common. Pairs of different classes
-   that pass are compared, so no link between members of one bucket is lost.
+   and the weight from that shingle on bounds what they can have in common. Shingles that the same texts
+   share count as one. Pairs of different classes that pass are compared, so no link between members of one
+   bucket is lost, however few turns there were.
 5. A pair is a link if its exact weighted Jaccard similarity is ``SIMILARITY`` or more. Classes are the
    connected components of the links; a class is named by its least doc_id.
 
@@ -24,7 +27,8 @@ of candidates are broadcast up to ``BROADCAST_ROWS`` of them, counted before; be
 
 Defined results: a null text is no copy of anything; empty texts are copies of each other; texts that
 differ only in white space have equal shingles; repeated rows are one class; an empty table gives an
-empty result; a null doc_id takes part, its own class is named null if nothing else is in it.
+empty result; a null doc_id takes part, its own class is named null if nothing else is in it; very long texts
+are compared whole; columns beside ``doc_id`` and ``text``, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -43,7 +47,8 @@ from foldmark.llm.quality import with_text
 from foldmark.llm.words import Words, mix, rolling, valid, words_of
 
 SHINGLE, SIMILARITY, RARE = 5, 0.8, 1e-3
-BANDS, ROWS, TURNS, MANY = 12, 4, 3, 8
+BANDS, ROWS, MANY = 12, 4, 8
+PAYS = 0.05  # share of links among a turn's pairs that makes another turn cheaper than the exact join
 SLOTS = 1 << 16  # of the table that orders shingles by how many texts hold them; broadcast
 _FLUSH = 1 << 22
 
@@ -63,16 +68,16 @@ _SEEDS = _rng.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 
 
 class Idf:
-    """``ln(N / df)`` of a word hash, at most ``ln(1 / RARE)``."""
+    """``ln(1 + N / max(df, RARE * N))`` of a word hash; one that is not in the table is in one document or few."""
 
     def __init__(self, words: np.ndarray, df: np.ndarray, n_docs: int):
         order = np.argsort(words)
         self.words = words[order]
-        self.most = np.float32(np.log(1 / RARE))
-        self.value = np.minimum(np.log(max(1, n_docs) / np.maximum(1, df[order])), self.most).astype(np.float32) + np.float32(0.01)
+        self.most = np.float32(np.log1p(min(max(1, n_docs), 1 / RARE)))
+        self.value = np.log1p(n_docs / np.maximum(np.maximum(1, df[order]), RARE * n_docs)).astype(np.float32)
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.full(len(hashes), self.most + np.float32(0.01), np.float32)
+        out = np.full(len(hashes), self.most, np.float32)
         if len(self.words):
             at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
             hit = self.words[at] == hashes
@@ -274,14 +279,20 @@ def _prefixes(texts: DataFrame, idf: Idf, least: float) -> DataFrame:
 def _candidates(texts: DataFrame, idf: Idf, least: float) -> DataFrame:
     """``a, b``: every pair of ``texts`` (rep, label, text) of different labels that can be similar by ``least``."""
     rows = written(_prefixes(texts, idf, least), "prefixes")
-    # a shingle's largest class is joined with the others only, never with itself
-    tops = rows.groupBy("shingle", "label").agg(F.count("*").alias("n")).groupBy("shingle").agg(F.max_by("label", F.struct("n", "label")).alias("top"), F.count("*").alias("k")).where("k > 1").select("shingle", "top")
-    shared = written(rows.join(tops, "shingle").withColumn("top", F.expr("label = top")), "shared")
+    # the shingles of a phrase are shared by the same texts: one of them stands for all. Should two lists of texts
+    # have one sum of hashes, they are joined as one list, which only adds pairs
+    lists = rows.groupBy("shingle").agg(F.count("*").alias("k"), F.sum(F.expr("xxhash64(rep) div 1048576")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"), F.min("label").alias("low"), F.max("label").alias("high"))
+    lists = lists.where("low <> high").select("shingle", F.xxhash64("k", "x", "y").alias("list"))
+    shared = rows.join(lists, "shingle").groupBy("list", "rep", "label", "total").agg(F.max("rest").alias("rest"))
+    shared = written(shared, "phrases")
+    # a list's largest class is joined with the others only, never with itself
+    tops = shared.groupBy("list", "label").agg(F.count("*").alias("n")).groupBy("list").agg(F.max_by("label", F.struct("n", "label")).alias("top"))
+    shared = written(shared.join(tops, "list").withColumn("top", F.expr("label = top")), "shared")
     # of two texts the lighter one needs a shorter prefix: they have 2 * least / (1 + least) of it in common
     light = shared.where(F.col("rest") >= F.col("total") * (2 * least / (1 + least) * (1 - 1e-6)))
-    x = light.select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("rep", "label", "total", "rest", "top")))
-    y = shared.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("rep", "label", "total", "rest", "top")))
-    both = x.where("top_a").join(y.where("not top_b"), "shingle").unionByName(x.where("not top_a").join(y, "shingle"))
+    x = light.select("list", *(F.col(c).alias(f"{c}_a") for c in ("rep", "label", "total", "rest", "top")))
+    y = shared.select("list", *(F.col(c).alias(f"{c}_b") for c in ("rep", "label", "total", "rest", "top")))
+    both = x.where("top_a").join(y.where("not top_b"), "list").unionByName(x.where("not top_a").join(y, "list"))
     fits = F.least("rest_a", "rest_b") >= (F.col("total_a") + F.col("total_b")) * (least / (1 + least) * (1 - 1e-6))
     return both.where(F.expr("label_a <> label_b and total_a <= total_b") & fits).select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
 
@@ -293,20 +304,31 @@ def _linked(classes: DataFrame, found: DataFrame) -> DataFrame:
     return written(classes.join(named, "label", "left").select("rep", F.coalesce("new", "label").alias("label")), "classes")
 
 
+def _compared(pairs: DataFrame, texts: DataFrame, idf: Idf, least: float) -> tuple[DataFrame, int]:
+    """The links (a, b, similarity) among ``pairs``, and how many there are."""
+    found = written(_verified(pairs, texts, idf).where(F.col("similarity") >= least), "found")
+    return found, found.count()
+
+
 def near_duplicates(docs: DataFrame, similarity_at_least: float = SIMILARITY) -> DataFrame:
-    """``doc_id, key, class_id, label`` of each row of ``docs`` (doc_id, text); ``key`` tells texts apart and
-    ``label`` classes: unrelated ones have one ``class_id`` where ids are null or repeat."""
+    """``doc_id, key, class_id, class_size, label`` of each row of ``docs`` (doc_id, text); ``key`` tells texts apart and
+    ``label`` classes: unrelated ones have one ``class_id`` where ids are null or repeat. ``class_size`` counts documents."""
+    return classes_and_links(docs, similarity_at_least)[0]
+
+
+def classes_and_links(docs: DataFrame, similarity_at_least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """:func:`near_duplicates`, and the links that join its classes: ``a, b`` (keys of two texts) and their ``similarity``."""
     docs = with_text(docs).withColumn("key", F.coalesce(F.md5(F.col("text").cast("binary")), F.concat(F.lit("null "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     idf = word_frequencies(docs)
     signed = written(signatures(docs, idf), "signatures")
     # copies of a text become one row, named by a number of its own: ids may repeat
-    texts = signed.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("samples").alias("samples"))
+    texts = signed.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("samples").alias("samples"))
     texts = written(texts.withColumn("rep", F.xxhash64("key")), "texts")
     picks = F.array(*(F.xxhash64(F.lit(b), *(F.element_at("samples", b * ROWS + r + 1) for r in range(ROWS))) for b in range(BANDS)))
     rows = texts.where(F.exists("samples", lambda x: x != 0)).select("rep", F.explode(picks).alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("rep").alias("star")).where("n > 1").select("bucket", "star")
     members = written(rows.join(shared, "bucket"), "members")
-    wanted = written(texts.join(members, "rep", "left_semi").select("rep", "key", "doc_id"), "wanted")
+    wanted = written(texts.join(members, "rep", "left_semi").select("rep", "key", "doc_id", "copies"), "wanted")
     n_wanted = wanted.count()
     mine = wanted.select("rep", "key", F.col("doc_id").alias("of"))
     held = docs.join(F.broadcast(mine) if n_wanted <= BROADCAST_ROWS else mine, "key").where(F.col("doc_id").eqNullSafe(F.col("of")))
@@ -315,30 +337,45 @@ def near_duplicates(docs: DataFrame, similarity_at_least: float = SIMILARITY) ->
         held = written(held.dropDuplicates(["rep"]), "held")
     classes = wanted.select("rep", F.col("rep").alias("label"))
     pairs = members.where("rep <> star").select(F.col("star").alias("a"), F.col("rep").alias("b")).distinct()
-    compared = None
+    compared, links, n_links = None, [], 0
     for turn in itertools.count(1):
         if turn > 1:
             members = _opened(members, classes, texts, turn)
             pairs = members.where("label <> star_label").select(F.least("rep", "star").alias("a"), F.greatest("rep", "star").alias("b")).distinct().join(compared, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        found = written(_verified(pairs, held, idf).where(F.col("similarity") >= similarity_at_least).select("a", "b"), "found")
+            pairs = written(pairs, "pairs")
+            # a turn that finds little is the last, as the exact join finds the rest; it changes no result
+            if turn > 2 and n_links < PAYS * n_pairs or pairs.isEmpty():
+                break
+        else:
+            pairs = written(pairs, "pairs")
+        n_pairs = pairs.count()
+        found, n_links = _compared(pairs, held, idf, similarity_at_least)
+        links.append(found)
         compared = pairs if compared is None else compared.unionByName(pairs)
-        if not found.isEmpty():
+        if n_links:
             classes = _linked(classes, found)
-        elif turn >= TURNS:
-            break
-    # the last turn changed no class: its members are those of the buckets that still hold several
-    if not members.isEmpty():
-        still = written(members.select("rep", "label").distinct(), "still")
+    # members are those of the buckets that still hold several classes
+    still = written(members.select("rep", "label").distinct(), "still")
+    if not still.isEmpty():
         still = written(held.join(counted(still), "rep").select("rep", "label", "text"), "open")
         pairs = written(_candidates(still, idf, similarity_at_least).join(compared, ["a", "b"], "left_anti"), "pairs")
-        found = written(_verified(pairs, held, idf).where(F.col("similarity") >= similarity_at_least).select("a", "b"), "found")
-        if not found.isEmpty():
+        found, n_links = _compared(pairs, held, idf, similarity_at_least)
+        links.append(found)
+        if n_links:
             classes = _linked(classes, found)
-    labelled = written(texts.join(classes, "rep", "left").select("key", "doc_id", F.coalesce("label", "rep").alias("label")), "labelled")
-    least = labelled.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    return signed.select("doc_id", "key").join(labelled.select("key", "label"), "key").join(least, "label").select("doc_id", "key", "class_id", "label")
+    # names of the classes: a text that met no other in a bucket is its own
+    sizes = classes.join(wanted, "rep").groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
+    named = written(classes.join(counted(written(sizes, "sizes")), "label").select("rep", "label", "class_id", "class_size"), "named")
+    labelled = texts.select("key", "rep", "doc_id", "copies").join(named, "rep", "left")
+    labelled = labelled.select("key", F.coalesce("label", "rep").alias("label"), F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", "copies").alias("class_size"))
+    every = links[0]
+    for found in links[1:]:
+        every = every.unionByName(found)
+    keys = wanted.select("rep", "key")
+    every = every.join(keys.select(F.col("rep").alias("a"), F.col("key").alias("key_a")), "a").join(keys.select(F.col("rep").alias("b"), F.col("key").alias("key_b")), "b")
+    out = signed.select("doc_id", "key").join(written(labelled, "labelled"), "key").select("doc_id", "key", "class_id", "class_size", "label")
+    return out, every.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "similarity")
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "class_id")
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "class_id", "class_size")
