@@ -16,8 +16,8 @@
 Copies of a page count once (by the digest of their html), so a page that is posted many times keeps its text.
 Only hashes are shuffled for the counts: a common subtree is first made distinct per page content
 and counted with partial aggregates, so a host with a third of all pages is no hot key. Template hashes are
-sent to the tasks that cut the pages where they are few (counted before); else they are joined to the pages
-by page content and a salt, so neither a menu nor a page that is posted a million times is one key.
+sent to the tasks that cut the pages where they are few (counted before), and no page is shuffled; else they
+are joined by keys and a salt, so neither a menu nor a page that is posted a million times is one key.
 
 Defined results: null or empty html gives an empty text; a null url is a host of its own; repeated
 rows each give their row; other columns, whatever their names, are ignored; pages without markup are one
@@ -30,14 +30,16 @@ import re
 from collections.abc import Iterator
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldmark.llm.common import BROADCAST_ROWS, column_or_null, map_arrow, written
 from foldmark.llm.common import counted as counted_rows
+from foldmark.llm.words import mix
 
 MIN_PAGES, SHARE, FLOW_SHARE = 5, 0.01, 0.5
 SALTS = 16
@@ -273,44 +275,51 @@ def main_text(nodes: list[Node], template: set[int]) -> str:
 _KEY = "xxhash64(coalesce(html, ''), host)"
 
 
+def _places(host: int, subtrees: list[int]) -> np.ndarray:
+    """A number for each subtree on this host."""
+    return mix(np.array(subtrees, np.int64).view(np.uint64) ^ mix(np.array([host], np.int64).view(np.uint64))).view(np.int64)
+
+
 def template_places(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> tuple[DataFrame, DataFrame]:
-    """``place`` (host and subtree) of all templates, and ``key, place, subtree`` of the subtrees of each page."""
+    """``place`` (host and subtree) of all templates, and ``key, place`` of the subtrees of each page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks, flow = [], []
-            for html in batch.column(1).to_pylist():
+            for html, host in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 nodes = parse(html or "")
                 mark(nodes)
                 found = counted(nodes)
-                marks.append([h for h, f in found.items() if not f])
-                flow.append([h for h, f in found.items() if f])
+                marks.append(_places(host, [h for h, f in found.items() if not f]))
+                flow.append(_places(host, [h for h, f in found.items() if f]))
             kind = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(marks, kind), pa.array(flow, kind)], ["key", "host", "subtrees", "flow"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(marks, kind), pa.array(flow, kind)], ["key", "host", "boxes", "flow"])
 
-    found = written(map_arrow(pages.selectExpr("key", "html", "xxhash64(host) AS host"), run, "key long, host long, subtrees array<long>, flow array<long>"), "subtrees")
-    boxes, lines = (found.select("key", F.explode(c).alias("subtree"), "host", F.lit(c == "flow").alias("flow")) for c in ("subtrees", "flow"))
-    each = boxes.unionByName(lines).select("key", F.xxhash64("host", "subtree").alias("place"), "subtree", "host", "flow")
-    many = each.select("place", "host", "flow", "key").distinct().groupBy("place", "host", "flow").count().where(F.col("count") >= min_pages)
+    found = written(map_arrow(pages.select("key", "html", "host"), run, "key long, host long, boxes array<long>, flow array<long>"), "subtrees")
+    boxes, lines = (found.select("key", F.explode(c).alias("place"), "host", F.lit(c == "flow").alias("flow")) for c in ("boxes", "flow"))
+    each = boxes.unionByName(lines)
+    many = each.distinct().groupBy("place", "host", "flow").count().where(F.col("count") >= min_pages)
     hosts = written(found.select("host", "key").distinct().groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages), "hosts")
     wanted = F.col("pages") * F.when(F.col("flow"), FLOW_SHARE).otherwise(share)
-    places = written(many.join(counted_rows(hosts), "host").where(F.col("count") >= wanted).select("place").distinct(), "places")
-    return places, each.select("key", "place", "subtree")
+    return written(many.join(counted_rows(hosts), "host").where(F.col("count") >= wanted).select("place").distinct(), "places"), each.select("key", "place")
 
 
-def _cut(html: str | None, template: set[int]) -> tuple[str, int]:
-    """The text of a page, and how many of its subtrees the template took."""
+def _cut(html: str | None, host: int, template: np.ndarray) -> tuple[str, int]:
+    """The text of a page, and how many of its subtrees are among ``template``, places in ascending order."""
     nodes = parse(html or "")
     mark(nodes)
-    return main_text(nodes, template), sum(h in template for h in counted(nodes)) if template else 0
+    own = list(counted(nodes)) if len(template) else []
+    places = _places(host, own)
+    gone = {own[k] for k in np.flatnonzero(template[np.minimum(np.searchsorted(template, places), len(template) - 1)] == places)} if own else set()
+    return main_text(nodes, gone), len(gone)
+
+
+_OUT = "page_id long, url string, text string, n_chars long, n_template long"
 
 
-def _joined(rows: DataFrame, few: DataFrame, on: str, spread: Column, broadcast_rows: int, how: str = "inner") -> DataFrame:
-    """``rows`` with their row of ``few`` (written, unique in ``on``): broadcast if it is small, else by key and a salt from ``spread``."""
-    if few.count() <= broadcast_rows:
-        return rows.join(F.broadcast(few), on, how)
-    salted = few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("salt", F.pmod(spread, F.lit(SALTS)).cast("int")).join(salted, [on, "salt"], how)
+def _rows(batch: pa.RecordBatch, cut: list[tuple[str, int]]) -> pa.RecordBatch:
+    counts = [pa.array([len(t) for t, _ in cut], pa.int64()), pa.array([n for _, n in cut], pa.int64())]
+    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([t for t, _ in cut], pa.string()), *counts], ["page_id", "url", "text", "n_chars", "n_template"])
 
 
 def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -318,22 +327,30 @@ def extract_text(pages: DataFrame, min_pages: int = MIN_PAGES, broadcast_rows: i
     pages = pages.select(
         column_or_null(pages, "page_id", T.LongType()).alias("page_id"), column_or_null(pages, "url", T.StringType()).alias("url"), column_or_null(pages, "html", T.StringType()).alias("html")
     )
-    hosted = pages.withColumn("host", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)))
-    keyed = hosted.withColumn("key", F.expr(_KEY))
+    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    keyed = pages.withColumn("host", F.xxhash64(host)).withColumn("key", F.expr(_KEY))
     places, each = template_places(keyed, min_pages)
-    # the subtrees of each page content that are its site's: a list that the number of templates does not lengthen
-    found = _joined(each, places, "place", F.col("key"), broadcast_rows).groupBy("key").agg(F.collect_set("subtree").alias("template"))
-    lists = written(found, "templates")
-    joined = _joined(keyed, lists, "key", F.xxhash64("page_id", "url"), broadcast_rows // 10, "left")
+    if places.count() <= broadcast_rows:
+        sent = pages.sparkSession.sparkContext.broadcast(np.sort(places.toPandas()["place"].to_numpy(np.int64)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield _rows(batch, [_cut(h, w, sent.value) for h, w in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)])
+
+        return map_arrow(keyed.select("page_id", "url", "html", "host"), run, _OUT)
+
+    # each page content with its templates, by salted keys: a menu or a page that is everywhere is not one key
+    salted = lambda few: few.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = lambda *by: F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int")
+    found = each.withColumn("salt", salt("key")).join(salted(places), ["place", "salt"]).groupBy("key").agg(F.sort_array(F.collect_set("place")).alias("template"))
+    joined = keyed.withColumn("salt", salt("page_id", "url")).join(salted(found), ["key", "salt"], "left")
+
+    def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cut = [_cut(h, set(t or ())) for h, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            texts = [t for t, _ in cut]
-            counts = [pa.array([len(t) for t in texts], pa.int64()), pa.array([n for _, n in cut], pa.int64())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), *counts], ["page_id", "url", "text", "n_chars", "n_template"])
+            rows = zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True)
+            yield _rows(batch, [_cut(h, w, np.array(t or (), np.int64)) for h, w, t in rows])
 
-    return map_arrow(joined.select("page_id", "url", "html", "template"), run, "page_id long, url string, text string, n_chars long, n_template long")
+    return map_arrow(joined.select("page_id", "url", "html", "host", "template"), run_joined, _OUT)
 
 
 def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
