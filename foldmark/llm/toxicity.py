@@ -2,13 +2,13 @@
 
 A word's embedding is the sum of three rows of one table: of the hash of the folded word and of its
 first 4 and 6 bytes, so that unseen words share what their beginnings have taught. Filters of widths
-1 to 3 run over the words of the whole text, each is max-pooled, and a logistic layer scores the
-pooled values. Everything is trained in numpy on at most ``MOST`` labelled rows of each label;
+1 to 3 run over the words of the whole text, each is max-pooled (those of width 1 to their four greatest
+distinct values, as one bad word may be chance), and a logistic layer scores the pooled values. Everything is trained in numpy on at most ``MOST`` labelled rows of each label;
 one embedding coordinate starts from the log odds of its slot, the rest at random.
 
-Thresholds are calibrated by language on labelled rows kept out of the gradient steps. The language is
-guessed from the text alone (function words); a score is shifted by its language's threshold so that
-0.5 is the point of decision everywhere.
+Thresholds are calibrated by language on cross-fitted scores: every labelled row that may be learned from is
+scored by a net that has not seen it. The language is guessed from the text alone (function words); a score is
+shifted by its language's threshold so that 0.5 is the point of decision everywhere.
 
 Defined results: a null or empty text pools only padding and gets that score; repeated rows each
 give their row; a null doc_id is not held out; without rows of both labels every score is the share
@@ -30,8 +30,9 @@ from foldmark.llm.labelled import Adam, Blocks, remainder, sample, sigmoid
 from foldmark.llm.quality import with_text
 from foldmark.llm.words import words_of
 
-MOST, SLOTS, DIM, FILTERS, WIDTHS = 4000, 1 << 16, 12, 12, (1, 2, 3)
-THRESHOLD = 0.5
+MOST, SLOTS, DIM, FILTERS, WIDTHS = 3000, 1 << 16, 12, 12, (1, 2, 3)
+POOLS = ((1, 0), (1, 1), (1, 2), (1, 3), (2, 0), (3, 0))  # filter width, and rank among the distinct values over the text
+THRESHOLD, FOLDS, FEW, RECALL = 0.5, 3, 10, 1.5
 _PAD = max(WIDTHS) - 1
 _PREFIXES = (4, 6)
 # fixed values: frequent function words
@@ -91,16 +92,23 @@ class Net:
         table = self.w["table"]
         x[rows] = table[places[:, 0]] + table[places[:, 1]] + table[places[:, 2]]
         total = len(x) - _PAD
+        spans = np.diff(np.append(starts, total))
+        padding = np.ones(total, bool)  # a window that starts there sees nothing of the next text
+        padding[rows] = False
         pooled, arg = [], []
         for k in WIDTHS:
             z = np.zeros((total, FILTERS), np.float32)
             for j in range(k):
                 z += x[j : j + total] @ self.w[f"f{k}"][j]
-            top = np.maximum.reduceat(z, starts) + self.w[f"b{k}"]
-            pooled.append(np.maximum(top, 0))
-            arg.append(z)
+            z[padding] = 0
+            for rank in (r for width, r in POOLS if width == k):
+                if rank:  # without the value before, but for rounding: equal words count once
+                    z = np.where(z > np.repeat(top, spans, 0) - np.float32(1e-3), -np.inf, z)
+                top = np.maximum.reduceat(z, starts)
+                pooled.append(np.maximum(top + self.w[f"b{k}.{rank}"], 0))
+                arg.append(z)
         h = np.concatenate(pooled, 1)
-        return {"x": x, "rows": rows, "starts": starts, "h": h, "z": arg, "logit": h @ self.w["o"] + self.w["o0"]}
+        return {"x": x, "rows": rows, "starts": starts, "h": h, "z": arg, "padding": padding, "logit": h @ self.w["o"] + self.w["o0"]}
 
     def score(self, places: np.ndarray, first: np.ndarray, language: np.ndarray) -> np.ndarray:
         if self.constant is not None:
@@ -112,8 +120,12 @@ def _stack(blocks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(blocks), np.concatenate([[0], np.cumsum([len(b) for b in blocks])])
 
 
-def fit(blocks: Blocks, epochs: int = 5, batch: int = 32, rate: float = 0.01, seed: int = 13) -> Net:
-    rng = np.random.default_rng(seed)
+def fit(blocks: Blocks, epochs: int = 4, folds: int = FOLDS, seed: int = 13) -> Net:
+    """The net of all ``blocks``, with thresholds by language that are cross-fitted.
+
+    Each fold is scored by a net that has not seen it; of these logits every language with ``FEW`` rows of
+    either label gets the threshold where precision and recall are best together, the others the general one.
+    """
     y = np.array([label for label, _ in blocks], np.float32)
     net = Net({})
     if len(set(y)) < 2:
@@ -121,28 +133,51 @@ def fit(blocks: Blocks, epochs: int = 5, batch: int = 32, rate: float = 0.01, se
         return net
     language = np.array([b[0] for _, b in blocks])
     docs = [np.frombuffer(b, np.uint16, offset=2).reshape(-1, 1 + len(_PREFIXES)).astype(np.int64) for _, b in blocks]
-    held = np.arange(len(y)) % 5 == 0
+    # rows of a label and language in turn, so that each fold has its share of every one
+    turn = np.zeros(len(y), np.int64)
+    for value in (0, 1):
+        for lang in range(len(LANGUAGES)):
+            own = np.flatnonzero((y == value) & (language == lang))
+            turn[own] = np.arange(len(own)) % folds
+    out = np.zeros(len(y))
+    for k in range(folds):
+        own = turn == k
+        if own.any() and len(set(y[~own])) == 2:
+            part = _trained(docs, y, np.flatnonzero(~own), epochs, seed + k + 1)
+            out[own] = np.concatenate([part.forward(*_stack([docs[j]]))["logit"] for j in np.flatnonzero(own)])
+    net = _trained(docs, y, np.arange(len(y)), epochs, seed)
+    general = _threshold(out, y, 0.0)
+    for lang in range(len(LANGUAGES)):
+        own = language == lang
+        net.shift[lang] = _threshold(out[own], y[own], general) if min((y[own] == 1).sum(), (y[own] == 0).sum()) >= FEW else general
+    return net
+
+
+def _trained(docs: list[np.ndarray], y: np.ndarray, train: np.ndarray, epochs: int, seed: int, batch: int = 32, rate: float = 0.01) -> Net:
+    """A net after gradient steps over the rows ``train``; both labels count alike."""
+    rng = np.random.default_rng(seed)
+    net = Net({})
     seen = np.zeros((2, SLOTS))
-    for k in np.flatnonzero(~held):
+    for k in train:
         seen[int(y[k]), np.unique(docs[k])] += 1
-    n0, n1 = (~held & (y == 0)).sum(), (~held & (y == 1)).sum()
+    n0, n1 = (y[train] == 0).sum(), (y[train] == 1).sum()
     odds = np.log((seen[1] + 0.5) / (n1 + 1)) - np.log((seen[0] + 0.5) / (n0 + 1))
     odds[seen.sum(0) < 3] = 0
     table = rng.normal(0, 0.05, (SLOTS, DIM)).astype(np.float32)
     table[:, 0] = odds / 3
-    w = {"table": table, "o": np.zeros(FILTERS * len(WIDTHS), np.float32), "o0": np.zeros(1, np.float32)}
+    w = {"table": table, "o": np.zeros(FILTERS * len(POOLS), np.float32), "o0": np.zeros(1, np.float32)}
     for k in WIDTHS:
         w[f"f{k}"] = rng.normal(0, 0.3 / np.sqrt(k * DIM), (k, DIM, FILTERS)).astype(np.float32)
         w[f"f{k}"][:, 0, 0] += 1 / k
-        w[f"b{k}"] = np.full(FILTERS, -0.1, np.float32)
+    for k, rank in POOLS:
+        w[f"b{k}.{rank}"] = np.full(FILTERS, -0.1, np.float32)
     w["o"][::FILTERS] = 1.0
     w["o0"] -= 2
     net.w = w
     dense = Adam({k: v for k, v in w.items() if k != "table"}, rate)
     pace = np.full((SLOTS, 1), 1e-3, np.float32)
-    share = y[~held].mean()
+    share = y[train].mean()
     cost = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)).astype(np.float32)
-    train = np.flatnonzero(~held)
     for epoch in range(epochs):
         dense.rate = rate * (1 - epoch / epochs) + 1e-4
         order = rng.permutation(train)
@@ -154,14 +189,15 @@ def fit(blocks: Blocks, epochs: int = 5, batch: int = 32, rate: float = 0.01, se
             grads = {"o": s["h"].T @ delta + 1e-4 * w["o"], "o0": delta.sum(keepdims=True)}
             dx_at, dx = [], []
             ends = np.append(s["starts"][1:], len(s["z"][0]))
-            for g, k in enumerate(WIDTHS):
+            grads |= {f"f{k}": np.zeros_like(w[f"f{k}"]) for k in WIDTHS}
+            for g, (k, rank) in enumerate(POOLS):
                 part = slice(g * FILTERS, (g + 1) * FILTERS)
                 d = delta[:, None] * w["o"][part] * (s["h"][:, part] > 0)
                 top = np.stack([a + s["z"][g][a:b].argmax(0) for a, b in zip(s["starts"], ends, strict=True)])
-                grads[f"b{k}"] = d.sum(0)
-                grads[f"f{k}"] = np.zeros_like(w[f"f{k}"])
+                grads[f"b{k}.{rank}"] = d.sum(0)
+                d = np.where(s["padding"][top], np.float32(0), d)
                 for j in range(k):
-                    grads[f"f{k}"][j] = np.einsum("bfd,bf->df", s["x"][top + j], d)
+                    grads[f"f{k}"][j] += np.einsum("bfd,bf->df", s["x"][top + j], d)
                     dx_at.append((top + j).ravel())
                     dx.append((d[:, :, None] * w[f"f{k}"][j].T[None]).reshape(-1, DIM))
             dense.step(grads)
@@ -176,23 +212,17 @@ def fit(blocks: Blocks, epochs: int = 5, batch: int = 32, rate: float = 0.01, se
             np.add.at(step, back, value)
             pace[touched, 0] += (step**2).mean(1)
             table[touched] -= 0.02 * step / np.sqrt(pace[touched])
-    # thresholds: of all rows kept out, then of each language with enough of them
-    out = np.concatenate([net.forward(*_stack([docs[k]]))["logit"] for k in np.flatnonzero(held)])
-    general = _threshold(out, y[held], 0.0)
-    for lang in range(len(LANGUAGES)):
-        own = language[held] == lang
-        net.shift[lang] = _threshold(out[own], y[held][own], general) if (y[held][own] == 1).sum() >= 20 and (y[held][own] == 0).sum() >= 20 else general
     return net
 
 
 def _threshold(logit: np.ndarray, y: np.ndarray, otherwise: float) -> float:
-    """Where precision and recall are best together, in the middle of the gap there."""
+    """Where precision and recall, which counts ``RECALL`` times as much, are best together, in the middle of the gap there."""
     if len(set(y)) < 2:
         return otherwise
     order = np.argsort(-logit)
     hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
-    k = int(f1.argmax())
+    both = (1 + RECALL**2) * hits / (np.arange(1, len(y) + 1) + RECALL**2 * y.sum())
+    k = int(both.argmax())
     return float((logit[order][k] + logit[order][min(k + 1, len(y) - 1)]) / 2)
 
 
