@@ -16,8 +16,8 @@ trained net, so there is no ``ORACLE_SQL``; the stages are tested against brute
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import wraps
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,39 +29,29 @@ from foldmark.llm.common import counted, dropped, new_path, recorded, written
 MIXTURE_SHARE, MIXTURE_EPOCHS = 1.0, 2
 
 
-_left: list[str] = []  # tables of the last stage; its result was written before the next one is called
+@contextmanager
+def _only(spark: SparkSession, *names: str) -> Iterator[None]:
+    """Delete the tables written inside when it ends, but for those ``names``: what a stage decides lives on, as its
+    result is lazy, and what it needed to decide goes. No stage touches another one's tables."""
+    with recorded() as made:
+        yield
+    dropped(spark, [path for path in made if path.rsplit("/", 1)[-1].rsplit("-", 1)[0] not in names])
 
 
-def _stage(fn: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """Drop what the stage before needed and keep track of this one's tables."""
-
-    @wraps(fn)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        dropped(spark, _left)
-        _left.clear()
-        with recorded() as made:
-            out = fn(spark, docs, sf_dir)
-        _left.extend(made)
-        return out
-
-    return run_stage
-
-
-@_stage
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     net = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score_quality(docs, net, tuple(docs.columns), "__quality").where(F.col("__quality") >= quality.THRESHOLD).select(*docs.columns)
 
 
-@_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = written(near_duplicates.near_duplicates(docs), "classes")
-    # one text of each class stays, under its least id; ids may be null or repeat, so classes go by their label
-    leads = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    twice = written(leads.groupBy("label").agg(F.count("*").alias("n"), F.min("key").alias("first"), F.first("class_id").alias("class_id")).where("n > 1"), "twice")
-    others = leads.join(counted(twice.select("label", "first")), "label").where("key <> first")
-    gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id", "key").unionByName(others.select("doc_id", "key"))
-    gone = written(gone.distinct(), "gone")
+    with _only(spark, "twice", "gone"):
+        classes = written(near_duplicates.near_duplicates(docs), "members")
+        # one text of each class stays, under its least id; ids may be null or repeat, so classes go by their label
+        leads = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+        twice = written(leads.groupBy("label").agg(F.count("*").alias("n"), F.min("key").alias("first"), F.first("class_id").alias("class_id")).where("n > 1"), "twice")
+        others = leads.join(counted(twice.select("label", "first")), "label").where("key <> first")
+        gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id", "key").unionByName(others.select("doc_id", "key"))
+        gone = written(gone.distinct(), "gone")
     key = F.coalesce(F.md5(F.col("text").cast("binary")), F.concat(F.lit("null "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     left = docs.withColumn("__key", key)
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("key").alias("__gone"))
@@ -73,7 +63,6 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return left.select(*docs.columns)
 
 
-@_stage
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # by id and text: ids may be null or repeat, and a clean document must not go for its namesake
     who = F.xxhash64(F.col("doc_id"), F.col("text"))
@@ -82,10 +71,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.withColumn("__who", who).join(counted(bad), F.col("__who") == F.col("__bad"), "left_anti").select(*docs.columns)
 
 
-@_stage
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = written(mixing.keyed(docs), "keyed")
-    plan = mixing.plan(rows, share=MIXTURE_SHARE, max_epochs=MIXTURE_EPOCHS)
+    with _only(spark, "plan"):
+        rows = written(mixing.keyed(docs), "keyed")
+        plan = mixing.plan(rows, share=MIXTURE_SHARE, max_epochs=MIXTURE_EPOCHS)
     # the same columns beside the whole document, and no count of tokens: the plan holds all sums
     own = F.struct(*(F.col(c) for c in docs.columns)).alias("row")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -94,7 +83,6 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(leaves, plan).select("row.*")
 
 
-@_stage
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(token_files.write_token_files(docs))
 
