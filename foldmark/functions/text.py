@@ -6,27 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def option_letter(text: Column) -> Column:
-    """The option that a reply opens with: a letter A to D, maybe in brackets, then the end, space, dot, colon or bracket."""
-    found = F.regexp_extract(text, r"^\s*\(?([A-D])(?:\)|[\s.):]|$)", 1)
-    return F.when(found != "", found)
-
-
-def sentences(text: Column) -> Column:
-    """Number of parts between white space that follows a full stop, question or exclamation mark."""
-    return F.size(F.filter(F.split(text, r"(?<=[.!?])\s+"), lambda x: F.trim(x) != "")).cast("long")
-
-
-def is_bullets(text: Column) -> Column:
-    lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
-    return (F.size(lines) >= 2) & F.forall(lines, lambda x: x.rlike(r"^\s*(?:[-*•]|[0-9]+[.)])\s+"))
-
-
-def is_paragraph(text: Column) -> Column:
-    lines = F.split(text, "\n")
-    return ~F.exists(lines, lambda x: x.rlike(r"^\s*$|^\s*(?:[-*•]|[0-9]+[.)])\s+|^\s*\||^#"))
-
-
 def whole_word(text: Column, word: str) -> Column:
     return text.rlike(rf"(?i)\b{word}\b")
 
@@ -45,14 +24,6 @@ def word_windows(text: Column, n: int) -> Column:
     return F.array_distinct(F.flatten(windows))
 
 
-def routine_answer(text: Column) -> Column:
-    """``format: a=b; c=d; intrusion: none`` as a map of names to values; null for another form."""
-    body = F.regexp_extract(text, r"^\s*format:\s*((?:[^=;]+=[^=;]+;?\s*)*)intrusion:\s*\S.*$", 1)
-    pairs = F.filter(F.transform(F.split(body, ";"), lambda x: F.trim(x)), lambda x: x != "")
-    entries = F.map_from_entries(F.transform(pairs, lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)), F.trim(F.substring_index(x, "=", -1)))))
-    return F.when(text.rlike(r"^\s*format:\s*(?:[^=;]+=[^=;]+;?\s*)*intrusion:\s*\S"), entries)
-
-
 def numbers_in(json: Column) -> Column:
     """Every number of a JSON text that is a value, in order; those in strings and words do not count."""
     bare = F.regexp_replace(json, r'"(?:[^"\\]|\\.)*"', '""')

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foldmark.functions import replies
 from foldmark.functions import text as checks
 from foldmark.operators import rank
 from foldmark.plans.registry import query, rounded, table
@@ -23,14 +24,17 @@ SELECT conv_id, turn, nullif(regexp_extract(text, '^\s*\(?([A-D])(?:\)|[\s.):]|$
 def format_checks(spark: SparkSession, d: str) -> DataFrame:
     t = F.col("text")
     lines = F.size(F.filter(F.split(t, "\n"), lambda x: F.trim(x) != "")).cast("long")
-    return table(spark, d, "conversations").select("conv_id", "turn", checks.option_letter(t).alias("letter"), (t.contains("%") | checks.whole_word(t, "percent")).alias("has_percent"), t.rlike("[0-9]").alias("has_digits"), F.when(t.isNotNull(), lines).alias("n_lines"))
+    return table(spark, d, "conversations").select("conv_id", "turn", replies.option_letter(t).alias("letter"), (t.contains("%") | checks.whole_word(t, "percent")).alias("has_percent"), t.rlike("[0-9]").alias("has_digits"), F.when(t.isNotNull(), lines).alias("n_lines"))
 
 
-@query()
+@query(r"""
+WITH t AS (SELECT conv_id, turn, trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13)) AS t FROM conversations), l AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: trim(x) <> '') AS l FROM t)
+SELECT conv_id, turn, CASE WHEN t = '' THEN 0 ELSE 1 + len(regexp_extract_all(t, '[.!?]\s+')) END AS n_sentences, len(l) >= 2 AND len(list_filter(l, lambda x: NOT regexp_matches(ltrim(x), '^(?:[0-9]+[.)]|[-*•])[ \t]'))) = 0 AS bullets,
+  NOT regexp_matches(t, '\n\s*\n') AND len(list_filter(l, lambda x: regexp_matches(ltrim(x), '^(?:[0-9]+[.)]|[-*•])[ \t]') OR len(string_split(x, '|')) > 2 OR regexp_matches(x, '^#{1,6}[ \t]+\S'))) = 0 AS paragraph FROM l""")
 def format_kinds(spark: SparkSession, d: str) -> DataFrame:
-    """Checks with look-behind, which the comparison engine has not."""
-    t = F.col("text")
-    return table(spark, d, "conversations").select("conv_id", "turn", checks.sentences(t).alias("n_sentences"), checks.is_bullets(t).alias("bullets"), checks.is_paragraph(t).alias("paragraph"))
+    """The form of every turn, whoever speaks."""
+    t = F.coalesce("text", F.lit(""))
+    return table(spark, d, "conversations").select("conv_id", "turn", replies.sentence_count(t).alias("n_sentences"), replies.bullets(t).alias("bullets"), replies.paragraph(t).alias("paragraph"))
 
 
 @query(r"""

@@ -5,8 +5,8 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from foldmark.functions import dates, text
-from foldmark.operators import asof, cells, machine, rank, stats, windows
+from foldmark.functions import dates, replies, text
+from foldmark.operators import asof, cells, evidence, machine, rank, stats, windows
 from foldmark.sources import tables
 
 
@@ -87,10 +87,82 @@ def test_third_friday_and_weekdays(spark):
     assert {r[0] for r in x.select(dates.third_friday(F.col("d"))).collect()} == {date(2024, 3, 15)}
 
 
-def test_option_letter_and_formats(spark):
-    x = spark.createDataFrame([("B) yes",), ("(C)",), ("Apple",), ("D",), ("- a\n- b",), ("One. Two! Three?",)], "t string")
-    got = [tuple(r) for r in x.select(text.option_letter(F.col("t")), text.is_bullets(F.col("t")), text.sentences(F.col("t"))).collect()]
-    assert [g[0] for g in got] == ["B", "C", None, "D", None, None] and got[4][1] and got[5][2] == 3
+def column(spark, values, fn, kind="string"):
+    return [r[0] for r in spark.createDataFrame([(k, v) for k, v in enumerate(values)], f"k int, t {kind}").select("k", fn(F.col("t")).alias("x")).orderBy("k").select("x").collect()]
+
+
+def test_option_letters(spark):
+    texts = ["B) yes", "(C)", "Apple", "D", "- a", " (B). so", "A\nor C", "AB", "", "E", "(D", "C:x"]
+    assert column(spark, texts, replies.option_letter) == ["B", "C", None, "D", None, "B", "A", None, None, None, "D", "C"]
+    assert column(spark, ["A", "B", "C", "D"], lambda t: replies.option_letter(t, 2)) == ["A", "B", None, None]
+
+
+def test_forms_of_replies(spark):
+    one = lambda fn, *texts: column(spark, texts, fn)
+    assert one(replies.bullets, "- a\n- b", "1. a\n2) b\n\n* c", "- a", "-a\n-b", "- a\nb", "12x\n- b") == [True, True, False, False, False, False]
+    assert one(replies.paragraph, "One para.\n", "a | b | c", "#tag first", "# Head", "a\n\nb", "a\nb", "- x", "a | b", "") == [True, False, True, False, False, True, False, True, True]
+    assert one(replies.table, "| a | b |\n|---|:--:|", "| a | b |\n|---|---|\n| 1 | 2 |", "a | b | c\n--- | --- | ---", "| a | b |\n| c | d |", "|---|---|") == [False, True, True, False, False]
+    assert one(replies.headers, "# a\nx\n## b", "# a", "#a\n#b", "####### a\n# b") == [True, False, False, False]
+    assert one(replies.sentence_count, "One. Two! Three?", "", "none", "3.5 is one", "a.  b", "  \n ") == [3, 0, 1, 1, 2, 0]
+    assert one(lambda t: replies.units(t, True, False), "12bp", "5 basis points", "3%", "12bps and 3%", "abp", "none") == ["pass", "pass", "fail", "fail", "not_applicable", "not_applicable"]
+    assert one(replies.hedged, "It may be", "In May", "Perhaps.", "mighty", "unlikely") == [True, False, True, False, True]
+    assert one(replies.confident, "High confidence.", "conviction is 80%", "up 80%", "confidence level of medium", "highconfidence") == [True, True, False, True, False]
+
+
+def test_routine_answers(spark):
+    texts = ["format: a=b; c=d; intrusion: none", "format: none; intrusion: none", "format: x=y z=w; intrusion: none", "format: a=; intrusion: none", "format: a=b; a=c; intrusion: none", "format: x; intrusion: none", "a=b", "format: x=y z; intrusion: none"]
+    got = column(spark, texts, replies.routine_pairs)
+    assert [g if g is None else [tuple(x) for x in g] for g in got] == [[("a", "b"), ("c", "d")], [], None, None, [("a", "b"), ("a", "c")], None, None, [("x", "y z")]]
+
+
+def test_judgement_details(spark):
+    rows_ = [("intrusion", "intrudes=true; evidence=a=b; evidence=c", False), ("format", "x=y: z: fail; p=q: pass", False), ("format", "p=q: not_applicable", True), ("in_situ", "a=true; b=false", False), ("open", "choice=C", False), ("open", "choice=B", True), ("open", "empty reply", False)]
+    x = spark.createDataFrame(rows_, "judge string, detail string, correct boolean")
+    got = [r.s for r in x.select(replies.judged(F.col("correct"), F.col("detail"), F.col("judge")).alias("s")).collect()]
+    assert [g.detail for g in got] == ["evidence=a=b; evidence=c", "x=y: z", None, "b", "chose=C", None, "empty reply"] and [g.scored for g in got] == [True, True, False, True, True, True, True]
+
+
+def test_redistribution_against_a_loop(spark):
+    import random
+
+    rng, cases, want = random.Random(1), [], []
+    for _ in range(200):
+        n = rng.randint(1, 5)
+        shares, counts = [rng.randint(0, 9) for _ in range(n)], [rng.randint(0, 12) for _ in range(n)]
+        own = [min(s, c) for s, c in zip(shares, counts)]
+        spare = sum(shares) - sum(own)
+        while spare and any(o < c for o, c in zip(own, counts)):
+            for k in range(n):
+                if spare and own[k] < counts[k]:
+                    own[k] += 1
+                    spare -= 1
+        cases.append((len(cases), shares, counts))
+        want.append(own)
+    x = spark.createDataFrame(cases, "k int, s array<long>, c array<long>")
+    assert [r.n for r in x.select("k", evidence.redistributed(F.col("s"), F.col("c")).alias("n")).orderBy("k").collect()] == want
+
+
+def test_merge_refuses_unequal_rows(spark):
+    a, b = (spark.createDataFrame(v, "id int, n string") for v in ([(1, "x"), (2, "y")], [(2, "y"), (3, "z")]))
+    assert rows(evidence.merged(a, b, "id"), "id", "n") == [(1, "x"), (2, "y"), (3, "z")]
+    with pytest.raises(Exception, match="unequal rows of id 2"):
+        evidence.merged(a, spark.createDataFrame([(2, "other")], "id int, n string"), "id").collect()
+
+
+def test_calendar_window_on_holidays_and_at_the_ends(spark):
+    axis = [date(2024, 1, x) for x in (2, 3, 4, 5, 8, 9)]
+    asked = spark.createDataFrame([("a", date(2024, 1, 6)), ("b", date(2024, 1, 2)), ("c", date(2024, 2, 1))], "subject string, day date")
+    every = [(None, date(2024, 1, 1) + __import__("datetime").timedelta(k), k, float(k)) for k in range(40)] + [("a", date(2024, 1, 9), 99, 9.0)]
+    out = evidence.calendar_window(asked, spark.createDataFrame(every, "subject string, day date, event int, surprise double"), spark.createDataFrame([(x,) for x in axis], "day date"), 1, 1)
+    got = {s: sorted(r.day.day if r.day.month == 1 else 31 + r.day.day for r in out.collect() if r.subject == s) for s in "abc"}
+    assert got["a"] == [5, 6, 7, 8] and got["b"] == [2, 3] and got["c"][0] == 9 and got["c"][-1] == 32
+    assert all((r.surprise is None) == (r.day > r.today) for r in out.collect())
+
+
+def test_rendered_lines(spark):
+    x = spark.createDataFrame([("a", 1), (None, 2)], "e string, n int")
+    got = [r[0] for r in x.select(replies.rendered(F.lit("{event} at {level}"), event=F.col("e"), level=F.col("n"))).collect()]
+    assert got == ["a at 1", None] and x.select(replies.rendered(F.lit("{event} {other}"), event=F.col("e"))).first()[0] is None
 
 
 def test_state_machine_streams_in_order(spark):
@@ -140,11 +212,10 @@ def test_replay_sees_nothing_late(spark):
 
 
 def test_reply_parsers(spark):
-    x = spark.createDataFrame([('format: a=b; c=d; intrusion: none',), ('so {"k": 1} and {"k": 2, "s": "9 {x"}',), ("no",)], "t string")
-    got = x.select(text.routine_answer(F.col("t")), text.numbers_in(F.lit('{"a": [1, -2.5e1, "7"], "b3": true}')), text.last_json(F.col("t"), "k int")).collect()
-    assert got[0][0] == {"a": "b", "c": "d"} and got[2][0] is None
-    assert got[0][1] == [1.0, -25.0]
-    assert got[2][2] is None
+    x = spark.createDataFrame([('so {"k": 1} and {"k": 2, "s": "9 {x"}',), ("no",)], "t string")
+    got = x.select(text.numbers_in(F.lit('{"a": [1, -2.5e1, "7"], "b3": true}')), text.last_json(F.col("t"), "k int")).collect()
+    assert got[0][0] == [1.0, -25.0]
+    assert got[1][1] is None
 
 
 def test_normal_quantile_and_scalar_rules(spark):
