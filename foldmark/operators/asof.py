@@ -41,10 +41,10 @@ def interval_join(left: DataFrame, spans: list[tuple[str, str, str]], on: str, o
     return left.withColumn(out, F.coalesce(found, F.lit(default)))
 
 
-def tolerance_anti(left: DataFrame, right: DataFrame, by: list[str], value: str, relative: float) -> DataFrame:
-    """Rows of ``left`` without a row of ``right`` of equal keys whose value is within ``relative`` of theirs."""
+def tolerance_anti(left: DataFrame, right: DataFrame, by: list[str], value: str, relative: float, least: float = 1e-9) -> DataFrame:
+    """Rows of ``left`` without a row of ``right`` of equal keys whose value is within ``relative`` of theirs, or within ``least``."""
     other = right.select(*(F.col(c).alias(f"r_{c}") for c in by), F.col(value).alias("r_value"))
-    near = F.abs(F.col(value) - F.col("r_value")) <= relative * F.abs(F.col("r_value"))
+    near = F.abs(F.col(value) - F.col("r_value")) <= F.greatest(relative * F.abs(F.col("r_value")), F.lit(least))
     same: Column = near
     for c in by:
         same = same & (F.col(c) == F.col(f"r_{c}"))

@@ -116,20 +116,20 @@ def precedence(spark: SparkSession, d: str) -> DataFrame:
     return first(e, ["user_id", "day"], [rank, F.col("value").desc(), F.col("event_id")]).select("event_id", "status")
 
 
-@query("SELECT r_regionkey, r_name FROM region EXCEPT ALL SELECT n_regionkey, CASE WHEN n_nationkey < 10 THEN r_name ELSE 'other' END FROM nation JOIN region ON n_regionkey = r_regionkey")
+@query("SELECT r_regionkey, r_name FROM region EXCEPT ALL SELECT n_regionkey, CASE WHEN n_nationkey < 3 THEN r_name ELSE 'other' END FROM nation JOIN region ON n_regionkey = r_regionkey")
 def stage_preserved_rows(spark: SparkSession, d: str) -> DataFrame:
     """Rows of before that after does not hold: none may be missing of those a stage does not own."""
     region = table(spark, d, "region")
-    after = table(spark, d, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_regionkey", F.expr("if(n_nationkey < 10, r_name, 'other')"))
+    after = table(spark, d, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_regionkey", F.expr("if(n_nationkey < 3, r_name, 'other')"))
     return region.select("r_regionkey", "r_name").exceptAll(after)
 
 
-@query("SELECT c_custkey, c_nationkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT c_custkey, c_nationkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderstatus = 'F' AND o_totalprice > 250000)")
 def kept_subjects(spark: SparkSession, d: str) -> DataFrame:
     """Subjects left after an anti join, in their public columns."""
     from foldmark.sources.tables import public
 
-    c = table(spark, d, "customer").join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti")
+    c = table(spark, d, "customer").join(table(spark, d, "orders").where("o_orderstatus = 'F' AND o_totalprice > 250000"), F.col("c_custkey") == F.col("o_custkey"), "left_anti")
     return public("customer", c).select("c_custkey", "c_nationkey", "c_mktsegment")
 
 

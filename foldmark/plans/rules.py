@@ -92,11 +92,11 @@ def last_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-SELECT user_id, event_id, CAST(CAST(ts AS DATE) AS VARCHAR) || chr(CAST(96 + row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS INTEGER)) AS session FROM events""")
+SELECT user_id, event_id, CASE WHEN k <= 26 THEN day || chr(CAST(96 + k AS INTEGER)) END AS session FROM (SELECT *, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS k FROM events)""")
 def session_numbering(spark: SparkSession, d: str) -> DataFrame:
-    """The nth session of a day gets the nth letter."""
+    """The nth session of a day gets the nth letter; one beyond z is refused: it has no number."""
     w = Window.partitionBy("user_id", F.to_date("ts")).orderBy("ts", "event_id")
-    return table(spark, d, "events").select("user_id", "event_id", F.concat(F.to_date("ts").cast("string"), F.char(F.lit(96) + F.row_number().over(w))).alias("session"))
+    return table(spark, d, "events").select("user_id", "event_id", F.when(F.row_number().over(w) <= 26, F.concat(F.to_date("ts").cast("string"), F.char(F.lit(96) + F.row_number().over(w)))).alias("session"))
 
 
 @query("SELECT event_type, count(*) AS n, round(regr_slope(value, user_id), 8) AS beta FROM events GROUP BY 1")
