@@ -57,8 +57,12 @@ def first_match(left: DataFrame, right: DataFrame, on: Column, keys: list[str],
     return left.join(right, on).groupBy(*keys).agg(best.alias("b")).select(*keys, "b.*")
 
 
-def paired_with_next(rows: DataFrame, by: str, on: str, closes: Column, out: str) -> DataFrame:
-    """``out``: for each row the first strictly later ``on`` at which ``closes`` holds."""
-    rows = rows.withColumn("__t", F.unix_micros(F.col(on).cast("timestamp")))
-    later = Window.partitionBy(by).orderBy("__t").rangeBetween(1, Window.unboundedFollowing)
-    return rows.withColumn(out, F.min(F.when(closes, F.col(on))).over(later)).drop("__t")
+def paired_with_next(rows: DataFrame, by: str, on: str, closes: Column, out: str, unit: str = "DAY") -> DataFrame:
+    """``out``: for each row the first strictly later ``on`` at which ``closes`` holds, in slices of a ``unit`` of time; null keys have none."""
+    rows = rows.withColumns({"__t": F.unix_micros(F.col(on).cast("timestamp")), "__slice": F.date_trunc(unit, F.col(on)), "__close": F.when(closes, F.col(on))})
+    later = Window.partitionBy(by, "__slice").orderBy("__t").rangeBetween(1, Window.unboundedFollowing)
+    first = rows.groupBy(by, "__slice").agg(F.min("__close").alias("__first"))
+    after = Window.partitionBy(by).orderBy("__slice").rowsBetween(1, Window.unboundedFollowing)
+    carry = first.select(by, "__slice", F.min("__first").over(after).alias("__carry"))
+    found = rows.withColumn("__near", F.min("__close").over(later)).join(carry, [by, "__slice"], "left")
+    return found.withColumn(out, F.coalesce("__near", "__carry")).drop("__t", "__slice", "__close", "__near", "__carry")

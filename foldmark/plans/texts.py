@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foldmark.functions import replies
 from foldmark.functions import text as checks
-from foldmark.operators import rank
+from foldmark.operators import rank, stats
 from foldmark.plans.registry import query, rounded, table
 
 
@@ -95,8 +95,7 @@ def overlap_summary(spark: SparkSession, d: str) -> DataFrame:
     g = _grams(spark, d)
     shared = g.groupBy("gram").agg(F.count("*").alias("n"))
     s = g.join(shared, "gram").groupBy("conv_id").agg((F.count_if(F.col("n") > 1) / F.count("*")).alias("s"))
-    out = s.agg(F.count("*").alias("n"), F.expr("percentile(s, 0.5)").alias("median"), F.expr("percentile_disc(0.9) WITHIN GROUP (ORDER BY s)").alias("p90"), F.max("s").alias("most"))
-    return rounded(out, "median", "p90", "most")
+    return rounded(stats.quantiles(s, "s", 0.9).withColumnRenamed("at", "p90"), "median", "p90", "most")
 
 
 @query("""
