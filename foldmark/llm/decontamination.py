@@ -9,8 +9,12 @@
 3. A document is contaminated by an item of which the tiles cover ``COVERAGE`` or more. Tiles may lie
    anywhere, so a passage whose sentences were put in another order is caught as well.
 
-No row is shuffled. Defined results: null or empty texts match nothing; repeated documents each give their rows, repeated items too; an empty
-table gives an empty result; other columns are ignored.
+No row is shuffled. Where an item and a document share seeds in more than ``PAIRS`` pairs of places (a word said over and
+over in both), the longest matches are looked for word by word instead, in memory in proportion to the text.
+
+Defined results: null or empty texts match nothing; repeated documents each give their rows, repeated items too; a null
+id of a document or an item is null in its rows; very long texts are read whole; an empty table gives an empty result;
+columns beside the ids and texts, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -29,14 +33,14 @@ from foldmark.llm.common import column_or_null, map_arrow, pieces
 from foldmark.llm.quality import with_text
 from foldmark.llm.words import rolling, valid, words_of
 
-MIN_MATCH, COVERAGE, BLOCK = 5, 0.6, 1 << 20
+MIN_MATCH, COVERAGE, BLOCK, PAIRS = 5, 0.6, 1 << 20, 1 << 21
 
 
 @dataclass
 class Seeds:
     """A block of items: their words, and the places of each seed hash in order of it."""
 
-    ids: np.ndarray
+    ids: pa.Array
     first: np.ndarray
     words: np.ndarray
     hashes: np.ndarray
@@ -59,7 +63,7 @@ class Seeds:
             whole = rolling(words, size)[items.first[own]]
             by = np.argsort(whole, kind="stable")
             short.append((size, whole[by], own[by]))
-        return cls(np.array([-1 if i is None else i for i in ids], np.int64), items.first, words, hashes[order], places[order], low, short)
+        return cls(pa.array(ids, pa.int64()), items.first, words, hashes[order], places[order], low, short)
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Places in ``hashes`` of the block's seeds."""
@@ -96,12 +100,21 @@ def tile(item: np.ndarray, text: np.ndarray, pairs: np.ndarray, least: int = MIN
     return tiles
 
 
-def _pairs(seeds: Seeds, hashes: np.ndarray, found: np.ndarray) -> np.ndarray:
-    """Item place (in the block) and text place of each shared seed."""
-    left, right = np.searchsorted(seeds.hashes, hashes[found], "left"), np.searchsorted(seeds.hashes, hashes[found], "right")
-    n = right - left
-    at = np.repeat(left, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    return np.stack([seeds.places[at], np.repeat(found, n)], 1)
+def tile_dense(item: np.ndarray, text: np.ndarray, least: int = MIN_MATCH) -> list[tuple[int, int, int]]:
+    """The tiles of :func:`tile` without a list of pairs: lengths of matches from each place on, row by row of the item."""
+    in_item, free, tiles = np.zeros(len(item), bool), np.ones(len(text), bool), []
+    while True:
+        best, run = (0, 0, 0), np.zeros(len(text) + 1, np.int32)
+        for x in range(len(item) - 1, -1, -1):
+            # the match from (x, y) on is one longer than that from (x + 1, y + 1) on
+            run = np.append(np.where(free & (text == item[x]), run[1:] + 1, 0), 0).astype(np.int32) if not in_item[x] else np.zeros(len(text) + 1, np.int32)
+            y = int(run.argmax())
+            best = max(best, (int(run[y]), -x, -y))
+        n, x, y = best[0], -best[1], -best[2]
+        if n < least:
+            return tiles
+        in_item[x : x + n], free[y : y + n] = True, False
+        tiles.append((x, y, n))
 
 
 def matches(seeds: Seeds, texts: pa.Array, coverage: float) -> Iterator[tuple[int, int, float, int]]:
@@ -123,18 +136,30 @@ def matches(seeds: Seeds, texts: pa.Array, coverage: float) -> Iterator[tuple[in
     found = found[valid(docs.first, MIN_MATCH)[found]]
     doc = np.searchsorted(docs.first, found, "right") - 1
     for k in np.unique(doc):
-        pairs = _pairs(seeds, hashes, found[doc == k])
-        item = np.searchsorted(seeds.first, pairs[:, 0], "right") - 1
+        own = found[doc == k]
+        order = np.argsort(hashes[own], kind="stable")
+        there, here = hashes[own][order], own[order] - docs.first[k]
+        # places of the items' words that begin a seed which the document holds
+        once = np.unique(there)
+        left, right = np.searchsorted(seeds.hashes, once, "left"), np.searchsorted(seeds.hashes, once, "right")
+        at = np.repeat(left, right - left) + np.arange((right - left).sum()) - np.repeat(np.cumsum(right - left) - (right - left), right - left)
+        item = np.searchsorted(seeds.first, seeds.places[at], "right") - 1
         for i in np.unique(item):
-            own = pairs[item == i] - [seeds.first[i], docs.first[k]]
+            places, wanted = seeds.places[at[item == i]] - seeds.first[i], seeds.hashes[at[item == i]]
             size = int(seeds.first[i + 1] - seeds.first[i])
             covered = np.zeros(size + MIN_MATCH, np.int64)
-            places = np.unique(own[:, 0])
             covered[places] += 1
             covered[places + MIN_MATCH] -= 1
             if (np.cumsum(covered)[:size] > 0).sum() < coverage * size:
                 continue  # even overlapping seeds cover too little
-            tiles = tile(seeds.words[seeds.first[i] : seeds.first[i + 1]], words[docs.first[k] : docs.first[k + 1]], own)
+            first, last = np.searchsorted(there, wanted, "left"), np.searchsorted(there, wanted, "right")
+            n = last - first
+            one, two = seeds.words[seeds.first[i] : seeds.first[i + 1]], words[docs.first[k] : docs.first[k + 1]]
+            if n.sum() > PAIRS:
+                tiles = tile_dense(one, two)
+            else:
+                y = here[np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+                tiles = tile(one, two, np.stack([np.repeat(places, n), y], 1))
             share = sum(t[2] for t in tiles) / size
             if share >= coverage:
                 yield int(k), int(i), share, len(tiles)
@@ -160,7 +185,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
             for batch in pieces(batches):
                 rows = list(matches(seeds, batch.column(1), coverage))
                 ids = batch.column(0).take(pa.array([r[0] for r in rows], pa.int64()))
-                items = pa.array(seeds.ids[[r[1] for r in rows]] if rows else [], pa.int64())
+                items = seeds.ids.take(pa.array([r[1] for r in rows], pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids, items, pa.array([r[2] for r in rows], pa.float64()), pa.array([r[3] for r in rows], pa.int64())], schema=_RESULT)
 
         part = map_arrow(docs, run, "doc_id long, item_id long, coverage double, n_tiles long")

@@ -446,6 +446,64 @@ def test_tiles_against_brute_force():
         assert not any(a[i : i + 5] == b[j : j + 5] and not used_a & set(range(i, i + 5)) and not used_b & set(range(j, j + 5)) for i, j in pairs.tolist())
 
 
+def brute_tiles(a, b):
+    """Greedy string tiling as it is defined: the longest match of unmarked words, again and again."""
+    free_a, free_b, covered = [True] * len(a), [True] * len(b), 0
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and free_a[i + n] and free_b[j + n]:
+                    n += 1
+                best = max(best, (n, -i, -j))
+        n, i, j = best[0], -best[1], -best[2]
+        if n < 5:
+            return covered
+        for k in range(n):
+            free_a[i + k] = free_b[j + k] = False
+        covered += n
+
+
+def test_dense_tiles_are_tiles():
+    rng = random.Random(16)
+    for _ in range(40):
+        a, b = ([rng.choice("aab") for _ in range(rng.randint(5, 30))] for _ in range(2))
+        x, y = (np.array([ord(c) for c in v], np.uint64) for v in (a, b))
+        assert sum(t[2] for t in decontamination.tile_dense(x, y)) == brute_tiles(a, b)
+
+
+def test_decontamination_query_against_brute_force(spark, monkeypatch):
+    rng = random.Random(14)
+    vocabulary = [noise(rng, 1) for _ in range(12)]
+    said = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    bench = [(k if k else None, said(rng.randint(5, 14))) for k in range(25)]
+    rows = []
+    for k in range(60):
+        parts = [said(rng.randint(0, 12))]
+        for _ in range(rng.randint(0, 2)):
+            w = rng.choice(bench)[1].split()
+            cut = rng.randint(0, len(w))
+            parts += [" ".join(w[cut:] + w[:cut]), said(rng.randint(0, 4))]
+        rows.append((rng.choice([k, k, None]), " ".join(parts)))
+    items = spark.createDataFrame(bench, "item_id long, text string").withColumn("doc_id", F.lit("clash")).withColumn("coverage", F.lit(1))
+    frame = docs(spark, rows).withColumn("item_id", F.lit("clash")).withColumn("n_tiles", F.lit(0))
+    want = sorted(((i, j, round(brute_tiles(b.split(), t.split()) / len(b.split()), 6)) for i, t in rows for j, b in bench if brute_tiles(b.split(), t.split()) >= 0.6 * len(b.split())), key=repr)
+    got = decontamination.contaminated(frame, items).collect()
+    assert sorted(((r.doc_id, r.item_id, round(r.coverage, 6)) for r in got), key=repr) == want and len(want) > 20 and any(j is None for _, j, _ in want)
+    monkeypatch.setattr(decontamination, "PAIRS", 0)
+    seeds = decontamination.Seeds.of([i for i, _ in bench], [t for _, t in bench])
+    dense = sorted(((rows[k][0], bench[i][0], round(c, 6)) for k, i, c, _ in decontamination.matches(seeds, pa.array([t for _, t in rows]), 0.6)), key=repr)
+    assert dense == want
+
+
+def test_decontamination_of_very_long_repetitive_texts(spark):
+    bench = spark.createDataFrame([(1, "na " * 100), (2, "one two three four five six seven")], "item_id long, text string")
+    rows = [(1, "na " * 60_000), (2, "x " * 200_000 + "one two three four five six seven"), (3, "na na na")]
+    got = sorted((r.doc_id, r.item_id, r.coverage) for r in decontamination.contaminated(docs(spark, rows), bench).collect())
+    assert got == [(1, 1, 1.0), (2, 2, 1.0)]
+
+
 # ---- 6 token files
 
 
