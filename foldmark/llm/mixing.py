@@ -7,13 +7,15 @@ what a node can use is known beforehand, that is a water level among siblings, t
 ``least(capacity, weight * level)`` with the level at which a parent's budget is used up.
 
 A leaf's budget buys whole epochs, then a prefix of the next: its documents in the order of a hash of
-(seed, epoch, doc_id, text) while their tokens fit. The end of the prefix is found in two steps, sums of
-slots of about ``SLOT`` documents and then the documents of the one slot where the budget ends, so a
-leaf with a third of all documents is never sorted in one task.
+(seed, epoch, doc_id, text) while their tokens fit. The end of the prefix is found in three steps, sums of
+groups of ``GROUP`` slots, of the slots in one group (about ``SLOT`` documents each), and of the different documents
+of the one slot where the budget ends, so a leaf with a third of all documents is never sorted in one task.
+Tokens are counted as words between white space: budgets are shares, and no tokenizer is a DataFrame function.
 
 Defined results: null texts have no tokens and are taken with their leaf's prefix; a null or unknown
 domain, lang or source is a node of its own with the default weight; weights of zero or less get
-nothing; rows equal in id and text are taken or left together; an empty table gives an empty result.
+nothing; rows equal in id and text are taken or left together; a very long text is counted whole; columns that
+are not asked for, whatever their names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import types as T
 from foldmark.llm.common import column_or_null, written
 
 LEVELS = ("domain", "lang", "source")
-SLOT, BROADCAST_LEAVES = 1000, 100_000
+SLOT, GROUP, BROADCAST_LEAVES = 1000, 1000, 100_000  # documents in a slot, slots in a group
 SEED, MAX_EPOCHS, SHARE = 17, 2, 0.6
 #: Weights by level; other nodes have 1.
 WEIGHTS: dict[str, dict[str, float]] = {"domain": {"d0": 4.0, "d1": 3.0, "d2": 2.0}, "lang": {"en": 5.0, "de": 2.0, "fr": 2.0, "es": 2.0}, "source": {}}
@@ -101,12 +103,17 @@ def plan(rows: DataFrame, budget: float | None = None, share: float = SHARE, wei
     leaf = written(leaf, "budgets")
     placed = place(rows, leaf, seed)
     sums = placed.where("rest > 0").groupBy(*LEVELS, "slot").agg(F.sum("n_tokens").alias("n"), F.first("rest").alias("rest"))
-    upto = Window.partitionBy(*LEVELS).orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = sums.withColumn("upto", F.sum("n").over(upto)).where("upto > rest AND upto - n <= rest").select(*LEVELS, F.col("slot").alias("end_slot"), (F.col("rest") - F.col("upto") + F.col("n")).alias("room"))
+    sums = written(sums.withColumn("group", F.expr(f"slot div {GROUP}")), "slots")
+    running = lambda *order: Window.partitionBy(*LEVELS).orderBy(*order)
+    # first the group of slots where the budget ends, then the slot, then the documents of that slot
+    groups = sums.groupBy(*LEVELS, "group").agg(F.sum("n").alias("n"), F.first("rest").alias("rest")).withColumn("upto", F.sum("n").over(running("group").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    groups = groups.where("upto > rest AND upto - n <= rest").select(*LEVELS, "group", (F.col("upto") - F.col("n")).alias("before"))
+    ends = sums.join(groups, [*LEVELS, "group"]).withColumn("upto", F.col("before") + F.sum("n").over(running("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    ends = ends.where("upto > rest AND upto - n <= rest").select(*LEVELS, F.col("slot").alias("end_slot"), (F.col("rest") - F.col("upto") + F.col("n")).alias("room"))
     leaf = written(leaf.join(ends, list(LEVELS), "left").withColumn("end_slot", F.coalesce("end_slot", F.lit(-1))), "ends")
-    last = place(rows, leaf, seed, "end_slot", "room").where("slot = end_slot")
-    in_order = Window.partitionBy(*LEVELS).orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    keys = last.withColumn("upto", F.sum("n_tokens").over(in_order)).where("upto <= room").groupBy(*LEVELS).agg(F.max("key").alias("end_key"))
+    # rows equal in id and text share a key and are one row here
+    last = place(rows, leaf, seed, "end_slot", "room").where("slot = end_slot").groupBy(*LEVELS, "key", "room").agg(F.sum("n_tokens").alias("n"))
+    keys = last.withColumn("upto", F.sum("n").over(running("key").rowsBetween(Window.unboundedPreceding, Window.currentRow))).where("upto <= room").groupBy(*LEVELS).agg(F.max("key").alias("end_key"))
     return written(leaf.join(keys, list(LEVELS), "left").select(*LEVELS, "epochs", "rest", "slots", "end_slot", F.coalesce("end_key", F.lit(-1)).alias("end_key")), "plan")
 
 
