@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from foldmark.llm.common import column_or_null, map_arrow
 
 Blocks = list[tuple[int, bytes]]
+MOST_BYTES = 1 << 20  # of an encoded text; a longer one is scored but not learned from
 
 
 def remainder(n: int) -> Column:
@@ -24,7 +26,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, most:
     """``(label, encoded text)`` of up to ``most[label]`` labelled rows each, in order of a hash of the id.
 
     ``usable`` says which ids may be learned from. The sample is bounded whatever the input, so its
-    ids are broadcast to the documents; the texts are encoded where they lie.
+    ids are broadcast to the documents; the texts are encoded where they lie. Should an id have several texts,
+    the sample still holds no more rows than were asked for, and no text of more than ``MOST_BYTES``.
     """
     labels = labels.select(column_or_null(labels, "doc_id", T.LongType()).alias("doc_id"), column_or_null(labels, label, T.IntegerType()).alias("label"))
     parts = [labels.where((F.col("label") == value) & usable).dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for value, n in most.items()]
@@ -35,9 +38,12 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, usable: Column, most:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(encode(batch.column(2)), pa.binary())], ["doc_id", "label", "encoded"])
+            encoded = pa.array(encode(batch.column(2)), pa.binary())
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), encoded], ["doc_id", "label", "encoded"])
+            yield out.filter(pc.less_equal(pc.binary_length(encoded), MOST_BYTES))
 
-    found = map_arrow(rows, run, "doc_id long, label int, encoded binary").toPandas()
+    found = map_arrow(rows, run, "doc_id long, label int, encoded binary")
+    found = found.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("encoded")).limit(sum(most.values())).toPandas()
     found = found.sort_values(["doc_id", "label"], kind="stable")
     return list(zip(found["label"].astype(int), found["encoded"].map(bytes), strict=True))
 

@@ -9,7 +9,7 @@ The net is fitted in numpy on at most ``MOST`` labelled rows per label; all docu
 
 Defined results: a null or empty text is scored as one empty passage; repeated rows each give their
 row; a null doc_id is not held out; without rows of both labels every score is the share of label 1
-(0.5 without any); other columns, such as lang and source, are never read.
+(0.5 without any); a very long text is scored whole; other columns, such as lang and source, are never read.
 """
 
 from __future__ import annotations

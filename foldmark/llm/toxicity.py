@@ -12,7 +12,7 @@ shifted by its language's threshold so that 0.5 is the point of decision everywh
 
 Defined results: a null or empty text pools only padding and gets that score; repeated rows each
 give their row; a null doc_id is not held out; without rows of both labels every score is the share
-of label 1 (0 without any); lang, source and other columns are never read.
+of label 1 (0 without any); a very long text is scored whole; lang, source and other columns are never read.
 """
 
 from __future__ import annotations

@@ -400,6 +400,16 @@ def test_mixing_against_its_sql_and_prefixes(spark):
     want = c.execute(mixing.OP4_SQL).df()
     flat = lambda f: sorted(map(repr, f[sorted(f.columns)].astype(object).where(f[sorted(f.columns)].notna(), None).values.tolist()))
     assert [x.replace(".0", "") for x in flat(got)] == [x.replace(".0", "") for x in flat(want)]
+    # many slots and groups of them, clashing columns, a very long text: the same rule
+    import unittest.mock
+
+    long_rows = frame.unionByName(spark.createDataFrame([(77_777, "w " * 200_000, "en", "src0", 0)], DOCS))
+    clash = long_rows.withColumn("domain", F.lit("x")).withColumn("n_tokens", F.lit(1)).withColumn("digest", F.lit("y")).withColumn("key", F.lit(2)).withColumn("slot", F.lit(3)).withColumn("epoch", F.lit(4))
+    with unittest.mock.patch.multiple(mixing, SLOT=20, GROUP=7):
+        keyed = mixing.keyed(clash)
+        fine = mixing.mixed(keyed, mixing.plan(keyed)).select("doc_id", *mixing.LEVELS, "epoch", "n_tokens").toPandas()
+    c.register("documents", long_rows.toPandas().astype({"doc_id": "Int64"}))
+    assert [x.replace(".0", "") for x in flat(fine)] == [x.replace(".0", "") for x in flat(c.execute(mixing.OP4_SQL).df())]
     empty = mixing.keyed(frame.limit(0))
     assert mixing.mixed(empty, mixing.plan(empty)).count() == 0
 
@@ -586,6 +596,37 @@ def test_repeats_of_documents(spark):
     assert sorted(map(tuple, repeats.op7_repeats(spark, FOLDER).collect()), key=repr) == brute_repeats(rows)
 
 
+def test_repeats_of_long_texts_and_clashing_columns(spark):
+    rng = random.Random(19)
+    shared = noise(rng, 50)
+    rows = [(1, noise(rng, 30_000) + " " + shared + " " + noise(rng, 9)), (2, shared), (3, "same " * 5000)]
+    clash = docs(spark, rows).withColumn("part", F.lit("x")).withColumn("range", F.lit(1)).withColumn("n_words", F.lit(2)).withColumn("kept_sha256", F.lit(3))
+    got = repeats.remove_repeats(clash).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=repr) == brute_repeats(rows)
+
+
+def test_clashing_columns_and_long_texts_of_pairs_and_neighbours(spark, tmp_path):
+    rng = random.Random(20)
+    long = noise(rng, 20_000)
+    rows = [(1, long), (2, long + " more"), (3, noise(rng, 40)), (4, None)]
+    clash = docs(spark, rows)
+    for name in ("key", "label", "rep", "class_id", "bucket", "samples", "tie", "rn", "borrowed", "digests", "fingerprint"):
+        clash = clash.withColumn(name, F.lit("x"))
+    assert {r.doc_id: r.class_id for r in near_duplicates.near_duplicates(clash).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    clash.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in fingerprints.op9_fingerprints(spark, str(tmp_path)).collect()}
+    assert len(got) == 4 and got[1].near_next > 0.95 and got[1].n_chars == len(long)
+
+
+def test_a_sample_of_labels_is_bounded_in_rows_and_bytes(spark):
+    frame = docs(spark, [(1, f"text {k}") for k in range(500)] + [(2, "w " * 700_000), (3, "short")])
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    from foldmark.llm import labelled
+
+    got = labelled.sample(frame, labels, "toxic", F.lit(True), {0: 5, 1: 5}, toxicity._encode)
+    assert len(got) <= 10 and max(len(b) for _, b in got) <= labelled.MOST_BYTES
+
+
 # ---- 9 fingerprints
 
 
