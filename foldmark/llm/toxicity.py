@@ -17,6 +17,7 @@ of label 1 (0 without any); a very long text is scored whole; lang, source and o
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -120,11 +121,12 @@ def _stack(blocks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(blocks), np.concatenate([[0], np.cumsum([len(b) for b in blocks])])
 
 
-def fit(blocks: Blocks, epochs: int = 4, folds: int = FOLDS, seed: int = 13) -> Net:
+def fit(blocks: Blocks, epochs: int = 4, folds: int = FOLDS, seed: int = 13, spark: SparkSession | None = None) -> Net:
     """The net of all ``blocks``, with thresholds by language that are cross-fitted.
 
     Each fold is scored by a net that has not seen it; of these logits every language with ``FEW`` rows of
     either label gets the threshold where precision and recall are best together, the others the general one.
+    The nets are independent: with ``spark`` each is trained by a task of its own.
     """
     y = np.array([label for label, _ in blocks], np.float32)
     net = Net({})
@@ -132,20 +134,40 @@ def fit(blocks: Blocks, epochs: int = 4, folds: int = FOLDS, seed: int = 13) ->
         net.constant = float(y.mean()) if len(y) else 0.0
         return net
     language = np.array([b[0] for _, b in blocks])
-    docs = [np.frombuffer(b, np.uint16, offset=2).reshape(-1, 1 + len(_PREFIXES)).astype(np.int64) for _, b in blocks]
     # rows of a label and language in turn, so that each fold has its share of every one
     turn = np.zeros(len(y), np.int64)
     for value in (0, 1):
         for lang in range(len(LANGUAGES)):
             own = np.flatnonzero((y == value) & (language == lang))
             turn[own] = np.arange(len(own)) % folds
+
+    def train(k: int, blocks: Blocks) -> tuple[Net | None, np.ndarray]:
+        """The net without fold ``k`` and its logits of that fold; for ``folds`` the net of all rows."""
+        docs = [np.frombuffer(b, np.uint16, offset=2).reshape(-1, 1 + len(_PREFIXES)).astype(np.int64) for _, b in blocks]
+        if k == folds:
+            return _trained(docs, y, np.arange(len(y)), epochs, seed), np.zeros(0)
+        own = turn == k
+        if not own.any() or len(set(y[~own])) < 2:
+            return None, np.zeros(int(own.sum()))
+        part = _trained(docs, y, np.flatnonzero(~own), epochs, seed + k + 1)
+        return None, np.concatenate([part.forward(*_stack([docs[j]]))["logit"] for j in np.flatnonzero(own)])
+
+    if spark is None:
+        made = [train(k, blocks) for k in range(folds + 1)]
+    else:
+        sent = spark.sparkContext.broadcast(blocks)  # the bounded sample
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for k in batch.column(0).to_pylist():
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([pickle.dumps(train(k, sent.value))], pa.binary())], ["k", "made"])
+
+        rows = map_arrow(spark.range(0, folds + 1, 1, folds + 1).toDF("k"), run, "k long, made binary").collect()
+        made = [pickle.loads(r.made) for r in sorted(rows, key=lambda r: r.k)]
     out = np.zeros(len(y))
     for k in range(folds):
-        own = turn == k
-        if own.any() and len(set(y[~own])) == 2:
-            part = _trained(docs, y, np.flatnonzero(~own), epochs, seed + k + 1)
-            out[own] = np.concatenate([part.forward(*_stack([docs[j]]))["logit"] for j in np.flatnonzero(own)])
-    net = _trained(docs, y, np.arange(len(y)), epochs, seed)
+        out[turn == k] = made[k][1]
+    net = made[folds][0]
     general = _threshold(out, y, 0.0)
     for lang in range(len(LANGUAGES)):
         own = language == lang
@@ -233,7 +255,7 @@ def _encode(texts: pa.Array) -> list[bytes]:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Net:
     """The net from at most ``most`` rows of each label whose id may be learned from."""
-    return fit(sample(docs, labels, "toxic", remainder(5) != 0, {0: most, 1: most}, _encode))
+    return fit(sample(docs, labels, "toxic", remainder(5) != 0, {0: most, 1: most}, _encode), spark=docs.sparkSession)
 
 
 def score_toxicity(docs: DataFrame, net: Net) -> DataFrame:
