@@ -109,7 +109,13 @@ class _Asked:
         return batch
 
 
-def _answers(entries: DataFrame, ranges: Ranges) -> DataFrame:
+def _dealt(rows: DataFrame, by: str, size: int) -> DataFrame:
+    """``rows`` dealt by a column, into more partitions than the session asks for where ``size`` bytes of text need them."""
+    many = size >> 27
+    return rows.repartition(many, by) if many > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows.repartition(by)
+
+
+def _answers(entries: DataFrame, ranges: Ranges, size: int) -> DataFrame:
     """``part, keys``: the index entries of several places, for each part that asked."""
 
     def found(rows: list[tuple[int, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
@@ -139,13 +145,14 @@ def _answers(entries: DataFrame, ranges: Ranges) -> DataFrame:
         if held:
             yield from found(held)
 
-    return map_arrow(entries.select("range", "first", "steps", "refs").repartition("range").sortWithinPartitions("range"), run, "part long, keys binary")
+    return map_arrow(_dealt(entries.select("range", "first", "steps", "refs"), "range", size).sortWithinPartitions("range"), run, "part long, keys binary")
 
 
-def _beside(docs: DataFrame, answers: DataFrame) -> DataFrame:
+def _beside(docs: DataFrame, answers: DataFrame, size: int) -> DataFrame:
     """Documents of a part behind the answers to it, in one task and in order."""
     asked = answers.select("part", F.lit(0).alias("kind"), "keys", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"))
-    return asked.unionByName(docs.select("part", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("keys"), "doc_id", "text")).repartition("part").sortWithinPartitions("part", "kind")
+    told = docs.select("part", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("keys"), "doc_id", "text")
+    return _dealt(asked.unionByName(told), "part", size).sortWithinPartitions("part", "kind")
 
 
 def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray]]:
@@ -208,7 +215,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield asked.out()
 
     entries = map_arrow(docs.select("text", "part"), probe, "range long, first long, steps binary, refs binary")
-    blocks = written(_answers(entries, narrow), "blocks")
+    blocks = written(_answers(entries, narrow, size), "blocks")
     _release(spark)
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,9 +241,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         if asked.n:
             yield _rows(asked.out())
 
-    step = written(map_arrow(_beside(docs, blocks), extend, "range long, first long, steps binary, refs binary, part long, doc_id long, n_words long, n_removed long, kept_sha256 string, text string"), "extended")
+    step = written(map_arrow(_beside(docs, blocks, size), extend, "range long, first long, steps binary, refs binary, part long, doc_id long, n_words long, n_removed long, kept_sha256 string, text string"), "extended")
     _release(spark)
-    repeats = written(_answers(step.where("range IS NOT NULL"), wide), "repeats")
+    repeats = written(_answers(step.where("range IS NOT NULL"), wide, size), "repeats")
     waiting = step.where("range IS NULL AND kept_sha256 IS NULL")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,7 +265,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 left.append(b" ".join(compress(text.encode().split(), own)).decode())
             yield pa.RecordBatch.from_arrays([batch.column(3), pa.array(words.n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sums, pa.string()), pa.array(left, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256", "text"])
 
-    last = map_arrow(_beside(waiting, repeats), cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, text string")
+    last = map_arrow(_beside(waiting, repeats, size), cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, text string")
     return step.where("range IS NULL AND kept_sha256 IS NOT NULL").select("doc_id", "n_words", "n_removed", "kept_sha256", "text").unionByName(last)
 
 
@@ -268,7 +275,9 @@ def _rows(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of steps that are written; it acts when the JVM collects garbage."""
+    """Let Spark's cleaner drop the shuffle files of steps that are written; it acts when the JVM collects garbage.
+
+    What those steps made lies in the shared folder, so nothing that is lost later is computed from these files again."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
