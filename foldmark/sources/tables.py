@@ -27,6 +27,7 @@ class Table:
         return T.StructType.fromDDL(self.schema)
 
 
+# fixed values: names and types of the tables that data is exchanged in
 TABLES = {
     t.name: t
     for t in (
@@ -128,6 +129,33 @@ def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("rating", F.when(F.lower(F.trim("rating")).isin("yes", "y", "1", "true"), True).when(F.lower(F.trim("rating")).isin("no", "n", "0", "false"), False))
 
 
+def write_csv(df: DataFrame, path: str) -> str:
+    """Rows as CSV with a header, so that :func:`read_csv` gives them back: nulls and empty texts are told apart."""
+    df.write.mode("overwrite").option("header", True).option("nullValue", r"\N").option("emptyValue", "").option("quoteAll", True).option("escape", '"').csv(path)
+    return path
+
+
+def read_csv(spark: SparkSession, schema: str, path: str) -> DataFrame:
+    return spark.read.schema(schema).option("header", True).option("nullValue", r"\N").option("emptyValue", "").option("escape", '"').option("multiLine", True).option("mode", "FAILFAST").csv(path)
+
+
+def derived(df: DataFrame, name: str, key: tuple[str, ...], **more) -> Table:
+    """A table declared by a frame's own schema."""
+    return Table(name, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), key, **more)
+
+
+def day_arrays(rows: DataFrame, key: str, day: str, value: str) -> DataFrame:
+    """``key, first, values``: a series as an array by day from its first one, null where a day has no row."""
+    ends = rows.groupBy(key).agg(F.min(day).alias("first"), F.map_from_entries(F.collect_list(F.struct(F.col(day), F.col(value)))).alias("m"), F.max(day).alias("last"))
+    return ends.select(key, "first", F.transform(F.sequence("first", "last"), lambda d: F.try_element_at("m", d)).alias("values"))
+
+
+def day_rows(arrays: DataFrame, key: str, day: str, value: str) -> DataFrame:
+    """The rows of :func:`day_arrays` again."""
+    out = arrays.select(key, "first", F.posexplode("values").alias("at", value)).where(F.col(value).isNotNull())
+    return out.select(key, F.expr("date_add(first, at)").alias(day), value)
+
+
 def metadata(spark: SparkSession, path: str, entry: dict | None = None) -> dict:
     """Write ``entry`` as a small JSON file beside a table, or read it."""
     if entry is not None:
