@@ -51,19 +51,26 @@ def passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     total = int(bags[-1])
     out = np.zeros((total, N_FEATURES), np.float32)
     if not len(words.starts):
+        out[:, _KINDS + 7] = 1.0  # as below: without words none is said twice
         return out, bags
     doc = words.doc()
     own = bags[doc] + (np.arange(len(doc)) - words.first[doc]) // PASSAGE
     # bytes up to the next word belong to a word's passage
     owner = np.repeat(own, np.diff(np.append(words.starts, len(words.data))))
     body = words.data[words.starts[0] :]
-    kinds = np.bincount(owner * _KINDS + _CLASS[body], minlength=total * _KINDS).reshape(total, _KINDS)
+    # white space behind a text's last word may be the next text's: it belongs to no passage
+    last = words.first[1:][n > 0] - 1
+    edge = np.zeros(len(body) + 1, np.int64)
+    edge[words.ends[last] - words.starts[0]] += 1
+    edge[np.append(words.starts, len(words.data))[last + 1] - words.starts[0]] -= 1
+    owner[np.cumsum(edge)[:-1] > 0] = total
+    kinds = np.bincount(owner * _KINDS + _CLASS[body], minlength=(total + 1) * _KINDS).reshape(-1, _KINDS)[:total]
     size = np.maximum(1, kinds.sum(1, keepdims=True))
     out[:, :_KINDS] = np.sqrt(kinds / size)
     count = np.bincount(own, minlength=total)
     some = np.maximum(1, count)
     length = words.ends - words.starts
-    first, last = words.data[words.starts], words.data[words.ends - 1]
+    first, last = words.data[words.starts], words.data[words.ends - 1]  # bytes of each word
     hashes = words.hashes()
     same = np.zeros(len(doc), bool)
     same[1:] = (hashes[1:] == hashes[:-1]) & (own[1:] == own[:-1])

@@ -338,13 +338,35 @@ def test_held_out_rows(spark, query, label, n, out, rare):
 def test_scores_are_of_whole_texts_alone(spark):
     """Each row's score is that of the fitted net on the row's whole text alone, whatever else is in the batch."""
     frame, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    odd = [(10**6 + k, t) for k, t in enumerate(["", " \n lead and trail \n\n", "x", "\t\t", "  next", "a. b " * 9000])]
+    frame = docs(spark, [(r.doc_id, r.text) for r in frame.collect()] + odd)
     net = toxicity.fit_toxicity(quality.with_text(frame), labels)
     got = {r.doc_id: r.score for r in toxicity.score_toxicity(frame, net).collect()}
+    mil = quality.fit_quality(frame, labels)
+    also = {r.doc_id: r.score for r in quality.score_quality(frame, mil).collect()}
     for r in frame.collect():
-        assert got[r.doc_id] == pytest.approx(float(net.score(*toxicity.slots(pa.array([r.text])))[0]), abs=1e-4)
+        one = pa.array([r.text])
+        assert got[r.doc_id] == pytest.approx(float(net.score(*toxicity.slots(one))[0]), abs=1e-4)
+        assert also[r.doc_id] == pytest.approx(float(mil.score(*quality.passages(one))[0]), abs=1e-6)
     assert all(r.predicted == (r.score >= 0.5) for r in toxicity.op8_toxicity(spark, FOLDER).collect())
 
 
+def test_attention_pools_passages(spark):
+    """The net's score written out passage by passage: gates, weights that sum to one, the weighted code."""
+    frame, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    net = quality.fit_quality(frame, labels)
+    w = net.w
+    for r in frame.orderBy("doc_id").limit(40).collect():
+        x, bags = quality.passages(pa.array([r.text]))
+        assert len(x) == max(1, -(-len(WORD.findall(r.text)) // quality.PASSAGE)) == bags[-1]
+        codes = [np.tanh(((p - net.mean) / net.scale) @ w["a"] + w["a0"]) for p in x]
+        raw = [float((np.tanh(c @ w["v"] + w["v0"]) / (1 + np.exp(-(c @ w["u"] + w["u0"])))) @ w["g"]) for c in codes]
+        share = np.exp(np.array(raw) - max(raw))
+        share /= share.sum()
+        pooled = sum(a * c for a, c in zip(share, codes))
+        assert float(net.score(x, bags)[0]) == pytest.approx(float(1 / (1 + np.exp(-(pooled @ w["c"] + w["c0"][0])))), rel=1e-6)
+
+
 def test_clashing_columns_of_labels_and_documents(spark):
     frame, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
     clash = lambda x: x.withColumn("label", F.lit("x")).withColumn("score", F.lit("y")).withColumn("encoded", F.lit(1)).withColumn("remainder", F.lit(2))
