@@ -289,3 +289,63 @@ def test_session_windows_of_a_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert rows(spark.sql("SELECT user_id, n FROM sessions"), "user_id", "n") == [(7, 1), (7, 2)]
+
+
+@pytest.mark.parametrize("rare", [0, 1, 3, 50])
+def test_nearest_other_against_all_pairs(spark, rare):
+    """Hot grams that all share, copies, subjects with none in common: the same whatever counts as rare."""
+    import random
+
+    from foldmark.operators import overlap
+
+    rng = random.Random(rare)
+    own = {k: {f"c{rng.randint(0, 6)}" for _ in range(rng.randint(0, 6))} | {f"r{rng.randint(0, 60)}" for _ in range(rng.randint(0, 8))} | {f"u{k}"} for k in range(40)}
+    own[50], own[51] = set(own[3]), {"alone"}
+    g = spark.createDataFrame([(k, x) for k, v in own.items() for x in sorted(v)], "k long, gram string")
+    want = sorted((k, len(v), max(len(v & w) for j, w in own.items() if j != k)) for k, v in own.items())
+    assert rows(overlap.nearest_other(g, "k", rare), "k", "own", "shared") == want or sorted(rows(overlap.nearest_other(g, "k", rare), "k", "own", "shared")) == want
+
+
+def test_ranks_and_quantiles_of_skewed_values(spark):
+    import random
+
+    rng = random.Random(5)
+    values = [("a", float(rng.choice([1, 1, 1, 2, rng.randint(3, 900)]))) for _ in range(3000)] + [("b", 4.0)] * 5 + [("c", 1.0)]
+    x = spark.createDataFrame([(k, v, rng.random()) for k, v in values], "k string, v double, w double")
+    got = {(r.k, r.v): r.r for r in stats.average_ranks(x, ["k"], "v", "r").collect()}
+    for k in "abc":
+        mine = sorted(v for j, v in values if j == k)
+        assert all(got[k, v] == pytest.approx(mine.index(v) + (mine.count(v) + 1) / 2) for v in set(mine))
+    q = stats.quantiles(x, "v", 0.9).first()
+    every = sorted(v for _, v in values)
+    n = len(every)
+    assert (q.n, q.most, q.at) == (n, every[-1], every[math.ceil(0.9 * n) - 1]) and q.median == (every[(n - 1) // 2] + every[n // 2]) / 2
+    assert stats.quantiles(x.limit(0), "v", 0.9).first().n == 0
+
+
+def test_exact_tail_of_large_tables(spark):
+    from math import comb
+
+    cases = [(3, 5, 7, 6), (0, 4, 4, 4), (5, 5, 0, 5), (2, 400, 600, 300), (150, 400, 600, 300), (9, 5, 7, 6), (0, 0, 3, 2)]
+    x = spark.createDataFrame([(k, *c) for k, c in enumerate(cases)], "k int, hits long, active long, inactive long, present long")
+    got = [r.p for r in x.select("k", stats.fisher_upper("hits", "active", "inactive", "present").alias("p")).orderBy("k").collect()]
+    want = [sum(comb(a, j) * comb(i, p - j) for j in range(h, min(a, p) + 1)) / comb(a + i, p) for h, a, i, p in cases]
+    assert got == pytest.approx(want, rel=1e-6)
+    big = spark.createDataFrame([(300_000, 600_000, 600_000, 600_000)], "hits long, active long, inactive long, present long")
+    assert 0.49 < big.select(stats.fisher_upper("hits", "active", "inactive", "present")).first()[0] < 0.51
+
+
+def test_forward_asof_crosses_days_and_skips_null_keys(spark):
+    t = lambda d, h: datetime(2024, 1, d, h)
+    x = spark.createDataFrame([(1, "a", t(1, 5), 0), (2, "a", t(1, 5), 1), (3, "a", t(9, 1), 1), (4, "b", t(2, 2), 0), (5, None, t(2, 2), 0), (6, None, t(3, 2), 1)], "id int, k string, ts timestamp, c int")
+    assert rows(asof.paired_with_next(x, "k", "ts", F.col("c") == 1, "n"), "id", "n") == [(1, t(9, 1)), (2, t(9, 1)), (3, None), (4, None), (5, None), (6, None)]
+
+
+def test_citations_are_scored(spark):
+    signals = spark.createDataFrame([("s", "x", 1, 10, "self", "confirm"), ("s", "x", 2, 11, "self", "retracted"), ("s", "y", 3, 12, "desk", "confirm")], "subject string, trait string, signal_id int, session long, ownership string, valence string")
+    sessions = spark.createDataFrame([("s", 10), ("s", 11), ("s", 12)], "subject string, session long")
+    truths = spark.createDataFrame([("s", "x", "bias", True, None), ("s", "y", "preference", None, 2.0), ("s", "z", "preference", None, None)], "subject string, trait string, kind string, truth_active boolean, truth_value double")
+    said = spark.createDataFrame([("s", "x", True, None, [10, 11, 99]), ("s", "y", None, 3.0, [12])], "subject string, trait string, predicted_active boolean, predicted_value double, cited array<long>")
+    found, unknown = evidence.cited_rows(said, truths, signals, sessions)
+    assert rows(found, "trait", "correct", "cited", "falsely") == [("x", True, "10,11", "11"), ("y", False, "12", "12"), ("z", True, "", "")]
+    assert rows(unknown, "trait", "session") == [("x", 99)]
