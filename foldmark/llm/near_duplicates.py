@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldmark.llm.common import BROADCAST_ROWS, counted, map_arrow, pieces, written
+from foldmark.llm.common import BROADCAST_ROWS, counted, dropped, map_arrow, pieces, recorded, written
 from foldmark.llm.components import components
 from foldmark.llm.quality import with_text
 from foldmark.llm.words import Words, mix, rolling, valid, words_of
@@ -317,7 +317,16 @@ def near_duplicates(docs: DataFrame, similarity_at_least: float = SIMILARITY) ->
 
 
 def classes_and_links(docs: DataFrame, similarity_at_least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """:func:`near_duplicates`, and the links that join its classes: ``a, b`` (keys of two texts) and their ``similarity``."""
+    """:func:`near_duplicates`, and the links that join its classes: ``a, b`` (keys of two texts) and their ``similarity``.
+
+    What the results read stays in the shared folder, the other tables of the way there are deleted."""
+    with recorded() as made:
+        out = _classes_and_links(docs, similarity_at_least)
+    dropped(docs.sparkSession, [path for path in made if path.rsplit("/", 1)[-1].rsplit("-", 1)[0] not in ("signatures", "labelled", "found", "wanted")])
+    return out
+
+
+def _classes_and_links(docs: DataFrame, similarity_at_least: float) -> tuple[DataFrame, DataFrame]:
     docs = with_text(docs).withColumn("key", F.coalesce(F.md5(F.col("text").cast("binary")), F.concat(F.lit("null "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     idf = word_frequencies(docs)
     signed = written(signatures(docs, idf), "signatures")
