@@ -36,8 +36,10 @@ def leg_side(position: Column, bullish: Column, weight: Column, leg_bullish: Col
     return F.when(sign > 0, "long").when(sign < 0, "short")
 
 
-def size_and_risk(kind: Column, share: Column, level: Column, book: Column, point_value: Column) -> Column:
-    """``size`` of a leg that holds ``share`` percent of the ``book``, and the ``risk`` of one unit's move of its level."""
-    amount = share / 100 * book
-    size = F.when(kind.isin("equity", "commodity", "future"), amount / level).otherwise(amount / 100)
-    return F.struct(size.alias("size"), F.when(kind.isin("sovereign", "credit"), size * point_value).otherwise(amount / 100).alias("risk"))
+def size_and_risk(kind: Column, share: Column, price: Column, book: Column, per_unit: Column) -> Column:
+    """``size`` and ``risk`` of a leg that takes ``share`` percent of the ``book``: an equity's size is that share, a rate's its
+    amount in millions times the value of a basis point, a commodity's whole contracts, one at least (``per_unit`` is the
+    value of a basis point, or a contract's multiplier)."""
+    amount = book * share / 100
+    size = F.when(kind == "equity", share).when(kind == "commodity", F.greatest(F.lit(1.0), F.floor(amount / (price * per_unit)).cast("double"))).otherwise(amount / 1e6 * per_unit)
+    return F.struct(size.alias("size"), amount.alias("risk"))

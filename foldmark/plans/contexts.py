@@ -203,6 +203,25 @@ def nearest_partner(spark: SparkSession, d: str) -> DataFrame:
     return nearest_in_value(table(spark, d, "part").select("p_brand", "p_partkey", "p_size"), "p_brand", "p_size", "p_partkey")
 
 
+def least_other(rows: DataFrame, by: str, value: str, id_: str) -> DataFrame:
+    """``partner``: of the others of the same ``by`` the one with the least ``value``, of equal ones the least ``id_``.
+
+    The two least of each group are all that is needed, so the group is aggregated, not sorted."""
+    one = rows.withColumn("__s", F.struct(value, id_))
+    first = one.groupBy(by).agg(F.min("__s").alias("__first"))
+    second = one.join(first, by).where("__s > __first").groupBy(by).agg(F.min("__s").alias("__second"))
+    found = one.join(first, by, "left").join(second, by, "left")
+    return found.withColumn("partner", F.when(F.col(f"__first.{id_}") == F.col(id_), F.col(f"__second.{id_}")).otherwise(F.col(f"__first.{id_}"))).drop("__s", "__first", "__second")
+
+
+@query("""WITH m AS (SELECT user_id, user_id % 12 AS sector, round(sum(CASE WHEN day(ts) > 20 THEN value ELSE -value / 2 END), 4) AS move FROM events GROUP BY 1)
+SELECT a.user_id, a.move, (SELECT b.user_id FROM m b WHERE b.sector = a.sector AND b.user_id <> a.user_id ORDER BY b.move, b.user_id LIMIT 1) AS partner FROM m a""")
+def pair_least_mover(spark: SparkSession, d: str) -> DataFrame:
+    """For each subject the one of its sector that moved least."""
+    m = table(spark, d, "events").groupBy("user_id").agg(F.round(F.sum(F.expr("if(day(ts) > 20, value, -value / 2)")), 4).alias("move")).withColumn("sector", F.col("user_id") % 12)
+    return least_other(m, "sector", "move", "user_id").select("user_id", "move", "partner")
+
+
 @query("""WITH x AS (SELECT event_id, CAST(ts AS DATE) + CASE WHEN hour(ts) >= 16 THEN 1 ELSE 0 END AS d FROM events) SELECT event_id, d + CASE dayofweek(d) WHEN 6 THEN 2 WHEN 0 THEN 1 ELSE 0 END AS day FROM x""", dates=("day",))
 def trading_days(spark: SparkSession, d: str) -> DataFrame:
     """The session that a time belongs to: the same weekday before the close, else the next one."""

@@ -308,12 +308,11 @@ def quoted_levels(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""
 WITH r AS (SELECT event_id, {_ASSET} AS kind, value, CASE WHEN user_id % 2 = 0 THEN 1 ELSE -1 END AS pos, CASE WHEN event_id % 3 = 0 THEN -1 ELSE 1 END AS bull, CASE WHEN event_id % 5 = 0 THEN 0.0 WHEN event_id % 5 = 1 THEN -0.5 ELSE 1.0 END AS w FROM events)
-SELECT event_id, CASE WHEN pos * bull * w > 0 THEN 'long' WHEN pos * bull * w < 0 THEN 'short' END AS side, CAST(round(CASE WHEN kind IN ('equity', 'commodity') THEN 20000 / value ELSE 200 END, 6) AS DOUBLE) AS size,
-CAST(round(CASE WHEN kind IN ('sovereign', 'credit') THEN 200 * 0.8 ELSE 200 END, 6) AS DOUBLE) AS risk FROM r""")
+SELECT event_id, CASE WHEN pos * bull * w > 0 THEN 'long' WHEN pos * bull * w < 0 THEN 'short' END AS side, round(CASE kind WHEN 'equity' THEN 2 WHEN 'commodity' THEN greatest(1, floor(20000 / (value * 25))) ELSE 0.02::DOUBLE * 25 END, 6)::DOUBLE AS size, 20000::DOUBLE AS risk FROM r""")
 def leg_sizes(spark: SparkSession, d: str) -> DataFrame:
     """Side, size and risk of a leg that holds two percent of a book of a million."""
     r = table(spark, d, "events").select("event_id", F.expr(_ASSET).alias("kind"), "value", F.expr("if(user_id % 2 = 0, 1, -1)").alias("pos"), F.expr("if(event_id % 3 = 0, -1, 1)").alias("bull"), F.expr("CASE event_id % 5 WHEN 0 THEN 0D WHEN 1 THEN -0.5D ELSE 1D END").alias("w"))
-    s = levels.size_and_risk(F.col("kind"), F.lit(2.0), F.col("value"), F.lit(1_000_000.0), F.lit(0.8))
+    s = levels.size_and_risk(F.col("kind"), F.lit(2.0), F.col("value"), F.lit(1_000_000.0), F.lit(25.0))
     out = r.select("event_id", levels.leg_side(F.col("pos"), F.col("bull"), F.col("w"), F.lit(1)).alias("side"), s.alias("s")).select("event_id", "side", "s.size", "s.risk")
     return rounded(out, "size", "risk")
 
