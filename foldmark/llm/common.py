@@ -42,7 +42,7 @@ def recorded() -> Iterator[list[str]]:
     try:
         yield made
     finally:
-        _recording.remove(made)
+        _recording[:] = [m for m in _recording if m is not made]  # by identity: nested blocks may hold equal lists
 
 
 def dropped(spark: SparkSession, paths: list[str]) -> None:
