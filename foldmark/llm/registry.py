@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from foldmark.llm.codes import OP12_SQL, op12_vector_codes
 from foldmark.llm.decontamination import op5_decontamination
 from foldmark.llm.fingerprints import op9_fingerprints
 from foldmark.llm.html import op1_html_text
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_fingerprints": op9_fingerprints,
     "op10_pii": op10_pii,
+    "op12_vector_codes": op12_vector_codes,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_mixing": OP4_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_mixing": OP4_SQL, "op12_vector_codes": OP12_SQL}
