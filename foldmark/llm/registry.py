@@ -10,6 +10,7 @@ from foldmark.llm.codes import OP12_SQL, op12_vector_codes
 from foldmark.llm.decontamination import op5_decontamination
 from foldmark.llm.fingerprints import op9_fingerprints
 from foldmark.llm.html import op1_html_text
+from foldmark.llm.importance import op11_importance
 from foldmark.llm.mixing import OP4_SQL, op4_mixing
 from foldmark.llm.near_duplicates import op2_near_duplicates
 from foldmark.llm.pii import op10_pii
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_fingerprints": op9_fingerprints,
     "op10_pii": op10_pii,
+    "op11_importance": op11_importance,
     "op12_vector_codes": op12_vector_codes,
 }
 

@@ -87,8 +87,8 @@ def _fold(data: np.ndarray) -> np.ndarray:
     return data + upper.astype(np.uint8) * 32
 
 
-def words_of(texts: pa.Array) -> Words:
-    """Words of each text; a null text has none."""
+def words_of(texts: pa.Array, space: np.ndarray = _SPACE, spelling: np.ndarray | None = None) -> Words:
+    """Words of each text; a null text has none. ``space`` marks the bytes between words, after ``spelling`` maps them."""
     offsets = offsets_of(texts)
     if texts.null_count:
         texts = texts.fill_null("")
@@ -96,7 +96,9 @@ def words_of(texts: pa.Array) -> Words:
     raw = texts.buffers()[2]
     data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
     offsets = offsets - offsets[0]
-    space = _SPACE[data]
+    if spelling is not None:
+        data = spelling[data]
+    space = space[data]
     before = np.ones(len(data) + 1, bool)
     before[1:] = space
     before[offsets] = True
