@@ -16,6 +16,7 @@ from foldmark.llm.near_duplicates import op2_near_duplicates
 from foldmark.llm.pii import op10_pii
 from foldmark.llm.quality import op3_quality
 from foldmark.llm.repeats import op7_repeats
+from foldmark.llm.secrets import op13_secrets
 from foldmark.llm.token_files import op6_token_files
 from foldmark.llm.toxicity import op8_toxicity
 
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": op10_pii,
     "op11_importance": op11_importance,
     "op12_vector_codes": op12_vector_codes,
+    "op13_secrets": op13_secrets,
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_mixing": OP4_SQL, "op12_vector_codes": OP12_SQL}

@@ -6,7 +6,7 @@ from foldmark.llm import registry
 
 def test_one_query_for_each_operator():
     names = [re.match(r"op(\d+)_", n)[1] for n in registry.QUERIES]
-    assert sorted(map(int, names)) == list(range(1, 11))
+    assert sorted(map(int, names)) == list(range(1, 14))
     assert set(registry.QUERIES) | {"pipeline"} <= set(entry.queries()) and set(registry.ORACLE_SQL) <= set(entry.oracle_sql())
 
 
