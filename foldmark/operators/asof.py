@@ -66,3 +66,73 @@ def paired_with_next(rows: DataFrame, by: str, on: str, closes: Column, out: str
     carry = first.select(by, "__slice", F.min("__first").over(after).alias("__carry"))
     found = rows.withColumn("__near", F.min("__close").over(later)).join(carry, [by, "__slice"], "left")
     return found.withColumn(out, F.coalesce("__near", "__carry")).drop("__t", "__slice", "__close", "__near", "__carry")
+
+
+#: Numbers of a slice differ by at most this part of their size; slices are sorted on their own.
+SLICE_WIDTH = 1 / 1024
+
+
+def number_slice(x: Column, width: float = SLICE_WIDTH) -> Column:
+    """Number of the slice of ``x`` on a logarithmic scale, in the order of the numbers; 0 is a slice of its own."""
+    size = F.floor(F.log(F.abs(x)) / width) + F.lit(1 << 40)
+    return F.when(x == 0, F.lit(0).cast("long")).when(x > 0, size).otherwise(-size)
+
+
+def neighbours(left: DataFrame, right: DataFrame, by: list[str], value: str, width: float = SLICE_WIDTH) -> DataFrame:
+    """``by, value, below, above``: for each different number of ``left`` the greatest number of ``right`` of equal keys
+    that is at most it, and the least one that is at least it. Null keys and numbers have none and are left out.
+
+    No pairs are made: equal numbers are one row, each slice of a key's numbers is sorted on its own, and what reaches
+    over from other slices comes from a table with one row per key and slice.
+    """
+    known = lambda df: df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).dropna(subset=by).select(*by, F.col(value).cast("double").alias(value)).distinct()
+    points, refs = known(left), known(right)
+    rows = points.withColumn("__ref", F.lit(None).cast("double")).unionByName(refs.withColumn("__ref", F.col(value)))
+    rows = rows.withColumn("__slice", number_slice(F.col(value), width))
+    within = Window.partitionBy(*by, "__slice").orderBy(value)
+    below = F.last("__ref", ignorenulls=True).over(within.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    above = F.first("__ref", ignorenulls=True).over(within.rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    rows = rows.withColumns({"__below": below, "__above": above}).where(F.col("__ref").isNull())
+    slices = points.unionByName(refs.withColumn("__ref", F.col(value)), allowMissingColumns=True).groupBy(*by, number_slice(F.col(value), width).alias("__slice"))
+    slices = slices.agg(F.min("__ref").alias("__least"), F.max("__ref").alias("__most"))
+    order = Window.partitionBy(*by).orderBy("__slice")
+    lower = F.last("__most", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    upper = F.first("__least", ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
+    carry = slices.select(*by, "__slice", lower.alias("__lower"), upper.alias("__upper"))
+    found = rows.join(carry, [*by, "__slice"])
+    return found.select(*by, value, F.coalesce("__below", "__lower").alias("below"), F.coalesce("__above", "__upper").alias("above"))
+
+
+def agrees(value: Column, reference: Column, relative: float, least: float = 1e-9) -> Column:
+    """Whether ``value`` is within ``relative`` of the reference's size, at least that of ``least``; null is no."""
+    return F.coalesce(F.abs(value - reference) <= relative * F.greatest(F.abs(reference), F.lit(least)), F.lit(False))
+
+
+def confirmed_by_any(left: DataFrame, right: DataFrame, by: list[str], value: str, relative: float, out: str = "confirmed", least: float = 1e-9) -> DataFrame:
+    """All rows of ``left`` with ``out``: whether some row of ``right`` of equal keys has a number that :func:`agrees`.
+
+    What a reference accepts reaches the further the greater it is (``relative`` is at most 1), so only the two
+    next to a number, below and above, can be the ones that accept it.
+    """
+    if not 0 <= relative <= 1:
+        raise ValueError("the tolerance is a share")
+    near = neighbours(left, right, by, value)
+    number = F.col(value)
+    near = near.select(*by, value, (agrees(number, F.col("below"), relative, least) | agrees(number, F.col("above"), relative, least)).alias("__yes")).where("__yes")
+    near = near.select(*(F.col(c).alias(f"__{c}") for c in by), F.col(value).alias("__number"), "__yes")
+    same = F.col(value).cast("double") == F.col("__number")
+    for c in by:
+        same = same & (F.col(c) == F.col(f"__{c}"))
+    return left.join(near, same, "left").select(*left.columns, F.coalesce("__yes", F.lit(False)).alias(out))
+
+
+def confirmed_by_market(mentions: DataFrame, quotes: DataFrame, by: list[str], scales: dict[str, float], relative: float, least: float = 1e-9) -> DataFrame:
+    """``mentions`` (by, day, unit, value) with ``reference`` and ``confirmed``: against the last of ``quotes`` (by, day,
+    unit, value) on or before the day. Both are brought to one unit by ``scales``; an unknown unit, or no quote, confirms nothing."""
+    keys = F.struct(*by)
+    table = F.create_map(*(F.lit(x) for pair in scales.items() for x in pair))
+    scaled = lambda df: df.withColumn("__by", keys).withColumn("__value", F.col("value") * F.element_at(table, F.col("unit")))
+    names = [*mentions.columns, "__by", "__value"]
+    known = scaled(quotes).where(F.col("__value").isNotNull())
+    found = asof_backward(scaled(mentions).select(*names), known, "__by", "day", "__value", "reference", unit="MONTH")
+    return found.select(*mentions.columns, "reference", agrees(F.col("__value"), F.col("reference"), relative, least).alias("confirmed"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from foldmark.plans import contexts, gates, joining, market, replies, rules, series, signals, storage, texts  # noqa: F401  they name their queries
+from foldmark.plans import consensus, contexts, gates, joining, market, names, replies, rules, series, signals, storage, texts  # noqa: F401  they name their queries
 from foldmark.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
