@@ -27,6 +27,7 @@ block; a very long page is parsed whole, in linear time; an empty table gives an
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -44,7 +45,8 @@ from foldmark.llm.words import mix
 MIN_PAGES, SHARE, FLOW_SHARE = 5, 0.01, 0.5
 SALTS = 16
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.DOTALL)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.DOTALL)
+_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 # fixed values: element names of HTML
@@ -91,62 +93,61 @@ class Node:
 
 
 def parse(html: str) -> list[Node]:
-    """Elements in document order, the root first; unclosed and stray tags are mended as browsers do."""
+    """Elements in document order, the root first; unclosed and stray tags are mended as browsers do.
+
+    In linear time: a tag is looked for only while a ``>`` is left, and what is open is known by its tag and by the
+    nearest element that is not inline, so no tag walks down the stack but over what it closes.
+    """
     nodes = [Node("#root", -1, "")]
-    stack, at, end = [0], 0, len(html)
+    stack, solid = [0], [0]  # open elements, and for each depth that of the nearest one that is not inline
+    where: dict[str, list[int]] = defaultdict(list)  # depths of the open elements of a tag
+    at, end, last = 0, len(html), html.rfind(">")
+
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            where[nodes[stack.pop()].tag].pop()
+            solid.pop()
+
+    def nearest(tags: set[str]) -> int:
+        return max((where[t][-1] for t in tags if where[t]), default=0)
+
     while at < end:
-        found = _TOKEN.search(html, at)
+        found = (_TOKEN if at <= last else _COMMENT).search(html, at)
         text = html[at : found.start() if found else end]
         if text:
             nodes[stack[-1]].parts.append(unescape(text) if "&" in text else text)
         if not found:
             break
         at = found.end()
-        tag = found.group(2) or found.group(5)
+        tag = found.group(2) or found.group(5) if found.re is _TOKEN else None
         if not tag:
             continue
         tag = tag.lower()
         if found.group(1) or found.group(4):
-            if tag == "p" and not any(nodes[n].tag == "p" for n in stack):
-                continue
-            for depth in range(len(stack) - 1, 0, -1):
-                if nodes[stack[depth]].tag == tag:
-                    del stack[depth:]
-                    break
-                if tag in INLINE and nodes[stack[depth]].tag not in INLINE:
-                    break
+            if where[tag] and (tag not in INLINE or solid[-1] < where[tag][-1]):
+                close(where[tag][-1])
             continue
-        if tag in CLOSES_P:
-            for depth in range(len(stack) - 1, 0, -1):
-                own = nodes[stack[depth]].tag
-                if own == "p":
-                    del stack[depth:]
-                    break
-                if own not in INLINE:
-                    break
-        if tag in SIBLING:
-            for depth in range(len(stack) - 1, 0, -1):
-                own = nodes[stack[depth]].tag
-                if own in SIBLING[tag]:
-                    del stack[depth:]
-                    break
-                if own in SCOPE[tag]:
-                    break
+        if tag in CLOSES_P and nodes[stack[solid[-1]]].tag == "p":
+            close(solid[-1])
+        if tag in SIBLING and (depth := nearest(SIBLING[tag])) > nearest(SCOPE[tag]):
+            close(depth)
         attrs = found.group(3) if found.group(2) else found.group(6)
         nodes.append(Node(tag, stack[-1], attrs or ""))
         nodes[stack[-1]].parts.append(len(nodes) - 1)
         if tag in VOID or (attrs or "").endswith("/") and tag not in INLINE and tag not in CLOSES_P:
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.IGNORECASE).search(html, at)
-            raw = html[at : close.start() if close else end]
+            over = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.IGNORECASE).search(html, at)
+            raw = html[at : over.start() if over else end]
             if raw:
                 nodes[-1].parts.append(raw)
-            if not close:
+            if not over:
                 break
-            at = html.find(">", close.end())
+            at = html.find(">", over.end())
             at = at + 1 if at >= 0 else end
             continue
+        solid.append(solid[-1] if tag in INLINE else len(stack))
+        where[tag].append(len(stack))
         stack.append(len(nodes) - 1)
     return nodes
 
