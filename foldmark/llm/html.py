@@ -72,9 +72,11 @@ SHY = frozenset(
     comment comments commentlist respond discussion disqus newsletter subscribe subscription signup login widget widgets toolbar topbar topnav outbrain taboola""".split()
 )
 PLAIN = frozenset(
-    """area bar block bottom box column container content count entry form global group header holder icon inner inline item items left line link links list main message outer page panel
-    primary region right row secondary section sheet site skip slot small text thread title top unit view wrap wrapper wide""".split()
+    """area article bar block body bottom box column container content count entry form global group header holder icon in inner inline item items left line link links list main message outer page panel
+    post posts primary reader readers region right row secondary section sheet site skip slot small stories story text thread title top unit user users view wrap wrapper wide""".split()
 )
+#: Of these, what names the words of readers; in such boxes articles are no articles.
+REPLIES = frozenset("comment comments commentlist respond discussion disqus reply replies".split())
 # fixed values: names that speak against a box only if its text is mostly links
 LINKED = frozenset("related recommended recommendations share sharing social follow tags more-posts read-more".split())
 
@@ -200,10 +202,20 @@ def _shy(node: Node) -> bool:
     return _named_shy(node)
 
 
-def _says(name: str) -> bool:
-    """Whether a class or id is made up of words for what is no article, and words of layout."""
+def _says(name: str, what: frozenset[str] = SHY) -> bool:
+    """Whether a class or id is made up of words for what is no article, at least one of them of ``what``, and words of layout."""
     words = [w for w in re.split(r"[_-]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if w and not w.isdigit()]
-    return any(w in SHY for w in words) and all(w in SHY or w in PLAIN for w in words)
+    return any(w in what for w in words) and all(w in SHY or w in PLAIN or w in what for w in words)
+
+
+def _no_place(node: Node) -> bool:
+    """Whether an article within this element is a teaser or a reader's: by its tag, or as it names replies."""
+    if node.tag in NO_TEXT:
+        return True
+    if not node.attrs or node.tag in ("html", "body", "main"):
+        return False
+    a = attributes(node.attrs)
+    return a.get("role", "").lower() in ROLES or any(_says(n, REPLIES) for n in f"{a.get('class', '')} {a.get('id', '')}".split())
 
 
 def _named_shy(node: Node) -> bool:
@@ -216,12 +228,12 @@ def _named_shy(node: Node) -> bool:
         return True
     if "display:none" in a.get("style", "").replace(" ", "").lower():
         return True
-    if node.tag in FLOW or node.tag in ("html", "body", "main"):
+    if node.tag in ("html", "body", "main"):
         return False
     names = f"{a.get('class', '')} {a.get('id', '')}".split()
     if node.tag == "article":
         return any(n.lower() in ("comment", "comment-body", "reply") for n in names)
-    return any(map(_says, names)) or 2 * node.linked > node.size and any(n.lower() in LINKED for n in names)
+    return any(map(_says, names)) or 2 * node.linked > node.size and any(n.lower() in LINKED or _says(n, LINKED) for n in names)
 
 
 def main_text(nodes: list[Node], template: set[int]) -> str:
@@ -256,7 +268,7 @@ def main_text(nodes: list[Node], template: set[int]) -> str:
     articles, mains = [], []
     for k, node in enumerate(nodes):
         if k:
-            closed[k], main[k], depth[k] = closed[node.parent], main[node.parent], depth[node.parent] + _named_shy(node)
+            closed[k], main[k], depth[k] = closed[node.parent], main[node.parent], depth[node.parent] + _no_place(node)
         if closed[k] or k and _shy(node):
             closed[k] = True
         elif node.tag == "article":
