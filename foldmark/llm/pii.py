@@ -23,8 +23,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,8 @@ from foldmark.llm import boosting
 from foldmark.llm.common import column_or_null, map_arrow
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS, MOST_EXAMPLES, GENERATED, PRECISION, TABLE = 20_000, 20_000, 3000, 0.98, 12
+SAMPLE_DOCS, MOST_EXAMPLES, GENERATED, PRECISION = 20_000, 20_000, 3000, 0.98
+LABELS = 5  # of a domain, after which only the whole one is a candidate
 Span = tuple[int, int]
 Candidate = tuple[str, int, int]
 
@@ -51,8 +54,7 @@ _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 _NEEDS_ARROW = r"[0-9@:]|[\[({ ]at[\])} ]"
 _AT = re.compile(r"[ ]?(?:@|\[at\]|\(at\)|\{at\})[ ]?|[ ]at[ ]", re.IGNORECASE)
-_LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
-_LABEL = re.compile(r"[A-Za-z0-9-]{1,63}")
+_LABEL = re.compile(r"[A-Za-z0-9-]++")
 _DOT = re.compile(r"[ ]?(?:\[dot\]|\(dot\)|\{dot\})[ ]?|[ ]dot[ ]|\.", re.IGNORECASE)
 _QUAD = re.compile(r"(?<![0-9.])[0-9]{1,3}(?:[ ]?(?:\[\.\]|\(\.\)|\[dot\]|\(dot\)|\.)[ ]?[0-9]{1,3}){3}(?![0-9])", re.IGNORECASE)
 _SIX = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")
@@ -110,42 +112,56 @@ def base_spans(text: str) -> dict[str, list[Span]]:
 
 
 def _address_candidates(text: str) -> Iterator[Candidate]:
+    """The whole run of signs before each at, with the first labels after it, two to ``LABELS`` of them, and with all."""
     for at in _AT.finditer(text):
-        local = _LOCAL_END.search(text, max(0, at.start() - 64), at.start())
-        label = _LABEL.match(text, at.end())
-        labels = 0
-        while local and label and labels < 5:
-            labels += 1
-            if labels > 1:
-                yield "email", local.start(), label.end()
-            dot = _DOT.match(text, label.end())
+        start = at.start()
+        while start and text[start - 1] in _LOCAL:
+            start -= 1
+        label = _LABEL.match(text, at.end()) if start < at.start() else None
+        labels, end = 0, 0
+        while label:
+            labels, end = labels + 1, label.end()
+            if 1 < labels <= LABELS:
+                yield "email", start, end
+            dot = _DOT.match(text, end)
             label = _LABEL.match(text, dot.end()) if dot else None
+        if labels > LABELS:
+            yield "email", start, end
 
 
-def _number_candidates(text: str) -> Iterator[Candidate]:
-    """Digit groups that stand apart by at most three marks; a few candidates for each group, whatever the length.
-
-    In a run of more than ``TABLE`` groups, a table of numbers, only those with a lead of their own begin one.
-    """
+@lru_cache(4)
+def _runs(text: str) -> tuple[list[Span], list[int], list[int]]:
+    """Groups of digits, and of each the numbers of the first and the last group of the run that it stands in."""
     groups = [m.span() for m in _DIGITS.finditer(text)]
-    ends = list(range(len(groups)))  # last group of the run that a group is in
+    first, last = list(range(len(groups))), list(range(len(groups)))
+    near = [k > 0 and s - groups[k - 1][1] <= 3 and bool(_BETWEEN.match(text, groups[k - 1][1], s)) for k, (s, _) in enumerate(groups)]
+    for k in range(1, len(groups)):
+        first[k] = first[k - 1] if near[k] else k
     for k in range(len(groups) - 2, -1, -1):
-        (_, e), (s, t) = groups[k], groups[k + 1]
-        if s - e <= 3 and t - s >= 2 and _BETWEEN.match(text, e, s):
-            ends[k] = ends[k + 1]
-    begin = 0
+        last[k] = last[k + 1] if near[k + 1] else k
+    return groups, first, last
+
+
+def _place_in_run(text: str, start: int, end: int, n: int) -> tuple[float, float]:
+    """How many groups of its run stand before a span of ``n`` groups, and after it, beyond whole spans of as many."""
+    groups, first, last = _runs(text)
+    a, b = bisect_left(groups, (start, 0)), bisect_left(groups, (end, 0)) - 1
+    return (float((a - first[a]) % n), float((last[b] - b) % n)) if n else (0.0, 0.0)
+
+
+def _number_candidates(text: str) -> Iterator[Candidate]:
+    """Digit groups that stand apart by at most three marks; a few candidates for each group, however many follow."""
+    groups = _runs(text)[0]
     for first, (start, end) in enumerate(groups):
-        if first and ends[first] != ends[first - 1]:
-            begin = first
         if start and (text[start - 1].isalnum() or text[start - 1] == "_"):
             continue
         lead = 1 if start and text[start - 1] in "+(" else 0
-        if ends[first] - begin >= TABLE and not (lead or text[start] == "0" and end - start > 2):
-            continue
-        n = 0
-        for last in range(first, ends[first] + 1):
+        n, before = 0, start
+        for last in range(first, len(groups)):
             s, e = groups[last]
-            n += e - s
+            if last > first and (s - before > 3 or e - s < 2 or not _BETWEEN.match(text, before, s)):
+                break
+            n, before = n + e - s, e
             if n > 19:
                 break
             if not text[e : e + 1].isalnum():
@@ -181,6 +197,7 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
         float(tail.isalpha() and 2 <= len(tail) <= 4), float(len(tail)), float(tail[:1].isupper() and not tail.isupper()),
         *(float(bool(p.search(before))) for p in _CONTEXT), *(float(bool(p.search(after))) for p in _CONTEXT),
         float((before + " " + after).count("|")), float(before[-1:].isalnum()), float(after[:1].isalnum()), float(bool(re.match(r"[ ().\-/_]{0,3}[0-9]", after))), float(bool(re.search(r"[0-9][ ().\-/_]{0,3}\Z", before))),
+        *_place_in_run(text, start, end, len(groups)),
     ]
 
 
@@ -250,11 +267,30 @@ def weak_examples(text: str, rng: random.Random) -> list[Example]:
     return out
 
 
+def listed(rng: random.Random, kind: str) -> list[Example]:
+    """The labelled candidates of some numbers in one format, one after the other: these, and none across them."""
+    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    way, between, text, right = rng.random(), rng.choice([" ", " ", ", ", " / "]), rng.choice(["", "numbers: ", "call ", "list "]), set()
+    blank = kind == "phone" and rng.random() < 0.4  # nothing but blanks within and between: the place in the run tells
+    for _ in range(rng.randint(2, 12)):
+        digits = "+1" + d(10)
+        if kind == "card":
+            digits = d(16)
+            while not luhn(digits):
+                digits = d(16)
+        put = f"{digits[2:5]} {digits[5:8]} {digits[8:]}" if blank else respelled(random.Random(way), kind, digits)
+        right.add((kind, len(text), len(text) + len(put)))
+        text += put + (" " if blank else between)
+    return [(c[0], int(c in right), features(text, *c)) for c in candidates(text)]
+
+
 def generated(rng: random.Random) -> list[Example]:
     """The labelled candidates of a made-up line around one span that is personal data or looks like it."""
     d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
     w = lambda: "".join(rng.choice("aeinorstlmdkup") for _ in range(rng.randint(2, 8)))
     kind, good = rng.choice(KINDS), rng.random() < 0.5
+    if good and kind in ("phone", "card") and rng.random() < 0.5:
+        return listed(rng, kind)
     if kind == "phone":
         base = "+" + rng.choice(["1", "49", "33", "34"]) + d(10)
         body = respelled(rng, kind, base) if good else rng.choice([
