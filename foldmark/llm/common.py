@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,18 +32,19 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/foldmark/{name}-{uuid.uuid4().hex[:12]}"
 
 
-_recording: list[list[str]] = []
+#: Open blocks of this thread; what other threads write is theirs.
+_recording: ContextVar[tuple[list[str], ...]] = ContextVar("recording", default=())
 
 
 @contextmanager
 def recorded() -> Iterator[list[str]]:
     """The paths of the tables that :func:`written` makes inside, for :func:`dropped`."""
     made: list[str] = []
-    _recording.append(made)
+    token = _recording.set((*_recording.get(), made))
     try:
         yield made
     finally:
-        _recording[:] = [m for m in _recording if m is not made]  # by identity: nested blocks may hold equal lists
+        _recording.reset(token)
 
 
 def dropped(spark: SparkSession, paths: list[str]) -> None:
@@ -61,7 +63,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    for made in _recording:
+    for made in _recording.get():
         made.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -326,8 +326,12 @@ def classes_and_links(docs: DataFrame, similarity_at_least: float = SIMILARITY)
     return out
 
 
+#: How the key of a null text begins; all other keys are hexadecimal digests.
+NO_TEXT = "null "
+
+
 def _classes_and_links(docs: DataFrame, similarity_at_least: float) -> tuple[DataFrame, DataFrame]:
-    docs = with_text(docs).withColumn("key", F.coalesce(F.md5(F.col("text").cast("binary")), F.concat(F.lit("null "), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
+    docs = with_text(docs).withColumn("key", F.coalesce(F.md5(F.col("text").cast("binary")), F.concat(F.lit(NO_TEXT), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))))
     idf = word_frequencies(docs)
     signed = written(signatures(docs, idf), "signatures")
     # copies of a text become one row, named by a number of its own: ids may repeat
@@ -382,7 +386,10 @@ def _classes_and_links(docs: DataFrame, similarity_at_least: float) -> tuple[Dat
         every = every.unionByName(found)
     keys = wanted.select("rep", "key")
     every = every.join(keys.select(F.col("rep").alias("a"), F.col("key").alias("key_a")), "a").join(keys.select(F.col("rep").alias("b"), F.col("key").alias("key_b")), "b")
-    out = signed.select("doc_id", "key").join(written(labelled, "labelled"), "key").select("doc_id", "key", "class_id", "class_size", "label")
+    out = signed.select("doc_id", "key").join(written(labelled, "labelled"), "key")
+    # a null text is no copy, not even of another one under the same id
+    size = F.when(F.startswith("key", F.lit(NO_TEXT)), F.lit(1).cast("long")).otherwise(F.col("class_size")).alias("class_size")
+    out = out.select("doc_id", "key", "class_id", size, "label")
     return out, every.select(F.col("key_a").alias("a"), F.col("key_b").alias("b"), "similarity")
 
 

@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_stages_hand_on_documents_and_the_last_reads_files(spark):
-    d = spark.read.parquet(f"{FOLDER}/documents.parquet").withColumn("score", F.lit(1)).withColumn("key", F.lit("clash"))
+    d = spark.read.parquet(f"{FOLDER}/documents.parquet").withColumn("score", F.lit(1)).withColumns({c: F.lit("clash") for c in ("key", "__key", "__id", "__gone", "__who", "__bad", "__quality")})
     before = d.count()
     for name, stage in pipeline.STAGES[:-1]:
         out = stage(spark, d, FOLDER)
