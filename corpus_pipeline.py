@@ -38,28 +38,37 @@ def _only(spark: SparkSession, *names: str) -> Iterator[None]:
     dropped(spark, [path for path in made if path.rsplit("/", 1)[-1].rsplit("-", 1)[0] not in names])
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     net = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score_quality(docs, net, tuple(docs.columns), "__quality").where(F.col("__quality") >= quality.THRESHOLD).select(*docs.columns)
+    score = _free(docs, "__quality")
+    return quality.score_quality(docs, net, tuple(docs.columns), score).where(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with _only(spark, "twice", "gone"):
         classes = written(near_duplicates.near_duplicates(docs), "members")
         # one text of each class stays, under its least id; ids may be null or repeat, so classes go by their label
-        leads = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+        leads = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & ~F.startswith("key", F.lit(near_duplicates.NO_TEXT)))
         twice = written(leads.groupBy("label").agg(F.count("*").alias("n"), F.min("key").alias("first"), F.first("class_id").alias("class_id")).where("n > 1"), "twice")
         others = leads.join(counted(twice.select("label", "first")), "label").where("key <> first")
         gone = classes.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id", "key").unionByName(others.select("doc_id", "key"))
         gone = written(gone.distinct(), "gone")
-    key = F.coalesce(F.md5(F.col("text").cast("binary")), F.concat(F.lit("null "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    left = docs.withColumn("__key", key)
-    gone = gone.select(F.col("doc_id").alias("__id"), F.col("key").alias("__gone"))
-    left = left.join(counted(gone), (F.col("__key") == F.col("__gone")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    key = F.coalesce(F.md5(F.col("text").cast("binary")), F.concat(F.lit(near_duplicates.NO_TEXT), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    own, who, other = (_free(docs, name) for name in ("__key", "__id", "__gone"))
+    left = docs.withColumn(own, key)
+    gone = gone.select(F.col("doc_id").alias(who), F.col("key").alias(other))
+    same = (F.col(own) == F.col(other)) & F.col("doc_id").eqNullSafe(F.col(who))
+    left = left.join(counted(gone), same, "left_anti")
     if not twice.isEmpty():  # rows equal in id and text are one document, too
-        again = counted(twice.select(F.col("class_id").alias("__id"), F.col("first").alias("__first")))
-        same = (F.col("__key") == F.col("__first")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-        left = left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates(["doc_id", "__key"]))
+        again = counted(twice.select(F.col("class_id").alias(who), F.col("first").alias(other)))
+        left = left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates(["doc_id", own]))
     return left.select(*docs.columns)
 
 
@@ -67,8 +76,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     # by id and text: ids may be null or repeat, and a clean document must not go for its namesake
     who = F.xxhash64(F.col("doc_id"), F.col("text"))
     bad = decontamination.contaminated(docs.select(who.alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = written(bad.select(F.col("doc_id").alias("__bad")).distinct(), "contaminated")
-    return docs.withColumn("__who", who).join(counted(bad), F.col("__who") == F.col("__bad"), "left_anti").select(*docs.columns)
+    own, given = _free(docs, "__who"), _free(docs, "__bad")
+    bad = written(bad.select(F.col("doc_id").alias(given)).distinct(), "contaminated")
+    return docs.withColumn(own, who).join(counted(bad), F.col(own) == F.col(given), "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
