@@ -128,11 +128,11 @@ def confirmed_by_any(left: DataFrame, right: DataFrame, by: list[str], value: st
 
 def confirmed_by_market(mentions: DataFrame, quotes: DataFrame, by: list[str], scales: dict[str, float], relative: float, least: float = 1e-9) -> DataFrame:
     """``mentions`` (by, day, unit, value) with ``reference`` and ``confirmed``: against the last of ``quotes`` (by, day,
-    unit, value) on or before the day. Both are brought to one unit by ``scales``; an unknown unit, or no quote, confirms nothing."""
+    unit, value) on or before the day. Both are brought to one unit by ``scales``; an unknown unit, no quote, or a last quote
+    without a value confirms nothing."""
     keys = F.struct(*by)
     table = F.create_map(*(F.lit(x) for pair in scales.items() for x in pair))
     scaled = lambda df: df.withColumn("__by", keys).withColumn("__value", F.col("value") * F.element_at(table, F.col("unit")))
     names = [*mentions.columns, "__by", "__value"]
-    known = scaled(quotes).where(F.col("__value").isNotNull())
-    found = asof_backward(scaled(mentions).select(*names), known, "__by", "day", "__value", "reference", unit="MONTH")
+    found = asof_backward(scaled(mentions).select(*names), scaled(quotes), "__by", "day", "__value", "reference", unit="MONTH")
     return found.select(*mentions.columns, "reference", agrees(F.col("__value"), F.col("reference"), relative, least).alias("confirmed"))

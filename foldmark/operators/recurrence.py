@@ -111,10 +111,11 @@ def street_scores(rows: DataFrame, key: str, t: str, trend: str, updates: str, f
     turns = F.sum(F.when(F.col("fixed").isNull(), 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ends = ends.withColumn("turns", turns).withColumn("told", F.when(F.col("fixed").isNotNull(), F.struct("fixed", "turns")))
     upto = order.rowsBetween(Window.unboundedPreceding, -1)
-    last, so_far = F.last("told", ignorenulls=True).over(upto), F.max("turns").over(upto)
-    start = F.when((so_far - last["turns"]) % 2 == 0, last["fixed"]).otherwise(-last["fixed"])
+    last, so_far = F.last("told", ignorenulls=True).over(upto), F.coalesce(F.max("turns").over(upto), F.lit(0))
     # a key that begins with a flip was at 0 before, which is thrown down
-    starts = ends.select(*by, F.when(F.col("__segment") == 0, 0.0).otherwise(high * F.coalesce(start, F.lit(-1))).alias("__start"))
+    fixed = F.coalesce(last["fixed"], F.lit(-1))
+    start = F.when((so_far - F.coalesce(last["turns"], F.lit(0))) % 2 == 0, fixed).otherwise(-fixed)
+    starts = ends.select(*by, F.when(F.col("__segment") == 0, 0.0).otherwise(high * start).alias("__start"))
     acts = acts.join(starts, by).withColumn("__score", F.col("factor") * F.col("__start") + F.col("offset"))
     return filled(rows, acts.select(key, t, F.col("__score").alias("street_score")), key, t, "street_score", 0.0).drop("__slice")
 
