@@ -183,19 +183,20 @@ def curve_snapshot(spark: SparkSession, d: str) -> DataFrame:
 
 
 def nearest_in_value(rows: DataFrame, by: str, value: str, id_: str) -> DataFrame:
-    """``partner``: of the others of the same ``by`` the one nearest in ``value``, of equally near ones the least ``id_``.
+    """``partner``: of the others of the same ``by`` the one nearest in ``value``, of equally near ones the least ``id_``;
+    null for a row without a value, and for one that is alone.
 
     Rows of one value are one row while neighbours are looked for; nobody is compared with all."""
-    levels = rows.groupBy(by, value).agg(F.slice(F.sort_array(F.collect_list(id_)), 1, 2).alias("two"), F.count("*").alias("n"))
-    w = Window.partitionBy(by).orderBy(value)
-    side = lambda step: F.struct(step(F.col(value)).over(w).alias("v"), step(F.get("two", F.lit(0))).over(w).alias("id"))
-    levels = levels.select(by, value, "two", "n", side(F.lag).alias("a"), side(F.lead).alias("b"))
-    far = lambda x: F.abs(F.col(f"{x}.v") - F.col(value))
-    options = F.array(*(F.when(F.col(f"{x}.v").isNotNull(), F.struct(far(x).alias("far"), F.col(f"{x}.id").alias("id"))) for x in ("a", "b")))
-    other = F.array_min(F.filter(options, lambda x: x.isNotNull()))["id"]
-    found = rows.join(levels.select(by, value, "two", "n", other.alias("other")), [by, value])
-    same = F.when(F.get("two", F.lit(0)) == F.col(id_), F.get("two", F.lit(1))).otherwise(F.get("two", F.lit(0)))
-    return found.withColumn("partner", F.when(F.col("n") > 1, same).otherwise(F.col("other"))).drop("two", "n", "other")
+    own = rows.select(F.col(by).alias("__by"), F.col(value).alias("__value"), F.col(id_).alias("__id")).where(F.col("__value").isNotNull())
+    levels = own.groupBy("__by", "__value").agg(F.min("__id").alias("__first"), F.count("*").alias("__n"))
+    second = own.join(levels, ["__by", "__value"]).where("__id > __first").groupBy("__by", "__value").agg(F.min("__id").alias("__second"))
+    w = Window.partitionBy("__by").orderBy("__value")
+    side = lambda step: F.struct(F.abs(step("__value").over(w) - F.col("__value")).alias("far"), step("__first").over(w).alias("id"))
+    other = F.array_min(F.filter(F.array(side(F.lag), side(F.lead)), lambda x: x["far"].isNotNull()))["id"]
+    levels = levels.withColumn("__other", other).join(second, ["__by", "__value"], "left")
+    found = rows.join(levels, F.col(by).eqNullSafe(F.col("__by")) & (F.col(value) == F.col("__value")), "left")
+    same = F.when(F.col("__first") == F.col(id_), F.col("__second")).otherwise(F.col("__first"))
+    return found.select(*rows.columns, F.when(F.col("__n") > 1, same).otherwise(F.col("__other")).alias("partner"))
 
 
 @query("""SELECT a.p_brand, a.p_partkey, a.p_size, arg_min(b.p_partkey, abs(a.p_size - b.p_size) * 1000000 + b.p_partkey) AS partner FROM part a LEFT JOIN part b ON a.p_brand = b.p_brand AND a.p_partkey <> b.p_partkey GROUP BY 1, 2, 3""")
@@ -203,15 +204,17 @@ def nearest_partner(spark: SparkSession, d: str) -> DataFrame:
     return nearest_in_value(table(spark, d, "part").select("p_brand", "p_partkey", "p_size"), "p_brand", "p_size", "p_partkey")
 
 
-def least_other(rows: DataFrame, by: str, value: str, id_: str) -> DataFrame:
-    """``partner``: of the others of the same ``by`` the one with the least ``value``, of equal ones the least ``id_``.
+def least_other(rows: DataFrame, by: str, value: str, id_: str, held: str | None = None) -> DataFrame:
+    """``partner``: of the others of the same ``by`` that are not ``held`` the one with the least ``value``, of equal ones the
+    least ``id_``. Who has no value is nobody's partner, and may have one.
 
     The two least of each group are all that is needed, so the group is aggregated, not sorted."""
-    one = rows.withColumn("__s", F.struct(value, id_))
-    first = one.groupBy(by).agg(F.min("__s").alias("__first"))
-    second = one.join(first, by).where("__s > __first").groupBy(by).agg(F.min("__s").alias("__second"))
-    found = one.join(first, by, "left").join(second, by, "left")
-    return found.withColumn("partner", F.when(F.col(f"__first.{id_}") == F.col(id_), F.col(f"__second.{id_}")).otherwise(F.col(f"__first.{id_}"))).drop("__s", "__first", "__second")
+    free = F.col(value).isNotNull() if held is None else F.col(value).isNotNull() & ~F.coalesce(F.col(held), F.lit(False))
+    one = rows.where(free).select(F.col(by).alias("__by"), F.struct(F.col(value).alias("value"), F.col(id_).alias("id")).alias("__s"))
+    first = one.groupBy("__by").agg(F.min("__s").alias("__first"))
+    second = one.join(first, "__by").where("__s > __first").groupBy("__by").agg(F.min("__s").alias("__second"))
+    found = rows.join(first.join(second, "__by", "left"), F.col(by) == F.col("__by"), "left")
+    return found.select(*rows.columns, F.when(F.col("__first.id") == F.col(id_), F.col("__second.id")).otherwise(F.col("__first.id")).alias("partner"))
 
 
 @query("""WITH m AS (SELECT user_id, user_id % 12 AS sector, round(sum(CASE WHEN day(ts) > 20 THEN value ELSE -value / 2 END), 4) AS move FROM events GROUP BY 1)
@@ -222,6 +225,16 @@ def pair_least_mover(spark: SparkSession, d: str) -> DataFrame:
     return least_other(m, "sector", "move", "user_id").select("user_id", "move", "partner")
 
 
+@query("""WITH m AS (SELECT user_id, user_id % 12 AS sector, bool_or(event_type = 'signup') AS held, CASE WHEN user_id % 7 <> 0 THEN round(sum(CASE WHEN day(ts) > 20 THEN value ELSE -value / 2 END), 4) END AS move FROM events GROUP BY 1)
+SELECT a.user_id, a.move, (SELECT b.user_id FROM m b WHERE b.sector = a.sector AND b.user_id <> a.user_id AND b.move IS NOT NULL AND NOT b.held ORDER BY b.move, b.user_id LIMIT 1) AS partner FROM m a""")
+def unheld_partner(spark: SparkSession, d: str) -> DataFrame:
+    """The same among peers that are not held; some have no move, which makes nobody their partner."""
+    move = F.round(F.sum(F.expr("if(day(ts) > 20, value, -value / 2)")), 4)
+    m = table(spark, d, "events").groupBy("user_id").agg(F.expr("if(user_id % 7 <> 0, 1, NULL)").alias("on"), F.bool_or(F.col("event_type") == "signup").alias("held"), move.alias("m"))
+    m = m.select("user_id", (F.col("user_id") % 12).alias("sector"), "held", F.expr("if(on IS NULL, NULL, m)").alias("move"))
+    return least_other(m, "sector", "move", "user_id", "held").select("user_id", "move", "partner")
+
+
 @query("""WITH x AS (SELECT event_id, CAST(ts AS DATE) + CASE WHEN hour(ts) >= 16 THEN 1 ELSE 0 END AS d FROM events) SELECT event_id, d + CASE dayofweek(d) WHEN 6 THEN 2 WHEN 0 THEN 1 ELSE 0 END AS day FROM x""", dates=("day",))
 def trading_days(spark: SparkSession, d: str) -> DataFrame:
     """The session that a time belongs to: the same weekday before the close, else the next one."""

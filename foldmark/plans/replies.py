@@ -30,12 +30,22 @@ def replies_of(spark: SparkSession, d: str) -> DataFrame:
 
 _S = r"trim(reply, ' ' || chr(9) || chr(10) || chr(13))"
 _LINES = f"list_filter(list_transform(string_split({_S}, chr(10)), lambda x: rtrim(x)), lambda x: x <> '')"
-_ITEM = r"(regexp_matches(ltrim(x), '^[-*•][ \t]') OR regexp_matches(ltrim(x), '^[0-9]+[.)][ \t]'))"
-_ROW, _HEAD = "(length(x) - length(replace(x, '|', '')) >= 2)", r"regexp_matches(x, '^#{1,6}[ \t]+[^ \t]')"
-_RULE = r"regexp_matches(replace(l[i + 1], ' ', ''), '^\|?:?-{3,}:?(\|:?-{3,}:?)+\|?$')"
+_BLANK = "(' ', chr(9))"
+_ITEM = f"""((substr(ltrim(x), 1, 1) IN ('-', '*', '•') AND substr(ltrim(x), 2, 1) IN {_BLANK}) OR (ltrim(x, ' 0123456789') <> ltrim(x) AND substr(ltrim(ltrim(x), '0123456789'), 1, 1) IN ('.', ')') AND substr(ltrim(ltrim(x), '0123456789'), 2, 1) IN {_BLANK}))"""
+_ROW, _HEAD = "(length(x) - length(replace(x, '|', '')) >= 2)", f"(length(x) - length(ltrim(x, '#')) BETWEEN 1 AND 6 AND substr(ltrim(x, '#'), 1, 1) IN {_BLANK} AND trim(ltrim(x, '#')) <> '')"
+# cells of the line below, without a bar at either end
+_CELLS = "string_split(trim(l[i + 1])[CASE WHEN starts_with(trim(l[i + 1]), '|') THEN 2 ELSE 1 END:CASE WHEN ends_with(trim(l[i + 1]), '|') THEN -2 ELSE -1 END], '|')"
+_RULE = f"""(len({_CELLS}) >= 2 AND len(list_filter(list_transform({_CELLS}, lambda c: trim(c)[CASE WHEN starts_with(trim(c), ':') THEN 2 ELSE 1 END:CASE WHEN ends_with(trim(c), ':') THEN -2 ELSE -1 END]), lambda c: length(c) < 3 OR trim(c, '-') <> '')) = 0)"""
 _N = f"(CASE WHEN {_S} = '' THEN 0 ELSE 1 + len(regexp_extract_all({_S}, '[.!?]\\s+')) END)"
-_BP, _PCT = r"regexp_matches(lower(reply), '(^|[^a-z])bps?\b|basis point')", r"regexp_matches(lower(reply), '%|\bper ?cent\b')"
-_CONF = r"regexp_matches(lower(reply), '\b(high|medium|low|[0-9]+(\.[0-9]+)?\s*%)\s+(confidence|conviction)\b|\b(confidence|conviction)(\s+level)?\s*(of|at|is|:)?\s*(high|medium|low|[0-9]+(\.[0-9]+)?\s*%)(\W|$)')"
+_W = "string_split_regex(lower({x}), '[^a-z0-9_]+')"
+_BP = f"(len(list_filter({_W.format(x='reply')}, lambda w: string_split_regex(w, '[0-9_]')[-1] IN ('bp', 'bps'))) > 0 OR contains(lower(reply), 'basis point'))"
+_PCT = f"(contains(reply, '%') OR list_contains({_W.format(x="replace(lower(reply), 'per cent', 'percent')")}, 'percent'))"
+# a number, a percent sign, words and marks; what is held at place k, and how much right before it, or behind it and a word between
+_T = r"regexp_extract_all(regexp_replace(lower(reply), '([0-9])[.]([0-9])', '\1\2', 'g'), '[0-9]+\b|\w+|[^\s\w]')"
+_AFTER = "k + 1 + CASE WHEN coalesce(t[k + 1], '') = 'level' THEN 1 ELSE 0 END"
+_MORE = f"({_AFTER} + CASE WHEN coalesce(t[{_AFTER}], '') IN ('of', 'at', 'is', ':') THEN 1 ELSE 0 END)"
+_CONF = f"""(len(list_filter(range(1, len(t) + 1), lambda k: t[k] IN ('confidence', 'conviction') AND (k > 1 AND t[k - 1] IN ('high', 'medium', 'low') OR k > 2 AND t[k - 1] = '%' AND TRY_CAST(t[k - 2] AS DOUBLE) IS NOT NULL
+  OR coalesce(t[{_MORE}], '') IN ('high', 'medium', 'low') OR TRY_CAST(coalesce(t[{_MORE}], '') AS DOUBLE) IS NOT NULL AND coalesce(t[{_MORE} + 1], '') = '%'))) > 0)"""
 _HEDGE = rf"(regexp_matches(lower(reply), '\b({'|'.join(replies.HEDGES)})\b') OR regexp_matches(reply, '\bmay\b'))"
 
 
@@ -54,7 +64,7 @@ _OUTCOME = (
 )
 
 
-@query(f"WITH {REPLIES_SQL} SELECT conv_id, turn, kind, {_OUTCOME} AS outcome FROM (SELECT *, {_LINES} AS l FROM replies), (SELECT unnest({list(KINDS)}) AS kind)")
+@query(f"WITH {REPLIES_SQL} SELECT conv_id, turn, kind, {_OUTCOME} AS outcome FROM (SELECT *, {_LINES} AS l, {_T} AS t FROM replies), (SELECT unnest({list(KINDS)}) AS kind)")
 def reply_checks(spark: SparkSession, d: str) -> DataFrame:
     """Every kind of check on every reply; a kind that needs a judge has no outcome."""
     rows = replies_of(spark, d).withColumn("kind", F.explode(F.array(*map(F.lit, KINDS))))
@@ -84,7 +94,7 @@ def format_score(checked: DataFrame, keys: list[str]) -> DataFrame:
 WITH {REPLIES_SQL}, {_MAP_SQL}, a AS (SELECT *, {_ANSWER} AS answer FROM replies), b AS (SELECT *, regexp_extract(answer, '^format: (.*); intrusion: none$', 1) AS body FROM a),
 p AS (SELECT conv_id, turn, reply, unnest(string_split(body, '; ')) AS item FROM b WHERE contains(body, '=')),
 k AS (SELECT p.*, kind, m.param || '=' || m.value AS name FROM p JOIN check_map m ON item = m.param || '=' || m.value WHERE kind <> 'judge'),
-o AS (SELECT *, {_OUTCOME} AS outcome FROM (SELECT *, {_LINES} AS l FROM k)),
+o AS (SELECT *, {_OUTCOME} AS outcome FROM (SELECT *, {_LINES} AS l, {_T} AS t FROM k)),
 g AS (SELECT conv_id, turn, {_S} = '' AS empty, coalesce(string_agg(CASE WHEN outcome = 'fail' THEN name END, '; ' ORDER BY name), '') AS failed, count(CASE WHEN outcome = 'not_applicable' THEN 1 END) AS na, count(*) AS n FROM o GROUP BY 1, 2, 3)
 SELECT conv_id, turn, NOT empty AND failed = '' AS correct, CASE WHEN empty THEN 'empty reply' WHEN failed <> '' THEN failed END AS detail FROM g WHERE empty OR na < n""")
 def format_scores(spark: SparkSession, d: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """Tables with declared schemas, keys, hidden columns and invariants; one way in and out.
 
 Every read takes the declared schema. A write checks the key, sorts by it (nulls first), writes beside the
-table and then takes its place, so a reader never sees half a table.
+table and then takes its place, so a reader never sees half a table,
+though for a moment none: what is read while it is written belongs into a :class:`foldmark.sources.versions.Store`.
 """
 
 from __future__ import annotations
@@ -145,7 +146,9 @@ def derived(df: DataFrame, name: str, key: tuple[str, ...], **more) -> Table:
 
 
 def day_arrays(rows: DataFrame, key: str, day: str, value: str) -> DataFrame:
-    """``key, first, values``: a series as an array by day from its first one, null where a day has no row."""
+    """``key, first, values``: a series as an array by day from its first one, null where a day has no row; of several
+    rows of one day the greatest value counts."""
+    rows = rows.where(F.col(day).isNotNull()).groupBy(key, day).agg(F.max(value).alias(value))
     ends = rows.groupBy(key).agg(F.min(day).alias("first"), F.map_from_entries(F.collect_list(F.struct(F.col(day), F.col(value)))).alias("m"), F.max(day).alias("last"))
     return ends.select(key, "first", F.transform(F.sequence("first", "last"), lambda d: F.try_element_at("m", d)).alias("values"))
 
