@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldmark.operators import cells
@@ -19,14 +19,14 @@ from foldmark.operators import cells
 class Estimator:
     """A share of ``opportunity`` rows that are a ``hit``; ``counts`` tells opportunities that are only counted.
 
-    With ``value`` the estimate is that aggregate instead. ``blocking``: its cross-class cell must pass.
+    With ``value``, an aggregate in SQL, the estimate is that instead. ``blocking``: its cross-class cell must pass.
     """
 
     param: str
     opportunity: str
     hit: str = "false"
     counts: str | None = None
-    value: Column | None = None
+    value: str | None = None
     blocking: bool = True
 
 
@@ -52,7 +52,7 @@ def estimate_all(rows: DataFrame, subject: list[str], estimators: Iterable[Estim
     parts = [
         F.struct(
             F.lit(e.param).alias("param"),
-            (F.try_divide(count(f"({e.opportunity}) AND ({e.hit})"), count(e.opportunity)) if e.value is None else e.value).cast("double").alias("value"),
+            (F.try_divide(count(f"({e.opportunity}) AND ({e.hit})"), count(e.opportunity)) if e.value is None else F.expr(e.value)).cast("double").alias("value"),
             count(e.opportunity).alias("n"), count(e.counts or e.opportunity).alias("n_counted"),
         )
         for e in estimators

@@ -69,7 +69,7 @@ def _estimates_sql() -> str:
 
 REGISTRY = [
     estimators.loss_aversion(), *(Estimator(p, o, h, blocking=p != "overconfidence") for p, (o, h) in _SHARES.items()),
-    Estimator("conviction", "true", value=F.corr("l_quantity", "l_extendedprice")),
+    Estimator("conviction", "true", value="corr(l_quantity, l_extendedprice)"),
 ]
 
 
