@@ -212,3 +212,34 @@ def importance(docs: DataFrame, target: DataFrame, percent: int = PERCENT, min_w
 
 def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def _sql() -> str:
+    """Every different run spelled out, its CRC-32 by halves of bytes, and plain sums and ranks."""
+    table = []
+    for k in range(16):
+        for _ in range(4):
+            k = k >> 1 ^ (0xEDB88320 if k & 1 else 0)
+        table.append(k)
+    digit = lambda at: f"instr('123456789ABCDEF', substr(h, {at}, 1))"
+    octets = f"list_transform(range(len(h) // 2), lambda i: 16 * {digit('CAST(2 * i + 1 AS BIGINT)')} + {digit('CAST(2 * i + 2 AS BIGINT)')})"
+    half = lambda c, b: f"xor({c} >> 4, {table}[CAST((xor({c}, {b}) & 15) + 1 AS BIGINT)])"
+    first = half("c", "b")
+    crc = f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform({octets}, lambda x: x::BIGINT)), lambda c, b: {half(f'({first})', '(b >> 4)')}), 4294967295)"
+    words = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    runs = "w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) || list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])"
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, {words} AS w FROM documents), b AS (SELECT {words} AS w FROM benchmark),
+df AS MATERIALIZED (SELECT rid, unnest({runs}) AS f FROM d), bf AS (SELECT unnest({runs}) AS f FROM b), names AS (SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM df UNION SELECT f FROM bf)),
+k AS MATERIALIZED (SELECT f, {crc} % {BUCKETS} AS bucket FROM names),
+s AS (SELECT bucket, count(*) AS s FROM df JOIN k USING (f) GROUP BY 1), t AS (SELECT bucket, count(*) AS t FROM bf JOIN k USING (f) GROUP BY 1),
+n AS (SELECT (SELECT count(*) FROM df)::DOUBLE AS s_all, (SELECT count(*) FROM bf)::DOUBLE AS t_all),
+gain AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (s_all + {BUCKETS}) / ((s + 1)::DOUBLE * (t_all + {BUCKETS}))))::BIGINT AS gain FROM s LEFT JOIN t USING (bucket), n),
+weight AS (SELECT rid, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM df JOIN k USING (f) JOIN gain USING (bucket) GROUP BY 1),
+x AS (SELECT rid, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM d LEFT JOIN weight USING (rid)),
+r AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM x WHERE n_words >= {MIN_WORDS})
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= {PERCENT} * (SELECT count(*) FROM r) // 100 THEN rank END AS rank FROM x LEFT JOIN r USING (rid)"""
+
+
+OP11_SQL = _sql()

@@ -10,7 +10,7 @@ from foldmark.llm.codes import OP12_SQL, op12_vector_codes
 from foldmark.llm.decontamination import op5_decontamination
 from foldmark.llm.fingerprints import op9_fingerprints
 from foldmark.llm.html import op1_html_text
-from foldmark.llm.importance import op11_importance
+from foldmark.llm.importance import OP11_SQL, op11_importance
 from foldmark.llm.mixing import OP4_SQL, op4_mixing
 from foldmark.llm.near_duplicates import op2_near_duplicates
 from foldmark.llm.pii import op10_pii
@@ -36,4 +36,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_secrets": op13_secrets,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_mixing": OP4_SQL, "op12_vector_codes": OP12_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_mixing": OP4_SQL, "op11_importance": OP11_SQL, "op12_vector_codes": OP12_SQL}
