@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,32 @@ def _encoded(keys: np.ndarray | pa.Array) -> tuple[np.ndarray, pa.Array]:
     return found.indices.to_numpy(), found.dictionary
 
 
+def _tables(images: np.ndarray) -> np.ndarray:
+    """What each byte of a 32-bit state becomes under the linear map that sends its bits to ``images``."""
+    byte = np.arange(256)
+    out = np.zeros((4, 256), np.uint32)
+    for bit in range(32):
+        out[bit // 8] ^= np.where(byte >> bit % 8 & 1, images[bit], 0).astype(np.uint32)
+    return out
+
+
+def _through(tables: np.ndarray, state: np.ndarray) -> np.ndarray:
+    return tables[0][state & 255] ^ tables[1][state >> 8 & 255] ^ tables[2][state >> 16 & 255] ^ tables[3][state >> 24]
+
+
+@lru_cache(maxsize=1024)
+def _past(n: int) -> np.ndarray:
+    """Tables that take a CRC-32 over ``n`` more bytes; the CRC of these bytes alone is then added bit by bit."""
+    if n == 1:
+        state = np.uint32(1) << np.arange(32, dtype=np.uint32)
+        for _ in range(8):
+            state = state >> 1 ^ np.where(state & 1, np.uint32(0xEDB88320), np.uint32(0))
+        return _tables(state)
+    half = _past(n // 2)
+    images = _through(half, _through(half, np.uint32(1) << np.arange(32, dtype=np.uint32)))
+    return _tables(_through(_past(1), images) if n % 2 else images)
+
+
 class WordTrie:
     """All runs of one to :data:`RUN` words that start at words ``begin`` to ``end`` of ``words``.
 
@@ -67,25 +94,30 @@ class WordTrie:
         body = words.data[starts[0] : ends[-1]] if len(starts) else words.data[:0]
         ids, spelled = _encoded(_spelled(body[~_BREAK[body]], ends - starts))
         spelled = spelled.to_pylist()
-        after = [b" " + w for w in spelled]
+        after = np.fromiter((zlib.crc32(b" " + w) for w in spelled), np.uint32, len(spelled))
+        length = np.fromiter(map(len, spelled), np.int64, len(spelled)) + 1
         # words that follow in the same text
         left = stop[begin:end] - np.arange(begin, end)
         n = end - begin
         self.count, self.state, self.path = [], [], []
-        node, state = ids[:n].astype(np.int64), [zlib.crc32(w) for w in spelled]
+        node, state = ids[:n].astype(np.int64), np.fromiter(map(zlib.crc32, spelled), np.uint32, len(spelled))
         for depth in range(RUN):
             if depth:
                 inside = np.flatnonzero(left > depth)
                 key = node[inside] * len(spelled) + ids[inside + depth]
                 at, keys = _encoded(key)
                 keys = keys.to_numpy(zero_copy_only=False)
-                parents, last = (keys // max(1, len(spelled))).tolist(), (keys % max(1, len(spelled))).tolist()
-                state = [zlib.crc32(after[w], state[p]) for p, w in zip(parents, last, strict=True)]
+                parents, last = keys // max(1, len(spelled)), keys % max(1, len(spelled))
+                state = state[parents]
+                for size in np.unique(length[last]):  # a blank and a word follow; words of one length are one step
+                    own = length[last] == size
+                    state[own] = _through(_past(int(size)), state[own])
+                state ^= after[last]
                 node = np.full(n, -1, np.int64)
                 node[inside] = at
             self.path.append(node)
             self.count.append(np.bincount(node[node >= 0], minlength=len(state)))
-            self.state.append(np.array(state, np.int64))
+            self.state.append(state.astype(np.int64))
 
     def totals(self, buckets: int) -> np.ndarray:
         """Occurrences by bucket."""
