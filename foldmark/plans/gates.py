@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from foldmark.operators import cells, stats
+from foldmark.operators import cells, pooled, stats
 from foldmark.plans.registry import query, rounded, table
 
 _ESTIMATES = """est AS (
@@ -130,9 +130,11 @@ x AS (SELECT s_nationkey, hits, len(ps) AS n, list_reduce(list_prepend([1.0::DOU
 SELECT s_nationkey, hits, n, round(least(1.0, list_sum(dist[hits + 1:])), 6) AS p FROM x""")
 def poisson_binomial(spark: SparkSession, d: str) -> DataFrame:
     """Tail of the number of hits of suppliers with unequal chances, by nation."""
-    each = F.sort_array(F.collect_list(F.struct("s_suppkey", F.expr("CASE WHEN s_acctbal > 5000 THEN 0.25D ELSE 0.5D END").alias("p"))))
-    r = table(spark, d, "supplier").groupBy("s_nationkey").agg(each["p"].alias("chances"), F.count_if(F.col("s_acctbal") > 2000).alias("hits"))
-    return rounded(r.select("s_nationkey", "hits", F.size("chances").cast("long").alias("n"), stats.poisson_binomial_upper("chances", "hits").alias("p")), "p")
+    tries = table(spark, d, "supplier").select("s_nationkey", F.expr("CASE WHEN s_acctbal > 5000 THEN 0.25D ELSE 0.5D END").alias("chance"), (F.col("s_acctbal") > 2000).alias("hit"))
+    # equal chances are counted, so no list of tries is made
+    equal = tries.groupBy("s_nationkey", "chance").agg(F.count("*").alias("n"), F.count_if("hit").alias("hits"))
+    r = equal.groupBy("s_nationkey").agg(F.sum("hits").alias("hits"), F.sum("n").alias("tries"), F.collect_list(F.struct("chance", "n")).alias("mix"))
+    return rounded(r.select("s_nationkey", "hits", F.col("tries").alias("n"), pooled.upper_tail_column(F.col("mix"), F.col("hits")).alias("p")), "p")
 
 
 @query("""

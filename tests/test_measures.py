@@ -93,3 +93,14 @@ def test_all_parameters_in_one_scan_and_what_blocks(spark):
     assert sorted(r.failure for r in failures.collect()) == ["all/flat", "all/gone: missing"]
     with pytest.raises(ValueError, match="twice"):
         estimators.estimate_all(df, ["s"], [registry[0], registry[0]], {"all": "true"})
+
+
+def test_exact_tests_of_cells_of_any_size(spark):
+    from foldmark.operators import stats
+
+    rows = spark.createDataFrame([(6, 2**33, 2**33, 10), (0, 2**33, 5, 4), (3, 3, 2**40, 3), (20, 40, 40, 30)], "h long, a long, b long, p long")
+    found = {r.h: r.q for r in rows.withColumn("q", stats.fisher_upper("h", "a", "b", "p")).collect()}
+    choose = math.comb
+    assert found[6] == pytest.approx(sum(choose(10, k) for k in range(6, 11)) / 1024, rel=1e-3)
+    assert found[0] == pytest.approx(1.0) and found[3] == pytest.approx(6 / 2.0**120, rel=0.1)
+    assert found[20] == pytest.approx(sum(choose(40, k) * choose(40, 30 - k) for k in range(20, 31)) / choose(80, 30), rel=1e-9)
