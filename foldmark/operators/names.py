@@ -10,7 +10,8 @@ The best names of a query are found without comparing it with all of the catalog
   unmatched signs and one. So texts of a similarity of r share at least ``(1.5 r - 1) * (la + lb) - 1`` pairs, and
   ``r * (la + lb) / 2`` single signs. By either bound one of the rarest pairs (signs) of both texts is common: an
   index of these gives all candidates, the bound itself and the exact similarity are computed for them alone.
-* A first search asks for ``STRONG``; only queries with fewer than k answers are searched down to ``least``.
+* A first search asks for ``STRONG``. Where a query then has k answers, by words or similarity, only what is at least as
+  good as the last of them is looked for; only queries with fewer are searched down to ``least``.
 """
 
 from __future__ import annotations
@@ -61,45 +62,52 @@ def numbered_grams(text: Column, n: int) -> Column:
     return grams(text)
 
 
-def _need(n: int, r: float, la: Column, lb: Column) -> Column:
+def _need(n: int, r: Column, la: Column, lb: Column) -> Column:
     """Grams of ``n`` signs that texts of these lengths with a similarity of ``r`` surely share."""
     total = (la + lb).cast("double")
-    bound = (1.5 * r - 1) * total - 1 if n == 2 else r / 2 * total
+    bound = (r * 1.5 - 1) * total - 1 if n == 2 else r / 2 * total
     return F.ceil(bound - 1e-9)
 
 
-def _least_partner(r: float, length: Column) -> Column:
-    return F.ceil(length * (r / (2 - r)) - 1e-9)
+def _least_partner(r: Column, length: Column) -> Column:
+    return F.ceil(length * (r / (F.lit(2.0) - r)) - 1e-9)
 
 
-def _rarest(texts: DataFrame, often: DataFrame, n: int, r: float) -> DataFrame:
-    """``text, gram``: the rarest grams of each text, so many that a similar text must have one of its own rarest among them."""
-    need = F.greatest(F.lit(1), _need(n, r, F.col("length"), _least_partner(r, F.col("length"))))
+def _rarest(texts: DataFrame, often: DataFrame, n: int) -> DataFrame:
+    """``text, gram``: the rarest grams of each text (text, length, grams, r), so many that a text with a similarity of ``r``
+    must have one of its own rarest among them."""
+    need = F.greatest(F.lit(1), _need(n, F.col("r"), F.col("length"), _least_partner(F.col("r"), F.col("length"))))
     rows = texts.select("text", (F.size("grams") - need + 1).alias("take"), F.explode("grams").alias("gram")).join(often, "gram", "left")
     place = F.row_number().over(Window.partitionBy("text").orderBy(F.coalesce("held", F.lit(0)), "gram"))
     return rows.withColumn("place", place).where("place <= take").select("text", "gram")
 
 
-def similar(queries: DataFrame, texts: DataFrame, r: float, n: int) -> DataFrame:
-    """``query, text, similarity`` of all pairs of at least ``r``; both sides (text), distinct, and few queries.
+def similar(queries: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """``query, text, similarity`` of all pairs of at least the query's ``r``: ``queries`` (text, r) and ``texts`` (text), distinct.
 
-    With pairs (``n`` = 2) only queries long enough for the bound are answered, see :func:`answerable`.
+    With pairs (``n`` = 2) only queries long enough for the bound are answered, see :func:`answerable`. Queries are few.
     """
-    sized = lambda df: df.select("text", F.length("text").alias("length"), numbered_grams(F.col("text"), n).alias("grams"))
-    asked, held = cut(sized(queries)), cut(sized(texts))
+    sized = lambda df: df.withColumns({"length": F.length("text"), "grams": numbered_grams(F.col("text"), n)} | ({"pairs": numbered_grams(F.col("text"), 2)} if n == 1 else {}))
+    asked, held = cut(sized(queries.select("text", F.col("r").cast("double").alias("r")))), cut(sized(texts.select("text")))
+    lowest = asked.agg(F.min("r")).first()[0]
+    if lowest is None:
+        return asked.select(F.col("text").alias("query"), "text", F.col("r").alias("similarity"))
     often = cut(held.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("held")))
-    ask, have = _rarest(asked, small(often), n, r), _rarest(held, small(often), n, r)
-    pairs = have.join(small(cut(ask.withColumnRenamed("text", "query"))), "gram").select("query", "text").distinct()
-    pairs = pairs.join(held, "text").join(small(asked).select(F.col("text").alias("query"), F.col("length").alias("asked"), F.col("grams").alias("own")), "query")
-    total, shorter = F.col("asked") + F.col("length"), F.least("asked", "length")
-    near = (F.size(F.array_intersect("grams", "own")) >= _need(n, r, F.col("asked"), F.col("length"))) & (2.0 * shorter >= r * total - 1e-9)
+    ask, have = _rarest(asked, small(often), n), _rarest(held.withColumn("r", F.lit(lowest)), small(often), n)
+    near = have.join(small(cut(ask.withColumnRenamed("text", "query"))), "gram").select("query", "text").distinct()
+    own = asked.select(F.col("text").alias("query"), "r", F.col("length").alias("asked"), F.col("grams").alias("own"), *([F.col("pairs").alias("own_pairs")] if n == 1 else []))
+    near = near.join(held, "text").join(small(own), "query")
+    r, la, lb = F.col("r"), F.col("asked"), F.col("length")
+    enough = (2.0 * F.least(la, lb) >= r * (la + lb) - 1e-9) & (F.size(F.array_intersect("grams", "own")) >= _need(n, r, la, lb))
+    if n == 1:
+        enough = enough & (F.size(F.array_intersect("pairs", "own_pairs")) >= _need(2, r, la, lb))
     # the blocks of a pair are computed once: a filter on the result would have Spark compute them again
-    return cut(pairs.where(near).select("query", "text", matching_share(F.col("query"), F.col("text")).alias("similarity"))).where(F.col("similarity") >= r)
+    return cut(near.where(enough).select("query", "text", "r", matching_share(F.col("query"), F.col("text")).alias("similarity"))).where(F.col("similarity") >= F.col("r")).drop("r")
 
 
 def answerable(text: Column, r: float) -> Column:
     """Whether texts similar to this one must share a pair of signs with it."""
-    return _need(2, r, F.length(text), _least_partner(r, F.length(text))) >= 1
+    return _need(2, F.lit(r), F.length(text), _least_partner(F.lit(r), F.length(text))) >= 1
 
 
 def _first_ids(rows: DataFrame, by: str, k: int) -> DataFrame:
@@ -142,12 +150,14 @@ def best_names(queries: DataFrame, catalogue: DataFrame, k: int = 5, least: floa
         found = found.unionByName(_by_alias(texts, catalogue, query_words, shorthand or {}))
 
     names = cut(spelled.select("text").distinct())
-    strong = similar(texts.where(answerable(F.col("query"), STRONG)).select(F.col("query").alias("text")), names, STRONG, 2)
+    strong = similar(texts.where(answerable(F.col("query"), STRONG)).select(F.col("query").alias("text"), F.lit(STRONG).alias("r")), names, 2)
     by_text = lambda df: df.join(spelled, "text").select("query", "id", F.col("similarity").alias("score"))
-    found = cut(found.unionByName(by_text(strong)))
-    done = found.where(F.col("score") >= STRONG).groupBy("query").agg(F.count_distinct("id").alias("n")).where(F.col("n") >= k).select("query")
-    rest = texts.join(done, "query", "left_anti").unionByName(texts.where(~answerable(F.col("query"), STRONG))).distinct()
-    weak = similar(cut(rest).select(F.col("query").alias("text")), names, least, 1)
+    found = cut(found.unionByName(by_text(strong)).groupBy("query", "id").agg(F.max("score").alias("score")))
+    last = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
+    bars = found.withColumn("place", last).where(F.col("place") == k).select("query", F.col("score").alias("bar"))
+    rest = texts.join(bars, "query", "left").where(~answerable(F.col("query"), STRONG) | F.coalesce(F.col("bar") < STRONG, F.lit(True)))
+    # a score above one has an alias in it, which no similarity reaches
+    weak = similar(rest.where("coalesce(bar, 0) <= 1").select(F.col("query").alias("text"), F.greatest(F.lit(least), F.coalesce("bar", F.lit(0.0))).alias("r")), names, 1)
     best = found.unionByName(by_text(weak)).groupBy("query", "id").agg(F.max("score").alias("score")).where(F.col("score") >= least)
     place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
     best = best.withColumn("place", place).where(F.col("place") <= k)
