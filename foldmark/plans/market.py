@@ -87,16 +87,26 @@ def interval_coverage(spark: SparkSession, d: str) -> DataFrame:
     return n.withColumn("verdict", F.expr("CASE WHEN n < 5 THEN 'insufficient' WHEN inside >= 0.9D * n THEN 'pass' ELSE 'fail' END"))
 
 
+#: parts of one task of the paths, each of which becomes a row for every weekday
+_PATHS = 5000
+
+
 @query()
 def market_paths(spark: SparkSession, d: str) -> DataFrame:
     """Log-price paths of parts over the 260 weekdays of 52 weeks: a shared factor and own noise from keyed normals,
-    summed in a window per instrument; nothing depends on the order of rows or partitions."""
+    summed in a window per instrument; nothing depends on the order of rows or partitions.
+
+    The factor is drawn once for each day. Parts are dealt out before they become paths, so no path is shuffled."""
     from foldmark.functions.dates import weekdays
 
-    days = weekdays(spark, "2024-01-01", "2024-12-27").select(F.struct("t", "day").alias("x")).agg(F.sort_array(F.collect_list("x")).alias("xs"))
-    parts = table(spark, d, "part").select("p_partkey", "p_retailprice", F.lit(1).alias("one"))
-    grid = parts.join(F.broadcast(days.withColumn("one", F.lit(1))), "one").select("p_partkey", "p_retailprice", F.explode("xs").alias("x")).select("p_partkey", "p_retailprice", "x.t", "x.day")
-    z = lambda purpose, *on: numbers.normal_quantile(F.least(F.greatest(rank.uniform(purpose, *on), F.lit(1e-12)), F.lit(1 - 1e-12)))
+    z = lambda u: numbers.normal_quantile(F.least(F.greatest(F.col(u), F.lit(1e-12)), F.lit(1 - 1e-12)))
+    days = weekdays(spark, "2024-01-01", "2024-12-27").withColumn("u", rank.uniform("factor", "t")).withColumn("factor", z("u"))
+    days = days.select(F.struct("t", F.col("day").cast("string").alias("day"), "factor").alias("x")).agg(F.sort_array(F.collect_list("x")).alias("xs"))
+    parts = table(spark, d, "part").select("p_partkey", "p_retailprice")
+    parts = parts.repartition(max(spark.sparkContext.defaultParallelism, parts.count() // _PATHS + 1), "p_partkey")
+    grid = parts.crossJoin(F.broadcast(days)).select("p_partkey", "p_retailprice", F.explode("xs").alias("x")).select("p_partkey", "p_retailprice", "x.*")
+    # a draw is a column of its own: within the quantile it would be made anew wherever that names it
+    steps = grid.withColumn("u", rank.uniform("own", "p_partkey", "t")).withColumn("step", 0.01 * (0.6 * F.col("factor") + 0.8 * z("u")))
     w = Window.partitionBy("p_partkey").orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = grid.withColumn("step", 0.01 * (0.6 * z("factor", "t") + 0.8 * z("own", "p_partkey", "t"))).withColumn("price", F.col("p_retailprice") * F.exp(F.sum("step").over(w)))
-    return rounded(out.select("p_partkey", "t", F.col("day").cast("string").alias("day"), "price"), "price")
+    out = steps.withColumn("price", F.col("p_retailprice") * F.exp(F.sum("step").over(w)))
+    return rounded(out.select("p_partkey", "t", "day", "price"), "price")

@@ -55,3 +55,21 @@ def test_market_paths_run_over_52_weeks(spark):
 
     paths = catalogue.QUERIES["market_paths"](spark, "/root/testdata/sf0.001").groupBy("p_partkey").agg(F.count("*").alias("n"), F.min("day").alias("a"), F.max("day").alias("b"))
     assert {(r.n, r.a, r.b) for r in paths.collect()} == {(260, "2024-01-01", "2024-12-27")}
+
+
+def test_market_paths_draw_once_and_shuffle_no_path(spark):
+    """Each draw stands in the plan once, the paths lie where their parts were dealt to, and they are those of the keyed normals."""
+    import hashlib
+    from statistics import NormalDist
+
+    df = catalogue.QUERIES["market_paths"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution()
+    assert plan.optimizedPlan().toString().count("sha2(") <= 2
+    physical = plan.sparkPlan().toString() + plan.executedPlan().toString()
+    assert "Exchange" not in physical[physical.index("AdaptiveSparkPlan") :].split("Generate")[0]
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet").where("p_partkey = 7").first()
+    normal = lambda *on: NormalDist().inv_cdf(int(hashlib.sha256("|".join(map(str, on)).encode()).hexdigest()[:13], 16) / 2**52)
+    total = 0.0
+    for r in df.where("p_partkey = 7").orderBy("t").collect():
+        total += 0.01 * (0.6 * normal("factor", r.t) + 0.8 * normal("own", 7, r.t))
+        assert r.price == pytest.approx(part.p_retailprice * math.exp(total), abs=1e-4)
