@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from foldmark.functions import numbers
+
 #: fixed values: unit of a level, decimals and text behind it
 UNITS = {"pct": (2, "%"), "bp": (1, "bp")}
 
@@ -39,7 +41,7 @@ def leg_side(position: Column, bullish: Column, weight: Column, leg_bullish: Col
 def size_and_risk(kind: Column, share: Column, price: Column, book: Column, per_unit: Column) -> Column:
     """``size`` and ``risk`` of a leg that takes ``share`` percent of the ``book``: an equity's size is that share, a rate's its
     amount in millions times the value of a basis point, a commodity's whole contracts, one at least (``per_unit`` is the
-    value of a basis point, or a contract's multiplier)."""
+    value of a basis point, or a contract's multiplier). What costs nothing is held without end: an infinite size."""
     amount = book * share / 100
-    size = F.when(kind == "equity", share).when(kind == "commodity", F.greatest(F.lit(1.0), F.floor(amount / (price * per_unit)).cast("double"))).otherwise(amount / 1e6 * per_unit)
+    size = F.when(kind == "equity", share).when(kind == "commodity", F.greatest(F.lit(1.0), numbers.whole(numbers.quotient(amount, price * per_unit)))).otherwise(amount / 1e6 * per_unit)
     return F.struct(size.alias("size"), amount.alias("risk"))

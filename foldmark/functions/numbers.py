@@ -10,6 +10,16 @@ def half_up(x: Column) -> Column:
     return F.floor(x + 0.5)
 
 
+def quotient(a: Column, b: Column) -> Column:
+    """``a / b`` of doubles, infinite or NaN where ``b`` is zero, by its sign."""
+    return F.when(b == 0, a * F.pow(b, F.lit(-1.0))).otherwise(F.try_divide(a, b))
+
+
+def whole(x: Column) -> Column:
+    """The floor of a double as a double: beyond 2^53 all are whole, and neither infinities nor NaN fit into a long."""
+    return F.when(F.abs(x) < float(1 << 53), F.floor(x).cast("double")).otherwise(x)
+
+
 def regime_multiplier(rate: Column, c: Column) -> Column:
     """A rate moved by ``ln(c)`` on the logit scale, kept off 0 and 1."""
     p = F.least(F.greatest(rate, F.lit(1e-6)), F.lit(1 - 1e-6))

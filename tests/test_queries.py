@@ -73,3 +73,25 @@ def test_market_paths_draw_once_and_shuffle_no_path(spark):
     for r in df.where("p_partkey = 7").orderBy("t").collect():
         total += 0.01 * (0.6 * normal("factor", r.t) + 0.8 * normal("own", 7, r.t))
         assert r.price == pytest.approx(part.p_retailprice * math.exp(total), abs=1e-4)
+
+
+@pytest.fixture(scope="module")
+def odd_events(tmp_path_factory):
+    """Each type of event with values of zero and others that a table should not have; a folder and its SQL."""
+    folder, c = tmp_path_factory.mktemp("odd"), duckdb.connect()
+    values = "[0.0, -0.0, 'nan', 'inf', '-inf', NULL, 1e-300, 0.01, 560.21, 100]"
+    c.execute(f"CREATE TABLE events AS SELECT row_number() OVER () AS event_id, (row_number() OVER ()) % 7 AS user_id, t AS event_type, v AS value FROM (SELECT unnest(['click', 'view', 'signup', 'error', 'purchase']) AS t), (SELECT unnest({values}::DOUBLE[]) AS v), range(3)")
+    c.execute(f"COPY events TO '{folder}/events.parquet' (FORMAT parquet)")
+    return str(folder), c
+
+
+def exactly(rows):
+    return sorted((tuple(repr(v + 0.0) if isinstance(v, float) else v for v in r) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize("name", ["leg_sizes"])
+def test_odd_values_are_those_of_the_sql(spark, odd_events, name):
+    folder, c = odd_events
+    df = catalogue.QUERIES[name](spark, folder)
+    found = c.execute(f"SELECT {', '.join(df.columns)} FROM ({catalogue.ORACLE_SQL[name]})").fetchall()
+    assert exactly(df.collect()) == exactly(found)
