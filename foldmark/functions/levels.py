@@ -12,23 +12,24 @@ UNITS = {"pct": (2, "%"), "bp": (1, "bp")}
 
 
 def raw_level(kind: Column, price: Column) -> Column:
-    """Level in the unit that moves add up in: 100 ln of a price or futures level, a yield in basis points, a spread as it is."""
-    return F.when(kind.isin("equity", "commodity", "future"), 100 * F.ln(price)).when(kind == "sovereign", 100 * price).when(kind == "credit", price)
+    """Level in the unit that moves add up in: 100 ln of a price or futures level, a yield in basis points, a spread as it is.
+    A price of zero has a level, too: minus infinity."""
+    return F.when(kind.isin("equity", "commodity", "future"), 100 * numbers.log(price)).when(kind == "sovereign", 100 * price).when(kind == "credit", price)
 
 
 def level_text(level: Column, unit: Column, price_quoted: Column) -> Column:
     """As a trader quotes it: a price for what is quoted in prices, else the level with its unit; null for an unknown unit."""
     out = F.lit(None).cast("string")
     for name, (places, behind) in UNITS.items():
-        out = F.when(unit == name, F.concat(F.format_string(f"%.{places}f", level), F.lit(behind))).otherwise(out)
-    return F.when(price_quoted, F.format_string("%.2f", F.exp(level / 100))).otherwise(out)
+        out = F.when(unit == name, F.concat(numbers.printed(f"%.{places}f", level), F.lit(behind))).otherwise(out)
+    return F.when(price_quoted, numbers.printed("%.2f", F.exp(level / 100))).otherwise(out)
 
 
 def move_text(move: Column, unit: Column) -> Column:
     """A signed move, without its unit."""
     out = F.lit(None).cast("string")
     for name, (places, _) in UNITS.items():
-        out = F.when(unit == name, F.format_string(f"%+.{places}f", move)).otherwise(out)
+        out = F.when(unit == name, numbers.printed(f"%+.{places}f", move)).otherwise(out)
     return out
 
 

@@ -20,6 +20,17 @@ def whole(x: Column) -> Column:
     return F.when(F.abs(x) < float(1 << 53), F.floor(x).cast("double")).otherwise(x)
 
 
+def log(x: Column) -> Column:
+    """The natural logarithm, minus infinity for zero and NaN below; null for null alone."""
+    return F.when(x == 0, F.lit(float("-inf"))).when(x < 0, F.lit(float("nan"))).otherwise(F.ln(x))
+
+
+def printed(form: str, x: Column) -> Column:
+    """``x`` by a format of C, in which infinities and NaN are ``inf`` and ``nan``, signed where the format asks for signs."""
+    plus = "+" if "+" in form else ""
+    return F.when(F.isnan(x), f"{plus}nan").when(x == float("inf"), f"{plus}inf").when(x == float("-inf"), "-inf").otherwise(F.format_string(form, x))
+
+
 def regime_multiplier(rate: Column, c: Column) -> Column:
     """A rate moved by ``ln(c)`` on the logit scale, kept off 0 and 1."""
     p = F.least(F.greatest(rate, F.lit(1e-6)), F.lit(1 - 1e-6))

@@ -89,7 +89,7 @@ def exactly(rows):
     return sorted((tuple(repr(v + 0.0) if isinstance(v, float) else v for v in r) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", ["leg_sizes"])
+@pytest.mark.parametrize("name", ["leg_sizes", "quoted_levels"])
 def test_odd_values_are_those_of_the_sql(spark, odd_events, name):
     folder, c = odd_events
     df = catalogue.QUERIES[name](spark, folder)
