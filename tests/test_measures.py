@@ -32,6 +32,19 @@ def test_names_as_whole_words_against_a_search_for_each(spark):
     assert patterns.leaks(df, own.limit(0), ["s"], "user").collect() == []
 
 
+def test_names_are_joined_and_no_task_of_python_holds_them(spark):
+    texts = spark.createDataFrame([(1, "user", "(a_b) éa_b a_b"), (2, "user", "-- a_b --"), (3, "user", "--"), (4, "user", "x--y, 𝒳_1"), (5, "user", "a_b.."), (6, "user", None)], "s int, role string, text string")
+    own = spark.createDataFrame([(n, "preference") for n in ("a_b", "(a_b", "a_b)", "_--", "x--y_", "éa_b", "𝒳_1", " a_b ")] + [("x--y", "bias"), ("--", "bias"), ("-- a_b", "bias")], "name string, kind string")
+    for letters in (patterns.BLOCK_LETTERS, 0):
+        found = patterns.leaks(texts, own, ["s"], "user", letters)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+        short = {r.s: [x.removeprefix("names a parameter: ") for x in r.reasons] for r in found.collect()}
+        assert short == {1: ["a_b", "éa_b"], 2: ["a_b"], 4: ["--", "x--y", "𝒳_1"], 5: ["a_b"]}
+        for r in texts.where("text IS NOT NULL").collect():  # as a search for each would find
+            assert short.get(r.s, []) == sorted(n for (n, _) in own.collect() if ("_" in n or n in ("x--y", "--", "-- a_b")) and re.search(rf"\b{re.escape(n)}\b", r.text))
+
+
 def tail(chances, hits):
     """The dynamic programme over all tries."""
     mass = [1.0]
