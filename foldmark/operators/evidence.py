@@ -10,7 +10,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foldmark.sources.scratch import BROADCAST_ROWS
+
 KEY = ["subject", "trait"]
+#: rows that one task makes of a join with all market-wide events
+TASK_ROWS = 10_000_000
 
 
 def in_context(signals: DataFrame, sessions: DataFrame, days: DataFrame) -> DataFrame:
@@ -89,21 +93,32 @@ def recovered(signals: DataFrame, sessions: DataFrame, rows: DataFrame, classes:
     )
 
 
-def calendar_window(asked: DataFrame, events: DataFrame, axis: DataFrame, back: int, forward: int) -> DataFrame:
+def calendar_window(asked: DataFrame, events: DataFrame, axis: DataFrame, back: int, forward: int, iso: bool = False) -> DataFrame:
     """Own and market-wide ``events`` (day, subject or null, event, surprise) from ``back`` trading days before to
     ``forward`` after the day asked about (subject, day), which always counts; what is yet to come shows no surprise.
 
     ``axis`` (day) are the trading days, a calendar of bounded length. Each day asked about becomes the few days of
-    its window, so the join is by day: no range is compared.
+    its window, so the join is by day: no range is compared. Every subject gets all market-wide events of its window, so
+    the rows are as many as both multiplied: they are made by as many tasks as they need, and all that can be is done
+    to a day or an event before the join, days as text (``iso``), too.
     """
     days = axis.agg(F.sort_array(F.collect_set("day")).alias("days"))
     at = asked.select("subject", F.col("day").alias("today")).crossJoin(F.broadcast(days)).withColumn("t", F.expr("size(filter(days, x -> x < today))"))
     place = lambda t: f"days[int(greatest(0, least({t}, size(days) - 1)))]"
     low, high = place(f"t - {back}"), place(f"t + {forward} - if(array_contains(days, today), 0, 1)")
-    window = at.select("subject", "today", F.explode(F.expr(f"sequence(least({low}, today), greatest({high}, today))")).alias("day"))
-    mine = window.join(events.where("subject IS NOT NULL"), ["subject", "day"]).withColumn("scope", F.lit("own"))
-    wide = window.join(events.where("subject IS NULL").drop("subject"), "day").withColumn("scope", F.lit("market"))
-    return mine.unionByName(wide).withColumn("surprise", F.when(F.col("day") <= F.col("today"), F.col("surprise")))
+    shown = lambda c: F.col(c).cast("string" if iso else "date")
+    own, market = events.where("subject IS NOT NULL"), events.where("subject IS NULL").drop("subject")
+    n = market.count()
+    tasks = max(asked.sparkSession.sparkContext.defaultParallelism, asked.count() * n * (back + forward + 1) // max(axis.count(), 1) // TASK_ROWS + 1)
+
+    def window(rows: DataFrame) -> DataFrame:
+        days_of = rows.select("subject", "today", F.explode(F.expr(f"sequence(least({low}, today), greatest({high}, today))")).alias("__day"))
+        return days_of.select("subject", shown("today").alias("today"), shown("__day").alias("day"), "__day", (F.col("__day") <= F.col("today")).alias("__past"))
+
+    mine = window(at).join(own.withColumnRenamed("day", "__day"), ["subject", "__day"]).withColumn("scope", F.lit("own"))
+    market = market.withColumnRenamed("day", "__day")
+    wide = window(at.repartition(tasks, "subject")).join(F.broadcast(market) if n <= BROADCAST_ROWS else market, "__day").withColumn("scope", F.lit("market"))
+    return mine.unionByName(wide).withColumn("surprise", F.when(F.col("__past"), F.col("surprise"))).drop("__day", "__past")
 
 
 def cogrouped(tables: dict[str, DataFrame], by: str, figures: list[Column]) -> DataFrame:

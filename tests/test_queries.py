@@ -95,3 +95,11 @@ def test_odd_values_are_those_of_the_sql(spark, odd_events, name):
     df = catalogue.QUERIES[name](spark, folder)
     found = c.execute(f"SELECT {', '.join(df.columns)} FROM ({catalogue.ORACLE_SQL[name]})").fetchall()
     assert exactly(df.collect()) == exactly(found)
+
+
+def test_calendar_window_works_before_its_join(spark):
+    """The rows are as many as subjects and market-wide events multiplied: nothing is rounded or cast for each of them, and they are dealt out."""
+    plan = catalogue.QUERIES["calendar_window"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    above = [p.split("Join ")[0] for p in plan.split("Union")[0:1]] + [p for p in plan.split("Union")[1].split("Join ")[:1]]
+    assert not any("round(" in p or "cast(" in p for p in above)
+    assert "RepartitionByExpression" in plan
