@@ -7,6 +7,8 @@ are composed in turn and carried over to the rows of the next slices.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -51,17 +53,21 @@ def composed(rows: DataFrame, by: list[str], on: str, slice_: str, a: Column, b:
     key = maps.schema.fields[: len(by) + 2]
     schema = T.StructType([*key, T.StructField("__factor", T.DoubleType()), T.StructField("__offset", T.DoubleType())])
 
-    def carry(own: pd.DataFrame) -> pd.DataFrame:
-        """Before each slice the composition of all maps of slices before it."""
-        own = own.sort_values([slice_, "__piece"], kind="stable")
-        factor, offset = np.ones(len(own)), np.zeros(len(own))
-        p, q = 1.0, 0.0
-        for k, (x, y) in enumerate(zip(own["a"].to_numpy(), own["b"].to_numpy(), strict=True)):
-            factor[k], offset[k] = p, q
-            p, q = x * p, x * q + y
-        return own.drop(columns=["a", "b"]).assign(__factor=factor, __offset=offset)
-
-    before = maps.groupBy(*by).applyInPandas(carry, schema)  # one row for each slice of a key
+    def carry(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Before each slice the composition of all maps of slices before it. Rows come in order, key by key."""
+        last, p, q = None, 1.0, 0.0
+        for own in batches:
+            factor, offset = np.ones(len(own)), np.zeros(len(own))
+            keys = zip(*(own[c] for c in by), strict=True)
+            for k, (key, x, y) in enumerate(zip(keys, own["a"].to_numpy(), own["b"].to_numpy(), strict=True)):
+                if key != last:
+                    last, p, q = key, 1.0, 0.0
+                factor[k], offset[k] = p, q
+                p, q = x * p, x * q + y
+            yield own.drop(columns=["a", "b"]).assign(__factor=factor, __offset=offset)
+
+    # one row for each slice of a key; keys stream by, as a function called for each would cost more than its few rows
+    before = maps.repartition(*by).sortWithinPartitions(*by, slice_, "__piece").mapInPandas(carry, schema)
     fade = F.exp(-F.col("__local"))
     found = rows.join(before, [*by, slice_, "__piece"]).withColumns(
         {"factor": fade * F.col("__first") * F.col("__factor"), "offset": fade * (F.col("__first") * F.col("__offset") + F.col("__sum"))}

@@ -117,3 +117,27 @@ def test_maps_compose_from_any_start(spark):
             for _, i, _, a, b in rows:
                 e = a * e + b if i <= r.i else e
             assert r.factor * start + r.offset == pytest.approx(e, rel=1e-12)
+
+
+def test_maps_of_many_keys_stream_by(spark):
+    """No function is called for each key, and a key may lie in several batches."""
+    from pyspark.sql import functions as F
+
+    from foldmark.operators import recurrence
+
+    own = [(k, d, float((k * 7 + d) % 5)) for k in range(40) for d in range(0, 400, 1 + k * 3)]
+    df = spark.createDataFrame(own, "k long, d int, v double").withColumn("day", F.expr("date_add(date'2024-01-01', d)"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        out = recurrence.event_ema(df, "k", "day", "v", 5.0)
+        assert "FlatMapGroups" not in out._jdf.queryExecution().optimizedPlan().toString()
+        found = {(r.k, r.d): r.ema for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    last, want = {}, {}
+    for k, d, v in own:
+        at, e = last.get(k, (d, v))
+        e += (1 - 2.0 ** (-(d - at) / 5.0)) * (v - e)
+        last[k], want[k, d] = (d, e), e
+    assert found.keys() == want.keys() and all(abs(found[x] - want[x]) < 1e-9 for x in want)
