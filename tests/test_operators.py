@@ -306,6 +306,44 @@ def test_nearest_other_against_all_pairs(spark, rare):
     assert rows(overlap.nearest_other(g, "k", rare), "k", "own", "shared") == want or sorted(rows(overlap.nearest_other(g, "k", rare), "k", "own", "shared")) == want
 
 
+def _shuffled_rows(spark):
+    gateway = spark.sparkContext._gateway
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), None)
+    return sum(stages.apply(k).shuffleWriteRecords() for k in range(stages.size()))
+
+
+def test_nearest_other_makes_no_rows_for_pairs(spark):
+    """Everybody holds common grams and half are near copies: rows that travel stay as many as grams, not as pairs."""
+    import random
+
+    from foldmark.operators import overlap
+
+    rng = random.Random(7)
+    own = {k: set(rng.sample(range(90), 60)) | {100 + k} for k in range(300)} | {k: set(range(200, 260)) - {200 + rng.randrange(60)} | {1000 + rng.randrange(9)} for k in range(300, 600)}
+    g = spark.createDataFrame([(k, f"c{x}") for k, v in own.items() for x in sorted(v)], "k long, gram string").cache()
+    n = g.count()
+    before = _shuffled_rows(spark)
+    got = rows(overlap.nearest_other(g, "k"), "k", "own", "shared")
+    assert _shuffled_rows(spark) - before < 2 * n
+    assert sorted(got) == sorted((k, len(v), max(len(v & w) for j, w in own.items() if j != k)) for k, v in own.items())
+
+
+@pytest.mark.parametrize("rare", [0, 2, 50])
+@pytest.mark.parametrize("block", [15, 60])
+def test_nearest_other_in_blocks_of_any_size(spark, monkeypatch, rare, block):
+    import random
+
+    from foldmark.operators import overlap
+
+    monkeypatch.setattr(overlap, "BLOCK_GRAMS", block)
+    rng = random.Random(block)
+    own = {f"s{k}": {f"c{min(rng.randint(0, 12), rng.randint(0, 12))}" for _ in range(rng.randint(1, 9))} for k in range(24)}
+    own["s30"] = {f"c{x}" for x in range(13)}
+    g = spark.createDataFrame([(k, x) for k, v in own.items() for x in sorted(v)], "k string, gram string")
+    want = sorted((k, len(v), max(len(v & w) for j, w in own.items() if j != k)) for k, v in own.items())
+    assert sorted(rows(overlap.nearest_other(g, "k", rare), "k", "own", "shared")) == want
+
+
 def test_ranks_and_quantiles_of_skewed_values(spark):
     import random
 
