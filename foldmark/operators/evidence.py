@@ -37,12 +37,13 @@ def state_asof(traits: DataFrame, updates: DataFrame, days: DataFrame) -> DataFr
     return found.withColumns({"active": F.coalesce(F.col("mood") != "dormant", F.lit(True)), "held": F.coalesce("to_value", "value")}).drop("mood", "to_value")
 
 
-def truth(subjects: DataFrame, params: DataFrame, state: DataFrame) -> DataFrame:
-    """``subject, trait, kind, truth_active, truth_value`` of every candidate in ``params`` (trait, kind), held or not."""
+def truth(subjects: DataFrame, params: DataFrame, state: DataFrame, *also: str) -> DataFrame:
+    """``subject, trait, kind, truth_active, truth_value`` of every candidate in ``params`` (trait, kind), held or not;
+    ``also``: columns of the state to keep."""
     every = subjects.select("subject").distinct().crossJoin(F.broadcast(params))  # params are a stated list
-    found = every.join(state.select(*KEY, "active", "held"), KEY, "left")
+    found = every.join(state.select(*KEY, "active", "held", *also), KEY, "left")
     bias = F.col("kind") == "bias"
-    return found.select("subject", "trait", "kind", F.when(bias, F.coalesce("active", F.lit(False))).alias("truth_active"), F.when(~bias, F.col("held")).alias("truth_value"))
+    return found.select("subject", "trait", "kind", F.when(bias, F.coalesce("active", F.lit(False))).alias("truth_active"), F.when(~bias, F.col("held")).alias("truth_value"), *also)
 
 
 def supporting(signals: DataFrame, state: DataFrame) -> DataFrame:
@@ -63,6 +64,11 @@ def listed(rows: DataFrame, keys: list[str], column: str, name: str) -> DataFram
     return rows.groupBy(*keys).agg(F.array_join(F.sort_array(F.collect_set(column)), ",").alias(name))
 
 
+def right() -> Column:
+    """Whether a prediction says what the truth says; none says that nothing is held."""
+    return F.when(F.col("kind") == "bias", F.col("predicted_active").eqNullSafe(F.col("truth_active"))).otherwise(F.col("predicted_value").eqNullSafe(F.col("truth_value")))
+
+
 def cited_rows(predictions: DataFrame, truths: DataFrame, signals: DataFrame, sessions: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Predictions (subject, trait, predicted_active, predicted_value, cited) scored against ``truths``, and warnings.
 
@@ -76,9 +82,8 @@ def cited_rows(predictions: DataFrame, truths: DataFrame, signals: DataFrame, se
     lists = good.join(wrong, [*KEY, "session"], "left").groupBy(*KEY)
     text = lambda c: F.array_join(F.sort_array(F.collect_set(c)), ",")
     lists = lists.agg(text("session").alias("cited"), text("false").alias("falsely"))
-    right = F.when(F.col("kind") == "bias", F.col("predicted_active").eqNullSafe(F.col("truth_active"))).otherwise(F.col("predicted_value").eqNullSafe(F.col("truth_value")))
     rows = truths.join(predictions.drop("cited"), KEY, "left").join(lists, KEY, "left")
-    rows = rows.withColumns({"correct": right, "cited": F.coalesce("cited", F.lit("")), "falsely": F.coalesce("falsely", F.lit(""))})
+    rows = rows.withColumns({"correct": right(), "cited": F.coalesce("cited", F.lit("")), "falsely": F.coalesce("falsely", F.lit(""))})
     return rows, unknown
 
 

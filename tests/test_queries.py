@@ -103,3 +103,26 @@ def test_calendar_window_works_before_its_join(spark):
     above = [p.split("Join ")[0] for p in plan.split("Union")[0:1]] + [p for p in plan.split("Union")[1].split("Join ")[:1]]
     assert not any("round(" in p or "cast(" in p for p in above)
     assert "RepartitionByExpression" in plan
+
+
+def _odd_events(folder, repeated):
+    """Events without a subject, kind, day or properties, and with ids that repeat, for the same subject and another."""
+    gone = ", ".join(f"CASE WHEN event_id % {n} <> 5 THEN {c} END AS {c}" for c, n in (("user_id", 37), ("event_type", 41), ("ts", 43), ("props", 47)))
+    again = "UNION ALL SELECT * FROM e WHERE event_id % 10 = 0 UNION ALL SELECT * REPLACE (user_id + 1 AS user_id) FROM e WHERE event_id % 11 = 0" if repeated else ""
+    duckdb.sql(f"COPY (WITH e AS (SELECT * REPLACE ({gone}) FROM '{FOLDER}/events.parquet') SELECT * FROM e {again}) TO '{folder}/events.parquet' (FORMAT parquet)")
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+@pytest.mark.parametrize("name", ["recovery_by_subject", "recovered_signals", "citation_scores"])
+def test_scores_of_odd_events(spark, tmp_path, name, repeated):
+    _odd_events(tmp_path, repeated)
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    df = catalogue.QUERIES[name](spark, str(tmp_path))
+    found = c.execute(f"SELECT {', '.join(df.columns)} FROM ({catalogue.ORACLE_SQL[name]})").fetchall()
+    assert sorted((tuple(plain(v) for v in r) for r in df.collect()), key=repr) == sorted((tuple(plain(v) for v in r) for r in found), key=repr)
+
+
+def test_recovery_by_subject_reads_the_events_few_times(spark):
+    plan = catalogue.QUERIES["recovery_by_subject"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("Relation [") <= 6
