@@ -25,6 +25,15 @@ def log(x: Column) -> Column:
     return F.when(x == 0, F.lit(float("-inf"))).when(x < 0, F.lit(float("nan"))).otherwise(F.ln(x))
 
 
+def nearest(x: Column, places: int) -> Column:
+    """``x`` rounded as SQL engines round a double: scaled, the nearest whole number, halves away from zero, and scaled back.
+    ``F.round`` goes by the digits that are shown, which gives other doubles for large ones, and no zero with a sign."""
+    y = x * 10.0**places
+    r = F.rint(y)
+    r = F.when((y > 0) & (y - r == 0.5), r + 1).when((y < 0) & (y - r == -0.5), r - 1).otherwise(r)
+    return F.when(F.abs(y) < float("inf"), r / 10.0**places).otherwise(x)
+
+
 def printed(form: str, x: Column) -> Column:
     """``x`` by a format of C, in which infinities and NaN are ``inf`` and ``nan``, signed where the format asks for signs."""
     plus = "+" if "+" in form else ""

@@ -97,6 +97,24 @@ def test_odd_values_are_those_of_the_sql(spark, odd_events, name):
     assert exactly(df.collect()) == exactly(found)
 
 
+@pytest.fixture(scope="module")
+def fine_events(tmp_path_factory):
+    """Prices so small or large that rounding to six places shows in the last bits, or that end halfway between what is printed."""
+    folder, c = tmp_path_factory.mktemp("fine"), duckdb.connect()
+    values = "[1.37e-9 * i, 8.894 + i / 100, i * 123456.789012345]"
+    c.execute(f"CREATE TABLE events AS SELECT row_number() OVER () AS event_id, (row_number() OVER ()) % 7 AS user_id, t AS event_type, v AS value FROM (SELECT unnest(['view', 'signup', 'error']) AS t), (SELECT unnest({values}::DOUBLE[]) AS v FROM range(1, 400) AS r(i))")
+    c.execute(f"COPY events TO '{folder}/events.parquet' (FORMAT parquet)")
+    return str(folder), c
+
+
+@pytest.mark.parametrize("name", ["leg_sizes"])
+def test_fine_values_are_rounded_and_printed_as_by_the_sql(spark, fine_events, name):
+    folder, c = fine_events
+    df = catalogue.QUERIES[name](spark, folder)
+    found = c.execute(f"SELECT {', '.join(df.columns)} FROM ({catalogue.ORACLE_SQL[name]})").fetchall()
+    assert exactly(df.collect()) == exactly(found)
+
+
 def test_calendar_window_works_before_its_join(spark):
     """The rows are as many as subjects and market-wide events multiplied: nothing is rounded or cast for each of them, and they are dealt out."""
     plan = catalogue.QUERIES["calendar_window"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
