@@ -21,15 +21,15 @@ def level_text(level: Column, unit: Column, price_quoted: Column) -> Column:
     """As a trader quotes it: a price for what is quoted in prices, else the level with its unit; null for an unknown unit."""
     out = F.lit(None).cast("string")
     for name, (places, behind) in UNITS.items():
-        out = F.when(unit == name, F.concat(numbers.printed(f"%.{places}f", level), F.lit(behind))).otherwise(out)
-    return F.when(price_quoted, numbers.printed("%.2f", F.exp(level / 100))).otherwise(out)
+        out = F.when(unit == name, F.concat(numbers.printed(level, places), F.lit(behind))).otherwise(out)
+    return F.when(price_quoted, numbers.printed(F.exp(level / 100), 2)).otherwise(out)
 
 
 def move_text(move: Column, unit: Column) -> Column:
     """A signed move, without its unit."""
     out = F.lit(None).cast("string")
     for name, (places, _) in UNITS.items():
-        out = F.when(unit == name, numbers.printed(f"%+.{places}f", move)).otherwise(out)
+        out = F.when(unit == name, numbers.printed(move, places, signed=True)).otherwise(out)
     return out
 
 

@@ -34,10 +34,12 @@ def nearest(x: Column, places: int) -> Column:
     return F.when(F.abs(y) < float("inf"), r / 10.0**places).otherwise(x)
 
 
-def printed(form: str, x: Column) -> Column:
-    """``x`` by a format of C, in which infinities and NaN are ``inf`` and ``nan``, signed where the format asks for signs."""
-    plus = "+" if "+" in form else ""
-    return F.when(F.isnan(x), f"{plus}nan").when(x == float("inf"), f"{plus}inf").when(x == float("-inf"), "-inf").otherwise(F.format_string(form, x))
+def printed(x: Column, places: int, signed: bool = False) -> Column:
+    """``x`` as C prints it, by its exact value, exact halves to even; infinities and NaN are ``inf`` and ``nan``, signed as
+    numbers are. ``F.format_string`` goes by the digits that are shown: it makes 1.01 of 1.005, which is less than that."""
+    plus, form = "+" if signed else "", "0." + "0" * places
+    text = F.call_function("format_number", x, F.lit(f"{plus}{form};-{form}"))
+    return F.when(F.isnan(x), f"{plus}nan").when(x == float("inf"), f"{plus}inf").when(x == float("-inf"), "-inf").otherwise(text)
 
 
 def regime_multiplier(rate: Column, c: Column) -> Column:
