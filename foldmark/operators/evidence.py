@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldmark.sources.scratch import BROADCAST_ROWS
-
 KEY = ["subject", "trait"]
 #: rows that one task makes of a join with all market-wide events
 TASK_ROWS = 10_000_000
+#: subjects, or events, of one day in a list
+LIST_ROWS = 1024
+#: subjects that follow each other for every event: a multiple of 8 repeats to the byte in what is packed by bits
+RUN = 256
 
 
 def in_context(signals: DataFrame, sessions: DataFrame, days: DataFrame) -> DataFrame:
@@ -104,26 +106,40 @@ def calendar_window(asked: DataFrame, events: DataFrame, axis: DataFrame, back:
 
     ``axis`` (day) are the trading days, a calendar of bounded length. Each day asked about becomes the few days of
     its window, so the join is by day: no range is compared. Every subject gets all market-wide events of its window, so
-    the rows are as many as both multiplied: they are made by as many tasks as they need, and all that can be is done
-    to a day or an event before the join, days as text (``iso``), too.
+    the rows are as many as both multiplied. Subjects that ask about one day, and events of one day, meet in lists, and
+    rows are made of two lists where they are read: event by event, with the same subjects for each, which is written
+    in a small part of the room that events by subject take. All that can be is done to a day or an event before that,
+    days as text (``iso``), too.
     """
     days = axis.agg(F.sort_array(F.collect_set("day")).alias("days"))
-    at = asked.select("subject", F.col("day").alias("today")).crossJoin(F.broadcast(days)).withColumn("t", F.expr("size(filter(days, x -> x < today))"))
-    place = lambda t: f"days[int(greatest(0, least({t}, size(days) - 1)))]"
+    at = asked.select("subject", F.col("day").alias("today"))
+    place = lambda t: f"get(days, int(greatest(0, least({t}, size(days) - 1))))"
     low, high = place(f"t - {back}"), place(f"t + {forward} - if(array_contains(days, today), 0, 1)")
     shown = lambda c: F.col(c).cast("string" if iso else "date")
-    own, market = events.where("subject IS NOT NULL"), events.where("subject IS NULL").drop("subject")
-    n = market.count()
-    tasks = max(asked.sparkSession.sparkContext.defaultParallelism, asked.count() * n * (back + forward + 1) // max(axis.count(), 1) // TASK_ROWS + 1)
-
-    def window(rows: DataFrame) -> DataFrame:
-        days_of = rows.select("subject", "today", F.explode(F.expr(f"sequence(least({low}, today), greatest({high}, today))")).alias("__day"))
-        return days_of.select("subject", shown("today").alias("today"), shown("__day").alias("day"), "__day", (F.col("__day") <= F.col("today")).alias("__past"))
-
-    mine = window(at).join(own.withColumnRenamed("day", "__day"), ["subject", "__day"]).withColumn("scope", F.lit("own"))
-    market = market.withColumnRenamed("day", "__day")
-    wide = window(at.repartition(tasks, "subject")).join(F.broadcast(market) if n <= BROADCAST_ROWS else market, "__day").withColumn("scope", F.lit("market"))
-    return mine.unionByName(wide).withColumn("surprise", F.when(F.col("__past"), F.col("surprise"))).drop("__day", "__past")
+    own, market = events.where("subject IS NOT NULL").withColumnRenamed("day", "__day"), events.where("subject IS NULL").drop("subject").withColumnRenamed("day", "__day")
+    tasks = max(asked.sparkSession.sparkContext.defaultParallelism, asked.count() * market.count() * (back + forward + 1) // max(axis.count(), 1) // TASK_ROWS + 1)
+
+    def window(rows: DataFrame, *also: str) -> DataFrame:
+        found = rows.crossJoin(F.broadcast(days)).withColumn("t", F.expr("size(filter(days, x -> x < today))"))
+        days_of = found.select(*also, "today", F.explode(F.expr(f"sequence(least({low}, today), greatest({high}, today))")).alias("__day"))
+        return days_of.select(*also, shown("today").alias("today"), shown("__day").alias("day"), "__day", (F.col("__day") <= F.col("today")).alias("__past"))
+
+    seen = lambda rows: rows.withColumn("surprise", F.when(F.col("__past"), F.col("surprise"))).drop("__past")
+    mine = seen(window(at, "subject").join(own, ["subject", "__day"])).drop("__day").withColumn("scope", F.lit("own"))
+    told = [c for c in market.columns if c != "__day"]
+    asking = window(listed_by(at, "today", ["subject"], "__subjects").withColumn("__subjects", F.col("__subjects.subject")), "__part", "__subjects")
+    known = listed_by(market, "__day", told, "__events").withColumnRenamed("__part", "__block")
+    met = asking.join(known, "__day").repartition(tasks, "today", "__part", "__day", "__block")
+    runs = F.expr(f"transform(sequence(1, size(__subjects), {RUN}), i -> slice(__subjects, i, {RUN}))")
+    wide = met.select("today", "day", "__past", "__events", F.explode(runs).alias("__run")).select("today", "day", "__past", "__run", F.inline("__events"))
+    return mine.unionByName(seen(wide).select(F.explode("__run").alias("subject"), "today", "day", *told, F.lit("market").alias("scope")))
+
+
+def listed_by(rows: DataFrame, day: str, columns: list[str], name: str) -> DataFrame:
+    """``columns`` of the rows of each ``day`` in lists ``name`` of about ``LIST_ROWS`` each, with their number ``__part``."""
+    parts = rows.groupBy(day).agg(F.ceil(F.count("*") / LIST_ROWS).alias("__parts")).withColumnRenamed(day, "__of")
+    dealt = rows.join(F.broadcast(parts), F.col(day).eqNullSafe(F.col("__of")))  # a row for each day of a calendar
+    return dealt.groupBy(day, F.pmod(F.xxhash64(*columns), "__parts").alias("__part")).agg(F.sort_array(F.collect_list(F.struct(*columns))).alias(name))
 
 
 def cogrouped(tables: dict[str, DataFrame], by: str, figures: list[Column]) -> DataFrame:

@@ -123,6 +123,36 @@ def test_calendar_window_works_before_its_join(spark):
     assert "RepartitionByExpression" in plan
 
 
+def test_calendar_window_is_written_in_little_room(spark, tmp_path):
+    """Rows that repeat every subject for every event lie so that they cost next to nothing, however many events a day has."""
+    from datetime import date
+
+    from pyspark.sql import functions as F
+
+    from foldmark.operators import evidence
+
+    day = F.lit(date(2024, 1, 3))
+    asked = spark.range(64).select(F.col("id").alias("subject"), day.alias("day"))
+    events = spark.range(40_000).select(F.lit(None).cast("long").alias("subject"), day.alias("day"), (F.col("id") * 7919 % 40_009).alias("event"), F.rand(1).alias("surprise"))
+    evidence.calendar_window(asked, events, asked.select("day").distinct(), 3, 2, iso=True).write.parquet(f"{tmp_path}/out")
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.count() == out.select("subject", "event").distinct().count() == 64 * 40_000
+    assert sum(f.stat().st_size for f in tmp_path.glob("out/*.parquet")) < 64 * 40_000 * 0.7
+
+
+@pytest.mark.parametrize("which", ["true", "user_id % 40 <> 7", "dayofweek(ts) IN (0, 6)", "false"])
+def test_calendar_window_of_odd_events(spark, tmp_path, which):
+    """Without subjects and days, with events that repeat, without market-wide ones or trading days, and without any."""
+    (tmp_path / "all").mkdir()
+    _odd_events(tmp_path / "all", True)
+    c = duckdb.connect()
+    c.execute(f"CREATE TABLE events AS SELECT * FROM '{tmp_path}/all/events.parquet' WHERE {which}")
+    c.execute(f"COPY events TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    df = catalogue.QUERIES["calendar_window"](spark, str(tmp_path))
+    found = c.execute(f"SELECT {', '.join(df.columns)} FROM ({catalogue.ORACLE_SQL['calendar_window']})").fetchall()
+    assert exactly(df.collect()) == exactly(found)
+
+
 def _odd_events(folder, repeated):
     """Events without a subject, kind, day or properties, and with ids that repeat, for the same subject and another."""
     gone = ", ".join(f"CASE WHEN event_id % {n} <> 5 THEN {c} END AS {c}" for c, n in (("user_id", 37), ("event_type", 41), ("ts", 43), ("props", 47)))
